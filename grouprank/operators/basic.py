@@ -53,3 +53,15 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list | None = None) ->
         return df.dropDuplicates(keys)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_dedupe_rn", F.row_number().over(w)).filter("_dedupe_rn = 1").drop("_dedupe_rn")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan: every branch
+    then reads the same rows (sampling stays consistent) instead of recomputing
+    the lineage, and a lost executor recomputes nothing before this point.
+    """
+    from grouprank.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grouprank.operators.basic import complete_rows, require_columns, text_available
+from grouprank.operators.basic import complete_rows, materialize, require_columns, text_available
 from grouprank.operators.groups import group_counts, keep_groups, select_groups
 from grouprank.operators.knn import (cosine_column, distance_column, first_hit_from_topk,
                                      first_hit_rank, hit_metrics, knn_topk, pair_join)
@@ -29,14 +29,15 @@ def eval_items(items: DataFrame, p: Params) -> DataFrame:
     df = keep_groups(df, groups, p.group)
     # gate: a group needs n_queries + 50 rows (one row per chosen group: broadcast is bounded)
     sizes = group_counts(df, p.group).filter(F.col("n") >= p.n_queries + 50)
-    return keep_groups(df, sizes, p.group)
+    return materialize(keep_groups(df, sizes, p.group))
 
 
 def audio_queries(items: DataFrame, p: Params) -> DataFrame:
     return sample_per_group(items, p.group, p.n_queries, id_col=p.item, seed=p.seed, salt="query")
 
 
-def audio_pairs(items: DataFrame, p: Params, scale: str = "none") -> DataFrame:
+def audio_pairs(items: DataFrame, p: Params, scale: str = "none",
+                queries: DataFrame | None = None) -> DataFrame:
     """(query, candidate, distance) for every sampled query and every item of its group."""
     cols = list(p.features)
     if scale == "zscore":
@@ -44,7 +45,10 @@ def audio_pairs(items: DataFrame, p: Params, scale: str = "none") -> DataFrame:
         cols = [f"z_{c}" for c in cols]
     elif scale != "none":
         raise ValueError("scale must be 'none' or 'zscore'")
-    queries = audio_queries(items, p)
+    if queries is None:
+        queries = audio_queries(items, p)
+    else:
+        queries = items.join(queries.select(p.group, p.item), [p.group, p.item], "left_semi")
     pairs = pair_join(queries, items, group=p.group, id_col=p.item, entity=p.entity, cols=cols)
     return pairs.withColumn("dist", distance_column(cols))
 
@@ -59,10 +63,10 @@ def evaluate_audio(items: DataFrame, p: Params | None = None, *, scale: str = "n
     """
     p = p or Params()
     df = eval_items(items, p)
-    pairs = audio_pairs(df, p, scale)
+    queries = materialize(audio_queries(df, p))
+    pairs = audio_pairs(df, p, scale, queries=queries)
     hits = first_hit_rank(pairs, p.k, score="dist", ascending=True, group=p.group)
-    queries = audio_queries(df, p).select(p.group, F.col(p.item).alias("qid"))
-    m = hit_metrics(queries, hits, group=p.group)
+    m = hit_metrics(queries.select(p.group, F.col(p.item).alias("qid")), hits, group=p.group)
     return m.select(p.group, "n_queries", F.lit(p.k).cast("int").alias("k"),
                     "recall_at_k", "mrr_at_k", _run_ts(run_ts).alias("run_ts"))
 
@@ -79,10 +83,15 @@ def text_eval_items(items: DataFrame, text: DataFrame, p: Params) -> DataFrame:
                            variety=p.variety_groups, min_rows=p.text_min_rows, seed=p.seed)
     df = keep_groups(df, groups, g)
     sizes = group_counts(df, g, "n_tracks_in_genre").filter(F.col("n_tracks_in_genre") >= p.text_min_rows)
-    return df.join(F.broadcast(sizes), g)
+    return materialize(df.join(F.broadcast(sizes), g))
 
 
-def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words") -> DataFrame:
+def text_queries(df: DataFrame, p: Params) -> DataFrame:
+    return sample_per_group(df, p.group, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
+
+
+def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words",
+                  queries: DataFrame | None = None) -> DataFrame:
     """Scored pairs: alpha * audio cosine (z-scored, unit) + (1 - alpha) * text TF-IDF cosine.
 
     The text part is an inverted-index join on (group, term) summed per pair;
@@ -92,8 +101,10 @@ def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words") -> DataFra
     g, feats = p.group, p.features
     z = l2_normalize(zscore(df, g, feats), [f"z_{c}" for c in feats], prefix="u_")
     ucols = [f"u_z_{c}" for c in feats]
-    queries = sample_per_group(z, g, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
-    apairs = (pair_join(queries, z, group=g, id_col="track_id", entity=p.entity, cols=ucols)
+    if queries is None:
+        queries = text_queries(df, p)
+    qz = z.join(F.broadcast(queries.select(g, "track_id")), [g, "track_id"], "left_semi")
+    apairs = (pair_join(qz, z, group=g, id_col="track_id", entity=p.entity, cols=ucols)
               .select(g, "qid", "cid", "q_entity", "c_entity",
                       cosine_column(ucols).alias("audio_cos"), F.lit(0.0).alias("text_cos")))
     weights = term_weights(df, ["track_id", g], "lyrics", mode=tokens)
@@ -119,10 +130,10 @@ def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = No
     p = p or Params()
     g = p.group
     df = text_eval_items(items, text, p)
-    scored = blended_pairs(df, p, tokens=tokens)
+    queries = materialize(text_queries(df, p))
+    scored = blended_pairs(df, p, tokens=tokens, queries=queries)
     top = knn_topk(scored, p.k, score="score", ascending=False, group=g)
     hits = first_hit_from_topk(top, group=g)
-    queries = sample_per_group(df, g, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
     m = hit_metrics(queries.select(g, F.col("track_id").alias("qid")), hits, group=g)
     sizes = df.select(g, "n_tracks_in_genre").distinct()
     return (m.join(sizes, g)

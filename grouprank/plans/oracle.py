@@ -335,7 +335,35 @@ ev AS (
   FROM vq q LEFT JOIN vfh f ON q.genre = f.genre AND q.id = f.qid GROUP BY q.genre)"""
 
 
+def _portable_rounding(sql: str) -> str:
+    """round(x, 6) -> round(x * 1e6) / 1e6 + 0.0 (the same steps as the Spark side; no -0.0)."""
+    out, i, pat = [], 0, "round("
+    while True:
+        j = sql.find(pat, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(pat)])
+            i = j + len(pat)
+            continue
+        depth, k = 1, j + len(pat)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(pat):k - 1]
+        expr, _, places = inner.rpartition(",")
+        scale = f"CAST({10 ** int(places.strip())} AS DOUBLE)"
+        out.append(sql[i:j])
+        out.append(f"(round(({_portable_rounding(expr)}) * {scale}) / {scale} + CAST(0 AS DOUBLE))")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _portable_rounding(v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     A = audio_ctes()
     T = text_ctes()
     I = importance_ctes()

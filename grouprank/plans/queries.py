@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from grouprank.functions.columns import (clean_list_value, coalesce_existing, normalize_label, parse_list_string,
                                          pick_text, primary_entity_id, release_year)
-from grouprank.operators.basic import (clean_lookup_input, complete_rows, dedupe_by_key,
+from grouprank.operators.basic import (clean_lookup_input, complete_rows, dedupe_by_key, materialize,
                                        select_existing, text_available)
 from grouprank.operators.groups import (eligible_groups, group_counts, keep_groups, select_groups,
                                         select_groups_with_reason, top_groups)
@@ -31,14 +31,17 @@ from grouprank.plans.curate import (convert_text, curate_items, curate_items_lef
                                     entity_groups, explode_groups, lookup_input_stratified,
                                     lookup_input_top, resolve_lookups)
 from grouprank.plans.evaluate import (audio_pairs, audio_queries, blended_pairs, eval_items,
-                                      evaluate_audio, evaluate_audio_text, text_eval_items)
+                                      evaluate_audio, evaluate_audio_text, text_eval_items, text_queries)
 from grouprank.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _round(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
+    """Round doubles as round(x * 10^places) / 10^places: the scaled double is rounded
+    half away from zero, which every engine does the same way."""
+    scale = float(10 ** places)
+    return df.select(*[(F.round(F.col(f.name) * scale) / scale).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -192,7 +195,9 @@ def q_join_composite(spark, d):
 
 
 def q_pair_join(spark, d):
-    pairs = audio_pairs(eval_items(curated(spark, d), _p(d)), _p(d))
+    p = _p(d)
+    items = eval_items(curated(spark, d), p)
+    pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
     return _round(pairs.select("genre", "qid", "q_entity", "cid", "c_entity", "dist"))
 
 
@@ -200,7 +205,7 @@ def q_text_cosine(spark, d):
     p = _p(d)
     items = _text_items(spark, d)
     w = term_weights(items, ["track_id", "genre"], "lyrics")
-    q = sample_per_group(items, "genre", p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
+    q = materialize(text_queries(items, p))
     qw = w.join(F.broadcast(q.select("track_id", "genre")), ["track_id", "genre"], "left_semi")
     return _round(text_cosine(qw, w))
 
@@ -290,13 +295,15 @@ def q_tfidf_hashed(spark, d):
 
 
 def q_audio_cosine(spark, d):
-    s = blended_pairs(_text_items(spark, d), _p(d))
+    items = _text_items(spark, d)
+    s = blended_pairs(items, _p(d), queries=materialize(text_queries(items, _p(d))))
     return _round(s.select("genre", "qid", "cid", "audio_cos"))
 
 
 def q_blended_rank(spark, d):
     p = _p(d)
-    s = blended_pairs(_text_items(spark, d), p)
+    items = _text_items(spark, d)
+    s = blended_pairs(items, p, queries=materialize(text_queries(items, p)))
     return _round(knn_topk(s, p.k, score="score", ascending=False).select("genre", "qid", "cid", "score", "rank"))
 
 
@@ -310,15 +317,17 @@ def q_sample_per_group(spark, d):
 
 def q_knn_topk(spark, d):
     p = _p(d)
-    pairs = audio_pairs(eval_items(curated(spark, d), p), p)
+    items = eval_items(curated(spark, d), p)
+    pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
     return _round(knn_topk(pairs, p.k, score="dist").select("genre", "qid", "cid", "dist", "rank"))
 
 
 def q_first_hit_rank(spark, d):
     p = _p(d)
     items = eval_items(curated(spark, d), p)
-    hits = first_hit_rank(audio_pairs(items, p), p.k)
-    q = audio_queries(items, p).select("genre", F.col("id").alias("qid"))
+    queries = materialize(audio_queries(items, p))
+    hits = first_hit_rank(audio_pairs(items, p, queries=queries), p.k)
+    q = queries.select("genre", F.col("id").alias("qid"))
     return q.join(hits, ["genre", "qid"], "left")
 
 
