@@ -39,18 +39,23 @@ def term_counts(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "
     return ex.groupBy(*doc_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "words") -> DataFrame:
-    """(doc..., term, tf, df, idf, weight) with idf = ln((m + 1) / (df + 1)), m = documents.
+def idf_table(tf: DataFrame, docs: DataFrame) -> DataFrame:
+    """(term, df, idf) with idf = ln((m + 1) / (df + 1)), m = rows of ``docs``.
 
-    Document frequency is a per-term count over distinct (doc, term) rows, a hash
-    aggregate with map-side combine, so frequent terms do not skew it.
+    ``tf`` has one row per (doc, term). Document frequency is a per-term count, a
+    hash aggregate with map-side combine, so frequent terms do not skew it.
     """
-    tf = term_counts(df, doc_cols, text_col, mode)
-    m = df.agg(F.count(F.lit(1)).alias("_m")).withColumn("_one", F.lit(1))
+    m = docs.agg(F.count(F.lit(1)).alias("_m")).withColumn("_one", F.lit(1))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1))
     # one-row frame joined on a constant key: a broadcast hash join with one build row
-    idf = (dfreq.join(F.broadcast(m), "_one")
-                .select("term", "df", F.ln((F.col("_m") + 1.0) / (F.col("df") + 1.0)).alias("idf")))
+    return (dfreq.join(F.broadcast(m), "_one")
+                 .select("term", "df", F.ln((F.col("_m") + 1.0) / (F.col("df") + 1.0)).alias("idf")))
+
+
+def tfidf(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "words") -> DataFrame:
+    """(doc..., term, tf, df, idf, weight) with idf = ln((m + 1) / (df + 1)), m = documents."""
+    tf = term_counts(df, doc_cols, text_col, mode)
+    idf = idf_table(tf, df)
     return (tf.join(idf, "term")
               .withColumn("weight", F.col("tf") * F.col("idf"))
               .select(*doc_cols, "term", "tf", "df", "idf", "weight"))

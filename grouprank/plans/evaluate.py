@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.operators.basic import complete_rows, materialize, require_columns, text_available
@@ -10,8 +10,8 @@ from grouprank.operators.groups import group_counts, keep_groups, select_groups
 from grouprank.operators.knn import (cosine_column, distance_column, first_hit_from_topk,
                                      first_hit_rank, hit_metrics, knn_topk, pair_join)
 from grouprank.operators.sampling import sample_per_group
-from grouprank.operators.text import term_weights, text_cosine
-from grouprank.operators.vectors import l2_normalize, zscore
+from grouprank.operators.text import idf_table, term_counts
+from grouprank.operators.vectors import group_stats, l2_normalize, zscore
 from grouprank.params import Params
 
 
@@ -90,35 +90,73 @@ def text_queries(df: DataFrame, p: Params) -> DataFrame:
     return sample_per_group(df, p.group, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
 
 
+# Query postings above this many rows are joined by shuffle instead of broadcast.
+BROADCAST_POSTINGS_LIMIT = 2_000_000
+
+TEXT, NUMERIC = 0, 1
+
+
+def doc_postings(docs: DataFrame, idf: DataFrame, stats: DataFrame, p: Params, *,
+                 tokens: str = "words") -> DataFrame:
+    """Each document as one sparse vector: unit TF-IDF text weights (kind 0) and its
+    unit z-scored numeric features (kind 1).
+
+    Columns: group, track_id, entity, kind, term, w. Rows are hash-partitioned by
+    (group, track_id), so everything about one document sits in one task.
+    """
+    g, e, feats = p.group, p.entity, p.features
+    tf = term_counts(docs, [g, "track_id", e], "lyrics", tokens)
+    text = (tf.join(idf.filter(F.col("idf") > 0), "term")
+              .select(g, "track_id", e, F.lit(TEXT).alias("kind"), "term",
+                      (F.col("tf") * F.col("idf")).alias("weight")))
+    zcols = [f"z_{c}" for c in feats]
+    z = l2_normalize(zscore(docs.select(g, "track_id", e, *feats), g, feats, stats=stats), zcols, prefix="u_")
+    cells = F.array(*[F.struct(F.lit(c).alias("term"), F.col(f"u_z_{c}").alias("weight")) for c in feats])
+    numeric = (z.select(g, "track_id", e, F.lit(NUMERIC).alias("kind"), F.explode(cells).alias("_c"))
+                .select(g, "track_id", e, "kind", "_c.term", "_c.weight"))
+    posts = text.unionByName(numeric).repartition(g, "track_id")
+    text_norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(g, "track_id", "kind")))
+    w = F.when(F.col("kind") == TEXT, F.col("weight") / text_norm).otherwise(F.col("weight"))
+    return posts.select(g, "track_id", e, "kind", "term", w.alias("w"))
+
+
 def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words",
                   queries: DataFrame | None = None) -> DataFrame:
-    """Scored pairs: alpha * audio cosine (z-scored, unit) + (1 - alpha) * text TF-IDF cosine.
-
-    The text part is an inverted-index join on (group, term) summed per pair;
-    pairs sharing no weighted term get 0. Both parts meet in one aggregate keyed
-    by (group, qid, cid), which spreads evenly (the candidate id varies).
+    """Scored pairs: alpha * audio cosine (z-scored, unit) + (1 - alpha) * text TF-IDF cosine,
+    for every sampled query and every other item of its group.
+
+    Both cosines are dot products over one posting list per document (text terms
+    plus numeric features), so one equi-join on (group, kind, term) yields all
+    contributions. Candidate postings stay partitioned by document and the
+    bounded query postings are broadcast (after a size check; a shuffle join
+    beyond it), so the per-pair sums complete inside the candidate's task with no
+    pair shuffle. Every pair shares the numeric coordinates, so pairs without a
+    common word are present with text cosine 0.
+    Columns: group, qid, cid, q_entity, c_entity, audio_cos, text_cos, score.
     """
-    g, feats = p.group, p.features
-    z = l2_normalize(zscore(df, g, feats), [f"z_{c}" for c in feats], prefix="u_")
-    ucols = [f"u_z_{c}" for c in feats]
+    g, e, feats = p.group, p.entity, p.features
     if queries is None:
-        queries = text_queries(df, p)
-    qz = z.join(F.broadcast(queries.select(g, "track_id")), [g, "track_id"], "left_semi")
-    apairs = (pair_join(qz, z, group=g, id_col="track_id", entity=p.entity, cols=ucols)
-              .select(g, "qid", "cid", "q_entity", "c_entity",
-                      cosine_column(ucols).alias("audio_cos"), F.lit(0.0).alias("text_cos")))
-    weights = term_weights(df, ["track_id", g], "lyrics", mode=tokens)
-    qw = weights.join(F.broadcast(queries.select("track_id", g)), ["track_id", g], "left_semi")
-    tpairs = (text_cosine(qw, weights, group=g, id_col="track_id")
-              .select(g, "qid", "cid", F.lit(None).cast("string").alias("q_entity"),
-                      F.lit(None).cast("string").alias("c_entity"),
-                      F.lit(0.0).alias("audio_cos"), "text_cos"))
-    scored = (apairs.unionByName(tpairs.withColumn("q_entity", F.col("q_entity").cast(apairs.schema["q_entity"].dataType))
-                                       .withColumn("c_entity", F.col("c_entity").cast(apairs.schema["c_entity"].dataType)))
-                    .groupBy(g, "qid", "cid")
-                    .agg(F.max("q_entity").alias("q_entity"), F.max("c_entity").alias("c_entity"),
-                         F.sum("audio_cos").alias("audio_cos"), F.sum("text_cos").alias("text_cos")))
-    return scored.withColumn("score", p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos"))
+        queries = materialize(text_queries(df, p))
+    stats = group_stats(df, g, feats)
+    tf_all = term_counts(df, [g, "track_id"], "lyrics", tokens)
+    idf = materialize(idf_table(tf_all, df))
+    qdocs = df.join(F.broadcast(queries.select(g, "track_id")), [g, "track_id"], "left_semi")
+    qposts = materialize(doc_postings(qdocs, idf, stats, p, tokens=tokens))
+    cposts = doc_postings(df, idf, stats, p, tokens=tokens)
+    q = qposts.select(g, "kind", "term", F.col("track_id").alias("qid"), F.col(e).alias("q_entity"),
+                      F.col("w").alias("wq"))
+    if qposts.count() <= BROADCAST_POSTINGS_LIMIT:
+        q = F.broadcast(q)
+    c = cposts.select(g, "kind", "term", F.col("track_id").alias("cid"), F.col(e).alias("c_entity"),
+                      F.col("w").alias("wc"))
+    prod = F.col("wq") * F.col("wc")
+    scored = (c.join(q, [g, "kind", "term"]).filter(F.col("qid") != F.col("cid"))
+               # entities depend on the ids; as keys they keep the aggregate a hash aggregate
+               .groupBy(g, "cid", "qid", "q_entity", "c_entity")
+               .agg(F.sum(F.when(F.col("kind") == NUMERIC, prod).otherwise(0.0)).alias("audio_cos"),
+                    F.sum(F.when(F.col("kind") == TEXT, prod).otherwise(0.0)).alias("text_cos")))
+    return scored.select(g, "qid", "cid", "q_entity", "c_entity", "audio_cos", "text_cos",
+                         (p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos")).alias("score"))
 
 
 def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = None, *,
