@@ -1,0 +1,2 @@
+"""No streaming operators: the workflow is batch only (every stage is a batch job that
+overwrites its output). This package is kept so the layout is uniform."""
