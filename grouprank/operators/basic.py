@@ -55,25 +55,43 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list | None = None) ->
     return df.withColumn("_dedupe_rn", F.row_number().over(w)).filter("_dedupe_rn = 1").drop("_dedupe_rn")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
     """Write ``df`` once to the session's checkpoint folder and read it back.
 
     Used where one intermediate feeds several branches of a plan: every branch
     then reads the same rows (sampling stays consistent) instead of recomputing
     the lineage, and a lost executor recomputes nothing before this point.
+
+    ``spread`` deals the rows round-robin over at least the cluster's default
+    parallelism first. Use it for inputs whose downstream work grows faster than
+    their bytes (each candidate meets every query of its group), which AQE would
+    otherwise pack into a few partitions sized by bytes alone.
     """
     from grouprank.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if spread:
+        df = df.repartition(max(spark.sparkContext.defaultParallelism,
+                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
     """Write ``df`` once to the session's checkpoint folder and read it back.
 
     Used where one intermediate feeds several branches of a plan: every branch
     then reads the same rows (sampling stays consistent) instead of recomputing
     the lineage, and a lost executor recomputes nothing before this point.
+
+    ``spread`` deals the rows round-robin over at least the cluster's default
+    parallelism first. Use it for inputs whose downstream work grows faster than
+    their bytes (each candidate meets every query of its group), which AQE would
+    otherwise pack into a few partitions sized by bytes alone.
     """
     from grouprank.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if spread:
+        df = df.repartition(max(spark.sparkContext.defaultParallelism,
+                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return df.checkpoint(eager=True)

@@ -9,8 +9,10 @@ shuffled by query either: a hot query would put a whole group into one task.
   query is a min over (order key, id) and its rank is one plus the number of
   candidates ordered before it. Both are hash aggregates with map-side combine,
   so only a few rows per query and task cross the shuffle.
-* ``knn_topk`` materialises the neighbour table with ``row_number() <= k``;
-  Spark plans it with a partial WindowGroupLimit before the shuffle.
+* ``knn_topk`` materialises the neighbour table with ``row_number() <= k``. A
+  bound pass over a small deterministic candidate subset first gives each query
+  a safe score bound, so only pairs inside it reach the (partial
+  WindowGroupLimit) window instead of sorting every pair.
 """
 
 from __future__ import annotations
@@ -79,14 +81,51 @@ def first_hit_rank(pairs: DataFrame, k: int, *, score: str = "dist", ascending:
                 .select(group, "qid", F.when(rank <= k, rank).cast("int").alias("first_hit_rank")))
 
 
-def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool = True,
-             group: str = "genre", keep: list[str] | None = None) -> DataFrame:
-    """The ``k`` best candidates per query with their rank (1 = best); ties by id ascending."""
+def _ranked(pairs: DataFrame, k: int, score: str, ascending: bool, group: str) -> DataFrame:
     order = F.col(score).asc() if ascending else F.col(score).desc()
     w = Window.partitionBy(group, "qid").orderBy(order, F.col("cid").asc())
+    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool = True,
+             group: str = "genre", keep: list[str] | None = None, bound_sample: int | None = None,
+             bounded: bool = True) -> DataFrame:
+    """The ``k`` best candidates per query with their rank (1 = best); ties by id ascending.
+
+    Exact, with a bound pass so the full pair stream is never sorted:
+
+    1. a deterministic subset of each group's candidates (about ``bound_sample``
+       of them; default sqrt(k * group size)) is ranked; its k-th best score
+       is a safe bound on the true k-th best (a subset's k-th best is never
+       better than the whole set's);
+    2. the full pairs are filtered to scores within that bound before any
+       shuffle, and only the survivors are ranked by the window (which Spark
+       plans with a partial WindowGroupLimit).
+
+    Queries whose subset holds fewer than ``k`` candidates get no bound. The bound
+    pass reads ``pairs`` three times; pass ``bounded=False`` when the pairs come
+    from an expensive plan (e.g. an aggregate) rather than a broadcast stream.
+    """
     cols = [group, "qid", "q_entity", "cid", "c_entity", score] + (keep or [])
-    return (pairs.select(*cols).withColumn("rank", F.row_number().over(w))
-                 .filter(F.col("rank") <= k))
+    pairs = pairs.select(*cols)
+    if not bounded:
+        return _ranked(pairs, k, score, ascending, group)
+    sizes = pairs.groupBy(group).agg(F.approx_count_distinct("cid").alias("_n"))
+    target = F.lit(float(bound_sample)) if bound_sample else F.sqrt(F.lit(float(k)) * F.col("_n"))
+    frac = F.least(F.lit(1.0), F.greatest(F.lit(4.0 * k), target) / F.col("_n"))
+    # one row per group (bounded by the chosen groups): broadcast
+    sizes = F.broadcast(sizes.select(group, frac.alias("_frac")))
+    u = (F.xxhash64(F.col("cid")).cast("double") + 9.223372036854775808e18) / 1.8446744073709552e19
+    subset = pairs.join(sizes, group).filter(u < F.col("_frac")).drop("_frac")
+    kth = F.max(score) if ascending else F.min(score)
+    bound = (_ranked(subset, k, score, ascending, group)
+             .groupBy(group, "qid").agg(kth.alias("_bound"), F.count(F.lit(1)).alias("_have"))
+             .filter(F.col("_have") >= k).drop("_have"))
+    # one row per query (a bounded sample): broadcast
+    within = F.col(score) <= F.col("_bound") if ascending else F.col(score) >= F.col("_bound")
+    kept = (pairs.join(F.broadcast(bound), [group, "qid"], "left")
+                 .filter(F.col("_bound").isNull() | within).drop("_bound"))
+    return _ranked(kept, k, score, ascending, group)
 
 
 def first_hit_from_topk(topk: DataFrame, *, group: str = "genre") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grouprank.operators.basic import complete_rows, require_columns
+from grouprank.operators.basic import complete_rows, materialize, require_columns
 from grouprank.operators.groups import keep_groups, select_groups
 from grouprank.operators.importance import feature_importance
 from grouprank.operators.sampling import sample_per_group
@@ -33,6 +33,7 @@ def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | No
     df = keep_groups(df, groups, p.group)
     if cap is not None:
         df = sample_per_group(df, p.group, cap, id_col=p.item, seed=p.seed, salt="cap")
+    df = materialize(df.select(p.group, p.entity, *p.features), spread=True)
     out = feature_importance(df, group=p.group, entity=p.entity, features=p.features,
                              min_items=p.importance_min_items, min_entities=p.importance_min_entities)
     ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")

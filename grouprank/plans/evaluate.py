@@ -29,7 +29,7 @@ def eval_items(items: DataFrame, p: Params) -> DataFrame:
     df = keep_groups(df, groups, p.group)
     # gate: a group needs n_queries + 50 rows (one row per chosen group: broadcast is bounded)
     sizes = group_counts(df, p.group).filter(F.col("n") >= p.n_queries + 50)
-    return materialize(keep_groups(df, sizes, p.group))
+    return materialize(keep_groups(df, sizes, p.group), spread=True)
 
 
 def audio_queries(items: DataFrame, p: Params) -> DataFrame:
@@ -83,7 +83,7 @@ def text_eval_items(items: DataFrame, text: DataFrame, p: Params) -> DataFrame:
                            variety=p.variety_groups, min_rows=p.text_min_rows, seed=p.seed)
     df = keep_groups(df, groups, g)
     sizes = group_counts(df, g, "n_tracks_in_genre").filter(F.col("n_tracks_in_genre") >= p.text_min_rows)
-    return materialize(df.join(F.broadcast(sizes), g))
+    return materialize(df.join(F.broadcast(sizes), g), spread=True)
 
 
 def text_queries(df: DataFrame, p: Params) -> DataFrame:
@@ -170,7 +170,7 @@ def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = No
     df = text_eval_items(items, text, p)
     queries = materialize(text_queries(df, p))
     scored = blended_pairs(df, p, tokens=tokens, queries=queries)
-    top = knn_topk(scored, p.k, score="score", ascending=False, group=g)
+    top = knn_topk(scored, p.k, score="score", ascending=False, group=g, bounded=False)
     hits = first_hit_from_topk(top, group=g)
     m = hit_metrics(queries.select(g, F.col("track_id").alias("qid")), hits, group=g)
     sizes = df.select(g, "n_tracks_in_genre").distinct()

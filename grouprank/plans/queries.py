@@ -304,7 +304,7 @@ def q_blended_rank(spark, d):
     p = _p(d)
     items = _text_items(spark, d)
     s = blended_pairs(items, p, queries=materialize(text_queries(items, p)))
-    return _round(knn_topk(s, p.k, score="score", ascending=False).select("genre", "qid", "cid", "score", "rank"))
+    return _round(knn_topk(s, p.k, score="score", ascending=False, bounded=False).select("genre", "qid", "cid", "score", "rank"))
 
 
 # ------------------------------------------------------------------ windows, sorts, sampling
