@@ -96,16 +96,15 @@ BROADCAST_POSTINGS_LIMIT = 2_000_000
 TEXT, NUMERIC = 0, 1
 
 
-def doc_postings(docs: DataFrame, idf: DataFrame, stats: DataFrame, p: Params, *,
-                 tokens: str = "words") -> DataFrame:
+def doc_postings(tf: DataFrame, docs: DataFrame, idf: DataFrame, stats: DataFrame, p: Params) -> DataFrame:
     """Each document as one sparse vector: unit TF-IDF text weights (kind 0) and its
     unit z-scored numeric features (kind 1).
 
-    Columns: group, track_id, entity, kind, term, w. Rows are hash-partitioned by
-    (group, track_id), so everything about one document sits in one task.
+    ``tf`` holds (group, track_id, entity, term, tf) for ``docs``. Columns: group,
+    track_id, entity, kind, term, w. Rows are hash-partitioned by (group, track_id),
+    so everything about one document sits in one task.
     """
     g, e, feats = p.group, p.entity, p.features
-    tf = term_counts(docs, [g, "track_id", e], "lyrics", tokens)
     text = (tf.join(idf.filter(F.col("idf") > 0), "term")
               .select(g, "track_id", e, F.lit(TEXT).alias("kind"), "term",
                       (F.col("tf") * F.col("idf")).alias("weight")))
@@ -138,11 +137,13 @@ def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words",
     if queries is None:
         queries = materialize(text_queries(df, p))
     stats = group_stats(df, g, feats)
-    tf_all = term_counts(df, [g, "track_id"], "lyrics", tokens)
-    idf = materialize(idf_table(tf_all, df))
-    qdocs = df.join(F.broadcast(queries.select(g, "track_id")), [g, "track_id"], "left_semi")
-    qposts = materialize(doc_postings(qdocs, idf, stats, p, tokens=tokens))
-    cposts = doc_postings(df, idf, stats, p, tokens=tokens)
+    # tokenise once: the term counts feed document frequencies and both posting lists
+    tf = materialize(term_counts(df, [g, "track_id", e], "lyrics", tokens), spread=True)
+    idf = materialize(idf_table(tf, df))
+    qkeys = F.broadcast(queries.select(g, "track_id"))
+    qposts = materialize(doc_postings(tf.join(qkeys, [g, "track_id"], "left_semi"),
+                                      df.join(qkeys, [g, "track_id"], "left_semi"), idf, stats, p))
+    cposts = doc_postings(tf, df, idf, stats, p)
     q = qposts.select(g, "kind", "term", F.col("track_id").alias("qid"), F.col(e).alias("q_entity"),
                       F.col("w").alias("wq"))
     if qposts.count() <= BROADCAST_POSTINGS_LIMIT:

@@ -52,6 +52,12 @@ def curated(spark, d) -> DataFrame:
     return curate_items(fx.fx_tracks(spark, d), fx.fx_artists(spark, d))
 
 
+def curated_table(spark, d) -> DataFrame:
+    """The curated table written once, for queries that read it in several branches
+    (as the pipeline reads its written stage table)."""
+    return materialize(curated(spark, d), spread=True)
+
+
 def lookup_rows(spark, d) -> DataFrame:
     """Every curated row as a lookup input row (track_id, track_name, artist_name_primary, genre)."""
     c = curated(spark, d)
@@ -76,12 +82,13 @@ def _variety(d) -> Params:
     return _p(d).with_(group_mode="top_n_plus_variety", top_groups=top, variety_groups=var, min_rows=mn)
 
 
-def _audio_eval(spark, d) -> DataFrame:
-    return evaluate_audio(curated(spark, d), _p(d))
+def _audio_eval(spark, d, cur=None) -> DataFrame:
+    return evaluate_audio(cur if cur is not None else curated(spark, d), _p(d))
 
 
-def _text_eval(spark, d) -> DataFrame:
-    return evaluate_audio_text(curated(spark, d), enriched(spark, d), _p(d))
+def _text_eval(spark, d, cur=None) -> DataFrame:
+    cur = cur if cur is not None else curated_table(spark, d)
+    return evaluate_audio_text(cur, enrich_with_text(cur, text_records(spark, d)), _p(d))
 
 
 def _predictors(spark, d) -> DataFrame:
@@ -89,7 +96,8 @@ def _predictors(spark, d) -> DataFrame:
 
 
 def _text_items(spark, d) -> DataFrame:
-    return text_eval_items(curated(spark, d), enriched(spark, d), _p(d))
+    cur = curated_table(spark, d)
+    return text_eval_items(cur, enrich_with_text(cur, text_records(spark, d)), _p(d))
 
 
 # ------------------------------------------------------------------ scans, sources, sinks
@@ -310,7 +318,7 @@ def q_blended_rank(spark, d):
 # ------------------------------------------------------------------ windows, sorts, sampling
 
 def q_sample_per_group(spark, d):
-    c = complete_rows(curated(spark, d), ["id", "genre", "artist_id_primary"] + FEATURES)
+    c = complete_rows(curated_table(spark, d), ["id", "genre", "artist_id_primary"] + FEATURES)
     return sample_per_group(c.select("genre", "id"), "genre", 40, id_col="id", seed=42, salt="cap",
                             keep_rank="rank")
 
@@ -348,7 +356,8 @@ def q_eval_report(spark, d):
 
 
 def q_delta_report(spark, d):
-    delta = cmp.compare_runs(_audio_eval(spark, d), _text_eval(spark, d))
+    cur = curated_table(spark, d)
+    delta = cmp.compare_runs(_audio_eval(spark, d, cur), _text_eval(spark, d, cur))
     return _round(cmp.delta_report(delta))
 
 
@@ -438,11 +447,14 @@ def q_convert_text(spark, d):
 
 
 def q_delta_flagged(spark, d):
-    return _round(cmp.compare_runs(_audio_eval(spark, d), _text_eval(spark, d)).drop("run_ts"))
+    cur = curated_table(spark, d)
+    return _round(cmp.compare_runs(_audio_eval(spark, d, cur), _text_eval(spark, d, cur)).drop("run_ts"))
 
 
 def q_delta_unflagged(spark, d):
-    return _round(cmp.compare_runs(_audio_eval(spark, d), _text_eval(spark, d), flagged=False).drop("run_ts"))
+    cur = curated_table(spark, d)
+    return _round(cmp.compare_runs(_audio_eval(spark, d, cur), _text_eval(spark, d, cur),
+                                   flagged=False).drop("run_ts"))
 
 
 def q_pipeline_delta(spark, d):
