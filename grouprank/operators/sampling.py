@@ -26,8 +26,13 @@ def with_sample_key(df: DataFrame, id_col: str, seed, salt: str, name: str = "_s
 
 
 def sample_per_group(df: DataFrame, group_cols, n: int, *, id_col: str, seed=42,
-                     salt: str = "cap", keep_rank: str | None = None) -> DataFrame:
-    """The ``n`` rows with the smallest sample key in each group (all rows if fewer)."""
+                     salt: str = "cap", keep_rank: str | None = None,
+                     tiebreak: list[str] | None = None) -> DataFrame:
+    """The ``n`` rows with the smallest sample key in each group (all rows if fewer).
+
+    Order: sample key, then ``id_col``, then ``tiebreak`` columns (for ids that
+    repeat inside a group).
+    """
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     keyed = (with_sample_key(df, id_col, seed, salt)
              .withColumn("_sb", F.conv(F.substring("_sk", 1, _HEX_DIGITS), 16, 10).cast("int")))
@@ -37,7 +42,7 @@ def sample_per_group(df: DataFrame, group_cols, n: int, *, id_col: str, seed=42,
                .filter(F.col("_before") < n)
                .groupBy(*groups).agg(F.max("_sb").alias("_cut")))
     survivors = keyed.join(cut, groups).filter(F.col("_sb") <= F.col("_cut"))
-    w = Window.partitionBy(*groups).orderBy("_sk", id_col)
+    w = Window.partitionBy(*groups).orderBy("_sk", id_col, *(tiebreak or []))
     out = (survivors.withColumn("_rn", F.row_number().over(w))
                     .filter(F.col("_rn") <= n)
                     .drop("_sb", "_cut", "_sk"))
@@ -47,14 +52,18 @@ def sample_per_group(df: DataFrame, group_cols, n: int, *, id_col: str, seed=42,
 
 
 def random_subset(df: DataFrame, id_col: str, m: int, *, seed=42, salt: str = "group") -> DataFrame:
-    """``m`` rows in sample-key order over the whole frame (TakeOrdered, no single-partition window).
+    """``m`` rows in sample-key order over the whole frame.
 
-    Ties on the key (an id repeated in several rows) are broken by the id, then
-    by the remaining columns, so the subset is defined.
+    The same histogram cut as ``sample_per_group`` with the whole frame as one
+    group, so at most ``m`` rows plus one hash bucket reach the final ranking,
+    however many tasks the input has (an ordered limit would gather ``m`` rows
+    from every task). Ties on the key (an id repeated in several rows) are broken
+    by the id, then by the remaining columns, so the subset is defined.
     """
     rest = [c for c in df.columns if c != id_col]
-    return (with_sample_key(df, id_col, seed, salt)
-            .orderBy("_sk", id_col, *rest).limit(m).drop("_sk"))
+    one = df.withColumn("_all", F.lit(1))
+    return (sample_per_group(one, "_all", m, id_col=id_col, seed=seed, salt=salt, tiebreak=rest)
+            .drop("_all"))
 
 
 def capped_sample(df: DataFrame, id_col: str, cap: int, *, seed=42, salt: str = "capped") -> DataFrame:
