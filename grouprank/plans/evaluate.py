@@ -38,17 +38,22 @@ def audio_queries(items: DataFrame, p: Params) -> DataFrame:
 
 def audio_pairs(items: DataFrame, p: Params, scale: str = "none",
                 queries: DataFrame | None = None) -> DataFrame:
-    """(query, candidate, distance) for every sampled query and every item of its group."""
+    """(query, candidate, distance) for every sampled query and every item of its group.
+
+    ``queries`` (default: sampled from ``items``) carries the item columns, so it
+    is broadcast as is; with ``scale="zscore"`` both sides use the same group
+    statistics of ``items``.
+    """
     cols = list(p.features)
+    if queries is None:
+        queries = audio_queries(items, p)
     if scale == "zscore":
-        items = zscore(items, p.group, cols)
+        stats = group_stats(items, p.group, cols)
+        items = zscore(items, p.group, cols, stats=stats)
+        queries = zscore(queries, p.group, cols, stats=stats)
         cols = [f"z_{c}" for c in cols]
     elif scale != "none":
         raise ValueError("scale must be 'none' or 'zscore'")
-    if queries is None:
-        queries = audio_queries(items, p)
-    else:
-        queries = items.join(queries.select(p.group, p.item), [p.group, p.item], "left_semi")
     pairs = pair_join(queries, items, group=p.group, id_col=p.item, entity=p.entity, cols=cols)
     return pairs.withColumn("dist", distance_column(cols))
 
