@@ -83,7 +83,7 @@ def _variety(d) -> Params:
 
 
 def _audio_eval(spark, d, cur=None) -> DataFrame:
-    return evaluate_audio(cur if cur is not None else curated(spark, d), _p(d))
+    return evaluate_audio(cur if cur is not None else curated_table(spark, d), _p(d))
 
 
 def _text_eval(spark, d, cur=None) -> DataFrame:
@@ -92,7 +92,7 @@ def _text_eval(spark, d, cur=None) -> DataFrame:
 
 
 def _predictors(spark, d) -> DataFrame:
-    return cmp.genre_predictors(curated(spark, d), _p(d))
+    return cmp.genre_predictors(curated_table(spark, d), _p(d))
 
 
 def _text_items(spark, d) -> DataFrame:
@@ -172,7 +172,7 @@ def q_clean_lookup_input(spark, d):
 
 
 def q_group_semi_filter(spark, d):
-    c = curated(spark, d)
+    c = curated_table(spark, d)
     p = _p(d)
     return keep_groups(c, select_groups(c, min_rows=p.min_rows, top=p.top_groups)).select("id", "genre")
 
@@ -204,7 +204,7 @@ def q_join_composite(spark, d):
 
 def q_pair_join(spark, d):
     p = _p(d)
-    items = eval_items(curated(spark, d), p)
+    items = eval_items(curated_table(spark, d), p)
     pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
     return _round(pairs.select("genre", "qid", "q_entity", "cid", "c_entity", "dist"))
 
@@ -325,14 +325,14 @@ def q_sample_per_group(spark, d):
 
 def q_knn_topk(spark, d):
     p = _p(d)
-    items = eval_items(curated(spark, d), p)
+    items = eval_items(curated_table(spark, d), p)
     pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
     return _round(knn_topk(pairs, p.k, score="dist").select("genre", "qid", "cid", "dist", "rank"))
 
 
 def q_first_hit_rank(spark, d):
     p = _p(d)
-    items = eval_items(curated(spark, d), p)
+    items = eval_items(curated_table(spark, d), p)
     queries = materialize(audio_queries(items, p))
     hits = first_hit_rank(audio_pairs(items, p, queries=queries), p.k)
     q = queries.select("genre", F.col("id").alias("qid"))
@@ -348,7 +348,9 @@ def q_preview_rows(spark, d):
 
 
 def q_capped_sample(spark, d):
-    return capped_sample(lookup_rows(spark, d), "track_id", 5000, seed=42)
+    rows = curated_table(spark, d).select(F.col("id").alias("track_id"), F.col("name").alias("track_name"),
+                                          "artist_name_primary", "genre")
+    return capped_sample(rows, "track_id", 5000, seed=42)
 
 
 def q_eval_report(spark, d):
@@ -368,13 +370,13 @@ def q_select_groups_top(spark, d):
 
 def q_select_groups_variety(spark, d):
     p = _variety(d)
-    return select_groups(curated(spark, d), mode=p.group_mode, top=p.top_groups,
+    return select_groups(curated_table(spark, d), mode=p.group_mode, top=p.top_groups,
                          variety=p.variety_groups, min_rows=p.min_rows, seed=p.seed)
 
 
 def q_select_groups_sql(spark, d):
     p = _variety(d)
-    return select_groups_with_reason(curated(spark, d), top=p.top_groups, variety=p.variety_groups,
+    return select_groups_with_reason(curated_table(spark, d), top=p.top_groups, variety=p.variety_groups,
                                      min_rows=p.min_rows, seed=p.seed)
 
 
@@ -428,13 +430,13 @@ def q_clean_list_value(spark, d):
 
 def q_lookup_input_top(spark, d):
     p = _p(d)
-    return lookup_input_top(curated(spark, d), top=p.lookup_top_groups, min_rows=p.lookup_min_rows,
+    return lookup_input_top(curated_table(spark, d), top=p.lookup_top_groups, min_rows=p.lookup_min_rows,
                             per_group=p.lookup_per_group, seed=p.seed)
 
 
 def q_lookup_input_stratified(spark, d):
     p = _p(d)
-    return lookup_input_stratified(curated(spark, d), per_group=p.stratified_per_group,
+    return lookup_input_stratified(curated_table(spark, d), per_group=p.stratified_per_group,
                                    cap=p.stratified_cap, seed=p.seed)
 
 
