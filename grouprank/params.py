@@ -68,9 +68,12 @@ def params_for_scale(sf_dir: str) -> Params:
 
 
 def variety_params_for_scale(sf_dir: str) -> tuple[int, int, int]:
-    """(top, variety, min_rows) for the top-plus-variety chooser per test scale."""
+    """(top, variety, min_rows) for the top-plus-variety chooser per test scale.
+
+    Any other folder gets the sf0.01 values, which the SQL oracle is written for.
+    """
     if "sf0.001" in sf_dir:
         return 3, 2, 50
-    if "sf0.01" in sf_dir:
-        return 5, 5, 300
-    return 5, 5, 500
+    if "sf0.1" in sf_dir.replace("sf0.01", ""):
+        return 5, 5, 500
+    return 5, 5, 300
