@@ -67,12 +67,11 @@ def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
     their bytes (each candidate meets every query of its group), which AQE would
     otherwise pack into a few partitions sized by bytes alone.
     """
-    from grouprank.session import ensure_checkpoint_dir
+    from grouprank.session import default_parallelism, ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if spread:
-        df = df.repartition(max(spark.sparkContext.defaultParallelism,
-                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        df = df.repartition(default_parallelism(spark))
     return df.checkpoint(eager=True)
 
 
@@ -88,10 +87,9 @@ def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
     their bytes (each candidate meets every query of its group), which AQE would
     otherwise pack into a few partitions sized by bytes alone.
     """
-    from grouprank.session import ensure_checkpoint_dir
+    from grouprank.session import default_parallelism, ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if spread:
-        df = df.repartition(max(spark.sparkContext.defaultParallelism,
-                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        df = df.repartition(default_parallelism(spark))
     return df.checkpoint(eager=True)
