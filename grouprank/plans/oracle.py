@@ -424,7 +424,7 @@ def _oracle_sql() -> dict[str, str]:
     s["distinct_items_per_group"] = _with(BASE) + (
         "SELECT genre, count(DISTINCT id) AS distinct_tracks FROM curated GROUP BY genre")
     s["feature_importance"] = _with(BASE, I) + (
-        "SELECT genre, feature, round(importance_raw, 6) AS importance_raw, round(importance_abs, 6) AS importance_abs, "
+        "SELECT genre, feature, round(importance_raw, 4) AS importance_raw, round(importance_abs, 4) AS importance_abs, "
         "round(importance_norm, 6) AS importance_norm FROM fi")
     s["importance_by_feature"] = _with(BASE, I) + (
         "SELECT feature, round(sum(importance_norm), 6) AS importance_norm_sum FROM fi GROUP BY feature")

@@ -37,15 +37,24 @@ from grouprank.sources import io
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _round(df: DataFrame, places: int = 6) -> DataFrame:
+def _round(df: DataFrame, places: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round doubles as round(x * 10^places) / 10^places: the scaled double is rounded
     half away from zero, which every engine does the same way."""
-    scale = float(10 ** places)
-    return df.select(*[(F.round(F.col(f.name) * scale) / scale).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+    overrides = overrides or {}
+
+    def r(name):
+        scale = float(10 ** overrides.get(name, places))
+        return (F.round(F.col(name) * scale) / scale).alias(name)
+    return df.select(*[r(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
 
+# Raw importances are small differences of two large means (about 1e5 apart for the
+# order-total feature), so summation order moves them by ~1e-9; 4 places keep the
+# comparison stable. Normalised importances keep 6 places.
+IMPORTANCE_PLACES = {"importance_raw": 4, "importance_abs": 4}
+
+
 # ------------------------------------------------------------------ shared derivations
 
 def curated(spark, d) -> DataFrame:
@@ -260,7 +269,7 @@ def q_importance_by_feature(spark, d):
 
 
 def q_feature_importance(spark, d):
-    return _round(_predictors(spark, d).drop("run_ts"))
+    return _round(_predictors(spark, d).drop("run_ts"), overrides=IMPORTANCE_PLACES)
 
 
 def q_top_features(spark, d):
