@@ -56,40 +56,24 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list | None = None) ->
 
 
 def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and read it back.
+    """Write ``df`` once as Parquet under the session's checkpoint folder and read it back.
 
     Used where one intermediate feeds several branches of a plan: every branch
     then reads the same rows (sampling stays consistent) instead of recomputing
-    the lineage, and a lost executor recomputes nothing before this point.
+    the lineage, and a lost executor recomputes nothing before this point. A
+    Parquet table (unlike an RDD checkpoint) gives later reads column pruning,
+    filter pushdown and real size statistics for join planning.
 
     ``spread`` deals the rows round-robin over at least the cluster's default
     parallelism first. Use it for inputs whose downstream work grows faster than
     their bytes (each candidate meets every query of its group), which AQE would
     otherwise pack into a few partitions sized by bytes alone.
     """
-    from grouprank.session import default_parallelism, ensure_checkpoint_dir
+    from grouprank.session import default_parallelism
+    from grouprank.sources.io import scratch_path
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "stage")
     if spread:
         df = df.repartition(default_parallelism(spark))
-    return df.checkpoint(eager=True)
-
-
-def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and read it back.
-
-    Used where one intermediate feeds several branches of a plan: every branch
-    then reads the same rows (sampling stays consistent) instead of recomputing
-    the lineage, and a lost executor recomputes nothing before this point.
-
-    ``spread`` deals the rows round-robin over at least the cluster's default
-    parallelism first. Use it for inputs whose downstream work grows faster than
-    their bytes (each candidate meets every query of its group), which AQE would
-    otherwise pack into a few partitions sized by bytes alone.
-    """
-    from grouprank.session import default_parallelism, ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if spread:
-        df = df.repartition(default_parallelism(spark))
-    return df.checkpoint(eager=True)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
