@@ -92,7 +92,7 @@ def _ranked(pairs: DataFrame, k: int, score: str, ascending: bool, group: str) -
 
 def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool = True,
              group: str = "genre", keep: list[str] | None = None, bound_sample: int | None = None,
-             bounded: bool = True) -> DataFrame:
+             bounded: bool = True, group_sizes: DataFrame | None = None) -> DataFrame:
     """The ``k`` best candidates per query with their rank (1 = best); ties by id ascending.
 
     Exact, with a bound pass so the full pair stream is never sorted:
@@ -108,12 +108,16 @@ def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool =
     Queries whose subset holds fewer than ``k`` candidates get no bound. The bound
     pass reads ``pairs`` three times; pass ``bounded=False`` when the pairs come
     from an expensive plan (e.g. an aggregate) rather than a broadcast stream.
+    ``group_sizes`` (group, n) saves counting candidates from the pairs.
     """
     cols = [group, "qid", "q_entity", "cid", "c_entity", score] + (keep or [])
     pairs = pairs.select(*cols)
     if not bounded:
         return _ranked(pairs, k, score, ascending, group)
-    sizes = pairs.groupBy(group).agg(F.approx_count_distinct("cid").alias("_n"))
+    if group_sizes is not None:
+        sizes = group_sizes.select(group, F.col("n").cast("double").alias("_n"))
+    else:
+        sizes = pairs.groupBy(group).agg(F.approx_count_distinct("cid").alias("_n"))
     target = F.lit(float(bound_sample)) if bound_sample else F.sqrt(F.lit(float(k)) * F.col("_n"))
     frac = F.least(F.lit(1.0), F.greatest(F.lit(4.0 * k), target) / F.col("_n"))
     # one row per group (bounded by the chosen groups): broadcast

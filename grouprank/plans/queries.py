@@ -336,7 +336,9 @@ def q_knn_topk(spark, d):
     p = _p(d)
     items = eval_items(curated_table(spark, d), p)
     pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
-    return _round(knn_topk(pairs, p.k, score="dist").select("genre", "qid", "cid", "dist", "rank"))
+    sizes = group_counts(items, "genre")
+    return _round(knn_topk(pairs, p.k, score="dist", group_sizes=sizes)
+                  .select("genre", "qid", "cid", "dist", "rank"))
 
 
 def q_first_hit_rank(spark, d):
