@@ -2,7 +2,7 @@
 
 The SQL is written from the operator definitions, not from the Spark plans:
 plain windows (row_number, running sums) where the Spark side uses
-distributed equivalents (hash-histogram sampling, sort-free first-hit ranks,
+distributed equivalents (hash-histogram sampling, aggregate-based first-hit ranks,
 range-partitioned prefix sums). Fixture CTEs are the statements in FIXTURES.md.
 """
 

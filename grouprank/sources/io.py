@@ -113,4 +113,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's checkpoint folder."""
     from grouprank.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a shared folder for intermediate tables")
     return f"{base}/scratch/{label}-{uuid.uuid4().hex[:12]}"
