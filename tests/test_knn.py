@@ -1,7 +1,9 @@
-"""Nearest-neighbour ranking: sort-free first-hit rank vs the top-k window vs brute force."""
+"""Nearest-neighbour ranking: aggregate first-hit rank and bounded top-k vs the plain window and brute force."""
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from grouprank.operators.knn import (distance_column, first_hit_from_topk, first_hit_rank, hit_metrics,
@@ -43,3 +45,19 @@ def test_metrics_count_queries_without_hits(spark):
     assert m.n_queries == 4
     assert m.recall_at_k == 0.5
     assert abs(m.mrr_at_k - (1 + 0.25) / 4) < 1e-12
+
+
+@pytest.mark.parametrize("bound_sample", [None, 1, 7, 10_000])
+def test_bounded_topk_equals_plain_window(spark, bound_sample):
+    rng = random.Random(5)
+    rows = []
+    for g, n in (("big", 400), ("small", 12), ("tiny", 3)):
+        for i in range(n):
+            rows.append((g, f"{g}{i:04d}", f"e{rng.randrange(9)}", float(rng.randrange(15))))  # many ties
+    df = spark.createDataFrame(rows, "genre string, id string, ent string, x double")
+    q = df.filter(F.col("id").endswith("1") | F.col("id").endswith("7"))
+    pairs = pair_join(q, df, entity="ent", cols=["x"]).withColumn("dist", distance_column(["x"]))
+    for asc in (True, False):
+        plain = sorted(tuple(r) for r in knn_topk(pairs, 5, ascending=asc, bounded=False).collect())
+        bounded = sorted(tuple(r) for r in knn_topk(pairs, 5, ascending=asc, bound_sample=bound_sample).collect())
+        assert bounded == plain
