@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grouprank.llm.common import documents
+from grouprank.llm.html_text import extract_text
+from grouprank.llm.language_id import language_id
 from grouprank.llm.packing import pack_documents
 from grouprank.llm.token_counts import token_counts
 from grouprank.llm.token_matrix import token_matrices
@@ -24,9 +26,19 @@ def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrices(documents(spark, sf_dir))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op7_token_matrices": op7_token_matrices,
+    "op9_language_id": op9_language_id,
+    "op10_html_text": op10_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}
