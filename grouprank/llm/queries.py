@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from grouprank.llm.ann import nearest
 from grouprank.llm.common import documents
 from grouprank.llm.html_text import extract_text
 from grouprank.llm.language_id import language_id
@@ -18,6 +19,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -36,6 +41,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_token_counts": op3_token_counts,
     "op7_token_matrices": op7_token_matrices,
     "op9_language_id": op9_language_id,
