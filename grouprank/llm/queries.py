@@ -10,6 +10,7 @@ from grouprank.llm.ann import nearest
 from grouprank.llm.common import documents
 from grouprank.llm.html_text import extract_text
 from grouprank.llm.language_id import language_id
+from grouprank.llm.lm_scoring import score_documents
 from grouprank.llm.packing import pack_documents
 from grouprank.llm.token_counts import token_counts
 from grouprank.llm.token_matrix import token_matrices
@@ -27,6 +28,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrices(documents(spark, sf_dir))
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_token_counts": op3_token_counts,
+    "op5_lm_scoring": op5_lm_scoring,
     "op7_token_matrices": op7_token_matrices,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
