@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grouprank.llm.ann import nearest
 from grouprank.llm.common import documents
+from grouprank.llm.decontamination import contaminated
 from grouprank.llm.html_text import extract_text
 from grouprank.llm.language_id import language_id
 from grouprank.llm.lm_scoring import score_documents
@@ -32,6 +33,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrices(documents(spark, sf_dir))
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_token_counts": op3_token_counts,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_decontamination": op6_decontamination,
     "op7_token_matrices": op7_token_matrices,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
