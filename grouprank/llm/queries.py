@@ -10,6 +10,7 @@ from grouprank.llm.ann import nearest
 from grouprank.llm.common import documents
 from grouprank.llm.decontamination import contaminated
 from grouprank.llm.html_text import extract_text
+from grouprank.llm.jaccard_join import jaccard_classes
 from grouprank.llm.language_id import language_id
 from grouprank.llm.lm_scoring import score_documents
 from grouprank.llm.packing import pack_documents
@@ -41,6 +42,10 @@ def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrices(documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
     "op7_token_matrices": op7_token_matrices,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
 }
