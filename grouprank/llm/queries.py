@@ -14,6 +14,7 @@ from grouprank.llm.jaccard_join import jaccard_classes
 from grouprank.llm.language_id import language_id
 from grouprank.llm.lm_scoring import score_documents
 from grouprank.llm.packing import pack_documents
+from grouprank.llm.suffix_dedup import remove_repeats
 from grouprank.llm.token_counts import token_counts
 from grouprank.llm.token_matrix import token_matrices
 
@@ -30,6 +31,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_token_counts": op3_token_counts,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
     "op7_token_matrices": op7_token_matrices,
