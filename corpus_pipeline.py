@@ -1,11 +1,60 @@
-"""The corpus pipeline: each stage keeps or places documents by one of the operators of grouprank.llm."""
+"""The corpus pipeline: each stage keeps, cuts or places documents by one of the operators of grouprank.llm.
+
+language ID -> n-gram Jaccard join -> suffix-array dedup -> benchmark decontamination -> best-fit packing
+
+Every stage takes the documents that the one before kept and, but for the last, returns the columns of documents.
+Rows with null ids or texts, repeated rows and empty tables are treated as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grouprank.llm.common import documents, written
+from grouprank.llm.decontamination import contaminated
+from grouprank.llm.jaccard_join import jaccard_classes
+from grouprank.llm.language_id import UNKNOWN, identify, train
 from grouprank.llm.packing import pack_documents
+from grouprank.llm.suffix_dedup import remove_repeats
+
+#: A document stays if its language is found with at least this score.
+LEAST_SCORE = 0.5
+
+
+def restored(found: DataFrame, docs: DataFrame, **anew: Column) -> DataFrame:
+    """The columns of docs, all of which were carried as c0, c1, ..., but for those computed anew."""
+    return found.select(*[anew.get(c, F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)])
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found stay; those without text or letters, or torn between languages, go."""
+    found = identify(docs, train(docs), tuple(docs.columns))
+    return restored(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays, the one with the least id (and one row of repeated rows)."""
+    classes = jaccard_classes(docs)
+    rest = classes.where("doc_id != class_id").select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct()
+    marked = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    same = (marked["doc_id"] == rest["_doc_id"]) & (marked["_hash"] == rest["_text_hash"])
+    return marked.join(rest, same, "left_anti").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose what an earlier document holds too; documents that lose all of their text go."""
+    found = remove_repeats(docs, tuple(docs.columns), with_kept=True)
+    some = found.where((F.col("n_removed") == 0) | (F.trim("kept") != ""))
+    text = docs.columns.index("text")
+    cut = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"c{text}"))
+    return restored(some, docs, text=cut, **({"n_chars": F.length(cut).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}))
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), tuple(docs.columns))
+    return restored(found.where(~F.col("is_contaminated")), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +62,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("best-fit packing", packing)]
+STAGES = [
+    ("language ID", language),
+    ("n-gram Jaccard join", near_copies),
+    ("suffix-array dedup", repeated_strings),
+    ("benchmark decontamination", benchmark_free),
+    ("best-fit packing", packing),
+]
+#: SQL has no tokenizer, n-gram classifier or byte-wise removal: the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

@@ -49,6 +49,16 @@ def narrow(df: DataFrame, *columns: tuple[str, str]) -> DataFrame:
     return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns])
 
 
+def with_carried(df: DataFrame, columns: tuple[tuple[str, str], ...], carry: tuple[str, ...]) -> DataFrame:
+    """The named columns, cast, and the columns in carry as c0, c1, ... (so that no name clashes)."""
+    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns], *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)])
+
+
+def carried_schema(df: DataFrame) -> str:
+    """Schema text of the columns c0, c1, ... of df, each after a comma."""
+    return "".join(f", {f.name} {f.dataType.simpleString()}" for f in df.schema if f.name[0] == "c" and f.name[1:].isdigit())
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows whose texts hold about most_bytes (one row at least)."""
     for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grouprank.llm.common import narrow, text_slices
+from grouprank.llm.common import narrow, text_slices, with_carried
 from grouprank.llm.shingles import SIZE, mix, shingle_hashes
 
 BITS = 64
@@ -118,19 +118,19 @@ def block_edges() -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, n_items, is_contaminated, items, similarities, first_words, n_words.
 
     items are the benchmark items that a passage of the document is similar to (weighted Jaccard similarity of
     five-word shingles >= 0.8, words in lower case without punctuation), in order of id; first_words and n_words say
-    where (in words). A passage is as many words as the item; a document shorter than the item is one passage.
+    where (in words). Columns named in carry follow under c0, c1, ... A passage is as many words as the item; a document shorter than the item is one passage.
     SimHash is an estimate, so a similar passage is missed if its fingerprint is further than RADIUS bits away (a few
     in ten thousand at a similarity of exactly 0.8).
     Null or empty texts, and documents without words, hold nothing. Items without words match nothing, an item of a
     null id is listed as null. Repeated rows are judged each. An empty benchmark leaves all documents clean.
     """
     spark = docs.sparkSession
-    docs = narrow(docs, ("doc_id", "long"), ("text", "string"))
+    docs = with_carried(docs, (("doc_id", "long"), ("text", "string")), carry)
     items = narrow(benchmark, ("item_id", "long"), ("text", "string"))
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
     found = docs.withColumn("found", F.array().cast("array<struct<item:long,similarity:double,first:long,n:long>>"))
@@ -142,7 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", F.size("found").cast("long").alias("n_items"), (F.size("found") > 0).alias("is_contaminated"),
         F.col("found.item").alias("items"), F.col("found.similarity").alias("similarities"),
-        F.col("found.first").alias("first_words"), F.col("found.n").alias("n_words"))
+        F.col("found.first").alias("first_words"), F.col("found.n").alias("n_words"), *(f"c{k}" for k in range(len(carry))))
 
 
 def searcher(index):
@@ -159,13 +159,14 @@ def searcher(index):
             places, owners = items.hits(shingles[maybe])
             places = maybe[places]
             doc = np.searchsorted(first, places, side="right") - 1
-            found = batch.column(2).to_pylist()
+            at = batch.schema.get_field_index("found")
+            found = batch.column(at).to_pylist()
             for k in np.unique(doc):
                 mine = doc == k
                 leaks = items.leaks(shingles[first[k]:first[k + 1]], places[mine] - first[k], owners[mine])
                 found[k] = sorted(
                     [*found[k], *({"item": items.ids[i], "similarity": v, "first": s, "n": w + SIZE - 1} for i, (v, s, w) in leaks.items())],
                     key=lambda x: (x["item"] is None, x["item"] or 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], ["doc_id", "text", "found"])
+            yield batch.set_column(at, "found", pa.array(found, kind))
 
     return search

@@ -71,7 +71,7 @@ def set_key(shingles: bytes) -> bytes:
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, key of the set, minwise hashes); key and hashes are null if the text has no word."""
+    """(doc_id, text_hash, key of the set, minwise hashes); key and hashes are null if the text has no word."""
     for batch in text_slices(batches, "text", 4 << 20):
         shingles, first = shingle_hashes(batch.column(1).to_pylist())
         sketch = iter(minhashes(shingles, first))
@@ -80,8 +80,8 @@ def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = hi > lo
             keys.append(set_key(np.unique(shingles[lo:hi]).tobytes()) if some else None)
             sketches.append(next(sketch).tobytes() if some else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
-                                         ["doc_id", "key", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
+                                         ["doc_id", "text_hash", "key", "sketch"])
 
 
 def children(paths: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +249,7 @@ def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links.
+    """One row per document: doc_id, class_id, n_links, text_hash (xxhash64 of text, for rows that share an id).
 
     n_links is the number of other documents whose set of five-word shingles (lower-case words, a shorter text is one
     shingle) has a Jaccard similarity of 0.8 or more with this document's, copies included. Similarities are exact for
@@ -259,7 +259,8 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     Repeated rows are copies of one another. An empty table gives no rows.
     """
     docs = narrow(docs, ("doc_id", "long"), ("text", "string"))
-    rows = written(docs.mapInArrow(set_rows, "doc_id long, key binary, sketch binary"), "sets")
+    rows = written(docs.withColumn("text_hash", F.xxhash64("text"))
+                   .mapInArrow(set_rows, "doc_id long, text_hash long, key binary, sketch binary"), "sets")
     usable = rows.where("doc_id is not null and key is not null")
     keys = written(usable.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
                    .withColumn("rep", F.xxhash64("key")), "set-keys")
@@ -281,6 +282,6 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     links = exact.groupBy("rep").agg(F.sum("links").alias("links"))
     of_key = (keys.join(links, "rep", "left").join(classes, "rep", "left")
               .select("key", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    linked = usable.select("doc_id", "key").join(of_key, "key").select("doc_id", "class_id", "n_links")
-    alone = rows.where("doc_id is null or key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    linked = usable.select("doc_id", "text_hash", "key").join(of_key, "key").select("doc_id", "class_id", "n_links", "text_hash")
+    alone = rows.where("doc_id is null or key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "text_hash")
     return linked.union(alone)

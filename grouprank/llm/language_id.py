@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grouprank.llm.common import narrow, text_slices
+from grouprank.llm.common import carried_schema, narrow, text_slices, with_carried
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
@@ -132,9 +132,10 @@ def train(labelled: DataFrame) -> LanguageCoder:
     return LanguageCoder(languages, code, weights, strength)
 
 
-def identify(docs: DataFrame, coder: LanguageCoder) -> DataFrame:
+def identify(docs: DataFrame, coder: LanguageCoder, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score (0 to 1) and ambiguous for every document, from its whole text alone.
 
+    Columns named in carry follow under c0, c1, ...
     Null text, and text without a letter, gives 'und' with score 0, flagged ambiguous. Null doc_id stays null,
     repeated rows are kept each, an empty table gives no rows.
     """
@@ -145,11 +146,11 @@ def identify(docs: DataFrame, coder: LanguageCoder) -> DataFrame:
             found = [model.value.decide(t) for t in batch.column(1).to_pylist()]
             lang, score, near = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(near, pa.bool_())],
-                ["doc_id", "lang_pred", "score", "ambiguous"])
+                [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(near, pa.bool_()), *batch.columns[2:]],
+                ["doc_id", "lang_pred", "score", "ambiguous", *batch.schema.names[2:]])
 
-    return narrow(docs, ("doc_id", "long"), ("text", "string")).mapInArrow(
-        decide, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    docs = with_carried(docs, (("doc_id", "long"), ("text", "string")), carry)
+    return docs.mapInArrow(decide, "doc_id long, lang_pred string, score double, ambiguous boolean" + carried_schema(docs))
 
 
 def language_id(docs: DataFrame, held_out_fold: int = 2, folds: int = 4) -> DataFrame:
