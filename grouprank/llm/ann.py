@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from grouprank.llm.common import written
 
-#: Rows that the trees are fitted on at most, and rows of a leaf, of those it is fitted on.
+#: Rows that the trees are fitted on at most; a leaf holds so many of those, or more if a tree would have too many leaves.
 SAMPLE_ROWS = 50_000
 LEAF_ROWS = 256
+LEAVES = 64
 TREES = 4
 #: Rows that a query's leaves hold, summed over the trees: so many times the index, and so many at least.
 SEARCHED = 1.4
 SEARCHED_ROWS = 8192
 #: Rows of a leaf, and queries, that are compared in one task.
-LEAF_BLOCK = 4096
+LEAF_BLOCK = 65_536
 QUERY_BLOCK = 2048
 
 
@@ -144,8 +145,8 @@ def nearest(items: DataFrame, item_id: str = "vec_id", vector: str = "embedding"
     sample = groups.where(F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 30)) <= (1 << 30) * min(1.0, SAMPLE_ROWS / max(n, 1)))
     points = matrix(sample.select("vec").toArrow().column(0)) if n else np.zeros((0, 1))
     points = points / np.linalg.norm(points, axis=1, keepdims=True)
-    forest = [grow(points, LEAF_ROWS, seed + t) for t in range(trees)]
-    shared = spark.sparkContext.broadcast(forest)  # SAMPLE_ROWS / LEAF_ROWS nodes a tree
+    forest = [grow(points, max(LEAF_ROWS, -(-len(points) // LEAVES)), seed + t) for t in range(trees)]
+    shared = spark.sparkContext.broadcast(forest)  # LEAVES bounds the nodes of a tree
 
     vec_type = groups.schema["vec"].dataType.simpleString()
 
@@ -194,7 +195,7 @@ def nearest(items: DataFrame, item_id: str = "vec_id", vector: str = "embedding"
             return none
         x, q = matrix(left.column("vec")), matrix(right.column("query_vec"))
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        most, parts = min(k + 4, len(x)), []
+        most, parts = min(k + 1, len(x)), []
         for at in range(0, len(q), 512):
             near = (q[at:at + 512] / np.linalg.norm(q[at:at + 512], axis=1, keepdims=True)) @ unit.T
             top = np.argpartition(-near, most - 1, axis=1)[:, :most]
