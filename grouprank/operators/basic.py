@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from grouprank.functions.columns import all_not_null, clean_list_value
 
 
+ROWS_PER_FILE = 20_000
+
+
 def select_existing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keep the listed columns that exist, in list order."""
     return df.select(*[c for c in cols if c in df.columns])
@@ -64,16 +67,15 @@ def materialize(df: DataFrame, *, spread: bool = False) -> DataFrame:
     Parquet table (unlike an RDD checkpoint) gives later reads column pruning,
     filter pushdown and real size statistics for join planning.
 
-    ``spread`` deals the rows round-robin over at least the cluster's default
-    parallelism first. Use it for inputs whose downstream work grows faster than
-    their bytes (each candidate meets every query of its group), which AQE would
-    otherwise pack into a few partitions sized by bytes alone.
+    ``spread`` is for inputs whose downstream work grows faster than their bytes
+    (each candidate meets every query of its group). The rows are rebalanced (AQE
+    sizes the tasks by bytes, so their number grows with the data) and written in
+    files of at most ``ROWS_PER_FILE`` rows, which the readers of the table deal to
+    all cores when there are few of them.
     """
-    from grouprank.session import default_parallelism
     from grouprank.sources.io import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    if spread:
-        df = df.repartition(default_parallelism(spark))
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.hint("rebalance").write.option("maxRecordsPerFile", ROWS_PER_FILE) if spread else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

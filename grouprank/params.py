@@ -24,7 +24,11 @@ CURATED_COLUMNS = [
 
 @dataclass(frozen=True)
 class Params:
-    """Workflow parameters. ``None`` for a cap means "no cap, use every row"."""
+    """Workflow parameters, the same for every data size.
+
+    Limits (``top_groups``, ``variety_groups``, ``n_queries``, ``text_n_queries``, the ``lookup_*`` and
+    ``stratified_*`` counts, ``report_rows``, ``report_features``) accept ``None``: everything.
+    """
 
     group: str = "genre"
     entity: str = "artist_id_primary"
@@ -33,47 +37,32 @@ class Params:
     seed: int = 42
     # group selection
     group_mode: str = "top_n"          # top_n | top_n_plus_variety
-    top_groups: int = 10
-    variety_groups: int = 10
+    top_groups: int | None = 10
+    variety_groups: int | None = 10
     min_rows: int = 500                # importance and numeric evaluation
     # feature importance
     importance_min_items: int = 50
     importance_min_entities: int = 5
-    importance_buckets: int = 256      # value-range buckets per (group, feature)
     # numeric KNN evaluation
     k: int = 10
-    n_queries: int = 150
+    n_queries: int | None = 150
     # text evaluation
     text_min_rows: int = 30
-    text_n_queries: int = 100
+    text_n_queries: int | None = 100
     alpha: float = 0.8
     hash_buckets: int = 4096
     # lookup input
-    lookup_top_groups: int = 20
+    lookup_top_groups: int | None = 20
     lookup_min_rows: int = 1000
-    lookup_per_group: int = 40
-    stratified_per_group: int = 10
-    stratified_cap: int = 5000
+    lookup_per_group: int | None = 40
+    stratified_per_group: int | None = 10
+    stratified_cap: int | None = 5000
+    # reports
+    report_rows: int | None = 50
+    report_features: int | None = 20
+    # numeric evaluation on embedding arrays
+    vector_min_rows: int = 100
+    vector_n_queries: int | None = 50
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
-
-
-def params_for_scale(sf_dir: str) -> Params:
-    """Parameters per test scale (sf0.001 smoke, sf0.01 oracle, sf0.1 bench)."""
-    p = Params()
-    if "sf0.001" in sf_dir:
-        return p.with_(min_rows=100, n_queries=50, lookup_min_rows=100, lookup_per_group=10)
-    return p
-
-
-def variety_params_for_scale(sf_dir: str) -> tuple[int, int, int]:
-    """(top, variety, min_rows) for the top-plus-variety chooser per test scale.
-
-    Any other folder gets the sf0.01 values, which the SQL oracle is written for.
-    """
-    if "sf0.001" in sf_dir:
-        return 3, 2, 50
-    if "sf0.1" in sf_dir.replace("sf0.01", ""):
-        return 5, 5, 500
-    return 5, 5, 300

@@ -35,27 +35,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="grouprank-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by the session; set a scratch one only when unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:  # tests and local runs only; clusters name a shared folder
-        d = tempfile.mkdtemp(prefix="grouprank-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores of the cluster (classic sessions), never below the shuffle partition count."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        return max(spark.sparkContext.defaultParallelism, shuffle)
-    except Exception:  # Spark Connect
-        return shuffle
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``; an error if it names none."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return d.rstrip("/")

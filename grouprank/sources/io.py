@@ -7,6 +7,8 @@ on a cluster), never a machine-local folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,10 +21,22 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+#: Stands for NULL in CSV files, so that an empty text stays an empty text.
+CSV_NULL = "\\N"
+
+#: Fields as they are: line breaks inside quotes, blanks at either end, empty texts.
+CSV_FAITHFUL = {"quote": '"', "nullValue": CSV_NULL, "emptyValue": "", "encoding": "UTF-8",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             header: bool = True) -> DataFrame:
-    """Comma separated, '"' quoted, '"' escaped (RFC 4180 style)."""
-    r = spark.read.option("header", header).option("quote", '"').option("escape", '"')
+             header: bool = True, null_value: str = CSV_NULL) -> DataFrame:
+    """Comma separated, '"' quoted, '"' escaped (RFC 4180 style); quoted fields may hold line breaks.
+
+    Without ``schema`` the column types are inferred. A file is read by one task, as line breaks inside quotes allow
+    no split: write many files (``unload_csv`` writes one a task).
+    """
+    r = spark.read.options(**CSV_FAITHFUL).options(header=header, escape='"', multiLine=True, nullValue=null_value)
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -39,8 +53,8 @@ def read_positional_csv(spark: SparkSession, path: str, names: list[str], *,
     names is dropped too.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.option("header", header).option("quote", '"').option("escape", escape)
-               .option("mode", "PERMISSIVE").option("encoding", "UTF-8").schema(schema).csv(path))
+    df = (spark.read.options(**CSV_FAITHFUL).options(header=header, escape=escape, multiLine=True, mode="PERMISSIVE")
+               .schema(schema).csv(path))
     if header:
         from functools import reduce
         from pyspark.sql import functions as F
@@ -79,9 +93,10 @@ def create_table_as(spark: SparkSession, name: str, df: DataFrame, path: str,
 
 
 def unload_csv(df: DataFrame, path: str, *, header: bool = True, escape: str = '"') -> None:
-    """Comma separated, uncompressed, with header."""
-    (df.write.mode("overwrite").option("header", header).option("compression", "none")
-       .option("quote", '"').option("escape", escape).csv(path))
+    """Comma separated, uncompressed, with header; NULL is written as CSV_NULL, all else as it is."""
+    # on writing, emptyValue is what stands in the file: quotes around nothing
+    (df.write.mode("overwrite").options(**(CSV_FAITHFUL | {"emptyValue": '""'}))
+       .options(header=header, compression="none", escape=escape, escapeQuotes=True).csv(path))
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -93,6 +108,10 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+def list_databases(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW DATABASES")
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
@@ -111,8 +130,26 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned_by: st
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's checkpoint folder."""
-    from grouprank.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a shared folder for intermediate tables")
-    return f"{base}/scratch/{label}-{uuid.uuid4().hex[:12]}"
+    from grouprank.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/scratch/{label}-{uuid.uuid4().hex[:12]}"
+    for held in _scopes:
+        held.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch folders that were named inside; results must have been written elsewhere by then."""
+    held: list[str] = []
+    _scopes.append(held)
+    try:
+        yield
+    finally:
+        _scopes.remove(held)
+        conf = spark._jsc.hadoopConfiguration()
+        for path in held:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
