@@ -20,18 +20,19 @@ def eligible_groups(df: DataFrame, group: str = "genre", min_rows: int = 500, na
     return group_counts(df, group, name).filter(F.col(name) >= min_rows)
 
 
-def top_groups(counts: DataFrame, top: int, group: str = "genre", name: str = "n") -> DataFrame:
-    """Largest groups first; ties by group name. Plans as TakeOrderedAndProject."""
-    return counts.orderBy(F.col(name).desc(), F.col(group).asc()).limit(top)
+def top_groups(counts: DataFrame, top: int | None, group: str = "genre", name: str = "n") -> DataFrame:
+    """Largest groups first; ties by group name. Plans as TakeOrderedAndProject. ``None``: all groups."""
+    ordered = counts.orderBy(F.col(name).desc(), F.col(group).asc())
+    return ordered if top is None else ordered.limit(top)
 
 
-def select_groups(df: DataFrame, *, group: str = "genre", mode: str = "top_n", top: int = 10,
-                  variety: int = 10, min_rows: int = 500, seed=42) -> DataFrame:
+def select_groups(df: DataFrame, *, group: str = "genre", mode: str = "top_n", top: int | None = 10,
+                  variety: int | None = 10, min_rows: int = 500, seed=42) -> DataFrame:
     """Chosen groups (one column). The row threshold applies to both slices.
 
     ``top_n``: the ``top`` largest groups with at least ``min_rows`` rows.
     ``top_n_plus_variety``: plus ``variety`` further eligible groups in sample-key order.
-    The result has at most ``top + variety`` rows, so it is safe to broadcast.
+    The result has at most ``top + variety`` rows (``None``: all eligible groups).
     """
     if mode not in GROUP_MODES:
         raise ValueError(f"unsupported group mode {mode!r}; use one of {GROUP_MODES}")
@@ -43,8 +44,8 @@ def select_groups(df: DataFrame, *, group: str = "genre", mode: str = "top_n", t
     return chosen.unionByName(rest).distinct()
 
 
-def select_groups_with_reason(df: DataFrame, *, group: str = "genre", top: int = 10,
-                              variety: int = 10, min_rows: int = 500, seed=42) -> DataFrame:
+def select_groups_with_reason(df: DataFrame, *, group: str = "genre", top: int | None = 10,
+                              variety: int | None = 10, min_rows: int = 500, seed=42) -> DataFrame:
     """SQL-style chooser: the threshold applies only to the variety slice.
 
     Columns: group, n_tracks, reason ('top_n' | 'variety').
@@ -57,10 +58,11 @@ def select_groups_with_reason(df: DataFrame, *, group: str = "genre", top: int =
                   .unionByName(variety_df.withColumn("reason", F.lit("variety"))))
 
 
-def keep_groups(df: DataFrame, groups: DataFrame, group: str = "genre") -> DataFrame:
+def keep_groups(df: DataFrame, groups: DataFrame, group: str = "genre", *, few_groups: bool = False) -> DataFrame:
     """Membership filter as a semi join against a chooser frame (no collect).
 
-    Chooser frames are bounded by their parameters (top + variety rows), so the
-    broadcast is size-safe.
+    ``few_groups`` says that the chooser's parameters bound the frame (top + variety
+    rows), so it is broadcast; otherwise Spark decides by its size.
     """
-    return df.join(F.broadcast(groups.select(group)), group, "left_semi")
+    names = groups.select(group)
+    return df.join(F.broadcast(names) if few_groups else names, group, "left_semi").select(*df.columns)

@@ -5,13 +5,11 @@ the number of chosen groups) is broadcast and every candidate of the group
 streams past it, so the candidate side is never shuffled. Pair rows are never
 shuffled by query either: a hot query would put a whole group into one task.
 
-* ``first_hit_rank`` is exact and needs no ranking of the pairs: the best
-  same-entity candidate per query is a min over (order key, id) and its rank is
-  one plus the number of candidates ordered before it. Both aggregates are
-  map-side combined and see only filtered rows (same-entity pairs; pairs ahead
-  of the best), so only a few rows per query and task cross the shuffle.
-  (A variant with fixed-width hash buffers and a separate tie step measured
-  slower at sf0.1: more stages for no fewer rows.)
+* ``first_hit_rank`` is exact and needs no ranking of the pairs: the best distance to a
+  same-entity candidate is a hash aggregate per query, ties at that distance go to the
+  least id, and the rank is one plus the number of candidates ordered before it. All
+  passes see filtered rows and combine map-side, so a few rows per query and task cross
+  the shuffle. The best candidates are written once and read by both later steps.
 * ``knn_topk`` materialises the neighbour table with ``row_number() <= k``. A
   bound pass over a small deterministic candidate subset first gives each query
   a safe score bound, so only pairs inside it reach the (partial
@@ -23,23 +21,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grouprank.functions.columns import array_euclidean, dot, euclidean
+from grouprank.functions.columns import array_euclidean, euclidean
+from grouprank.operators.basic import materialize
 
 
 def pair_join(queries: DataFrame, candidates: DataFrame, *, group: str = "genre", id_col: str = "id",
               entity: str = "artist_id_primary", cols: list[str] | None = None,
-              broadcast_queries: bool = True) -> DataFrame:
+              few_queries: bool = False) -> DataFrame:
     """All (query, candidate) pairs of the same group except a query with itself.
 
     Columns: group, qid, q_entity, cid, c_entity, q_<col>..., c_<col>...
-    The query side must be bounded (a per-group sample); it is broadcast.
+    ``few_queries`` says that parameters bound the query side (n_queries rows of each
+    chosen group): it is broadcast. Otherwise Spark joins on the group by the sides' sizes.
     """
     cols = cols or []
     q = queries.select(group, F.col(id_col).alias("qid"), F.col(entity).alias("q_entity"),
                        *[F.col(c).alias(f"q_{c}") for c in cols])
     c = candidates.select(group, F.col(id_col).alias("cid"), F.col(entity).alias("c_entity"),
                           *[F.col(x).alias(f"c_{x}") for x in cols])
-    if broadcast_queries:
+    if few_queries:
         q = F.broadcast(q)
     return c.join(q, group).filter(F.col("qid") != F.col("cid"))
 
@@ -49,11 +49,6 @@ def distance_column(cols: list[str]) -> Column:
     return euclidean([f"q_{c}" for c in cols], [f"c_{c}" for c in cols])
 
 
-def cosine_column(cols: list[str]) -> Column:
-    """Dot product of q_ and c_ columns (cosine when both sides are unit vectors)."""
-    return dot([f"q_{c}" for c in cols], [f"c_{c}" for c in cols])
-
-
 def array_distance_column(col: str) -> Column:
     return array_euclidean(f"q_{col}", f"c_{col}")
 
@@ -63,25 +58,31 @@ def _order_key(score: str, ascending: bool) -> Column:
 
 
 def first_hit_rank(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool = True,
-                   group: str = "genre") -> DataFrame:
+                   group: str = "genre", few_queries: bool = False) -> DataFrame:
     """Rank of the first same-entity neighbour per query, NULL when it is not in the top ``k``.
 
     Ranking is by ``score`` (ascending for distances, descending for similarities),
     ties broken by candidate id ascending; the query itself never takes a rank.
-    Only queries having at least one same-entity candidate appear.
+    Only queries having at least one same-entity candidate appear. ``few_queries`` says
+    that parameters bound the queries, so one row for each is broadcast.
     Columns: group, qid, first_hit_rank.
     """
+    def per_query(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few_queries else df
+
+    q = [group, "qid"]
     keyed = pairs.select(group, "qid", "cid", (F.col("q_entity") == F.col("c_entity")).alias("_same"),
                          _order_key(score, ascending).alias("_ok"))
-    best = (keyed.filter("_same").groupBy(group, "qid")
-                 .agg(F.min(F.struct("_ok", "cid")).alias("_best")))
-    # ``best`` has one row per sampled query: bounded, safe to broadcast.
-    ahead = (keyed.join(F.broadcast(best), [group, "qid"])
-                  .filter(F.struct("_ok", "cid") < F.col("_best"))
-                  .groupBy(group, "qid").agg(F.count(F.lit(1)).alias("_ahead")))
+    same = keyed.filter("_same")
+    nearest = same.groupBy(*q).agg(F.min("_ok").alias("_best"))
+    tied = same.join(per_query(nearest), q).filter(F.col("_ok") == F.col("_best"))
+    least = F.row_number().over(Window.partitionBy(*q).orderBy("cid"))
+    best = materialize(tied.withColumn("_rn", least).filter("_rn = 1").select(*q, "_best", F.col("cid").alias("_hit")))
+    ahead = (keyed.join(per_query(best), q)
+                  .filter((F.col("_ok") < F.col("_best")) | ((F.col("_ok") == F.col("_best")) & (F.col("cid") < F.col("_hit"))))
+                  .groupBy(*q).agg(F.count(F.lit(1)).alias("_ahead")))
     rank = F.coalesce(F.col("_ahead"), F.lit(0)) + 1
-    return (best.join(ahead, [group, "qid"], "left")
-                .select(group, "qid", F.when(rank <= k, rank).cast("int").alias("first_hit_rank")))
+    return best.join(ahead, q, "left").select(*q, F.when(rank <= k, rank).cast("int").alias("first_hit_rank"))
 
 
 def _ranked(pairs: DataFrame, k: int, score: str, ascending: bool, group: str) -> DataFrame:
@@ -92,7 +93,7 @@ def _ranked(pairs: DataFrame, k: int, score: str, ascending: bool, group: str) -
 
 def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool = True,
              group: str = "genre", keep: list[str] | None = None, bound_sample: int | None = None,
-             bounded: bool = True, group_sizes: DataFrame | None = None) -> DataFrame:
+             bounded: bool = True, group_sizes: DataFrame | None = None, few_queries: bool = False) -> DataFrame:
     """The ``k`` best candidates per query with their rank (1 = best); ties by id ascending.
 
     Exact, with a bound pass so the full pair stream is never sorted:
@@ -108,7 +109,8 @@ def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool =
     Queries whose subset holds fewer than ``k`` candidates get no bound. The bound
     pass reads ``pairs`` three times; pass ``bounded=False`` when the pairs come
     from an expensive plan (e.g. an aggregate) rather than a broadcast stream.
-    ``group_sizes`` (group, n) saves counting candidates from the pairs.
+    ``group_sizes`` (group, n) saves counting candidates from the pairs. ``few_queries``
+    says that parameters bound the queries and groups, so a row for each is broadcast.
     """
     cols = [group, "qid", "q_entity", "cid", "c_entity", score] + (keep or [])
     pairs = pairs.select(*cols)
@@ -120,17 +122,17 @@ def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool =
         sizes = pairs.groupBy(group).agg(F.approx_count_distinct("cid").alias("_n"))
     target = F.lit(float(bound_sample)) if bound_sample else F.sqrt(F.lit(float(k)) * F.col("_n"))
     frac = F.least(F.lit(1.0), F.greatest(F.lit(4.0 * k), target) / F.col("_n"))
-    # one row per group (bounded by the chosen groups): broadcast
-    sizes = F.broadcast(sizes.select(group, frac.alias("_frac")))
+    sizes = sizes.select(group, frac.alias("_frac"))
+    sizes = F.broadcast(sizes) if few_queries else sizes
     u = (F.xxhash64(F.col("cid")).cast("double") + 9.223372036854775808e18) / 1.8446744073709552e19
     subset = pairs.join(sizes, group).filter(u < F.col("_frac")).drop("_frac")
     kth = F.max(score) if ascending else F.min(score)
     bound = (_ranked(subset, k, score, ascending, group)
              .groupBy(group, "qid").agg(kth.alias("_bound"), F.count(F.lit(1)).alias("_have"))
              .filter(F.col("_have") >= k).drop("_have"))
-    # one row per query (a bounded sample): broadcast
+    bound = F.broadcast(bound) if few_queries else bound
     within = F.col(score) <= F.col("_bound") if ascending else F.col(score) >= F.col("_bound")
-    kept = (pairs.join(F.broadcast(bound), [group, "qid"], "left")
+    kept = (pairs.join(bound, [group, "qid"], "left")
                  .filter(F.col("_bound").isNull() | within).drop("_bound"))
     return _ranked(kept, k, score, ascending, group)
 

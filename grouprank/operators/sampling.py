@@ -3,12 +3,17 @@
 Random order is the md5 hex of ``seed:salt:id`` (same text in every engine), ties
 broken by the id, so a sample is a pure function of the data and the seed.
 
-``sample_per_group`` must not put a whole group into one task: a group may hold
-a large share of all rows. It first builds a histogram of the leading hash bits
-per group (a map-side combined aggregate of at most 2**bits rows per group),
-finds the bucket where the running count reaches ``n``, keeps only rows up to
-that bucket, and ranks the survivors. Survivors per group are at most ``n`` plus
-one bucket (about size/2**bits rows), whatever the group size.
+A group may hold a large share of all rows, so no plan here puts a whole group into
+one task or shuffles all rows on the group:
+
+* Groups from a chooser (``few_groups``, at most top + variety of them): a histogram of
+  the leading hash bits per group (map-side combined, at most 2**bits rows per group)
+  finds the bucket where the running count reaches ``n``. That cut, one row per group,
+  is broadcast; rows beyond it go before any shuffle, and the survivors (``n`` and about
+  size/2**bits per group) are ranked.
+* Any number of groups, and the whole frame: rows are ranked by (group, salt) first,
+  with a partial limit before the shuffle, and at most ``n`` rows of each of ``SALTS``
+  salts are ranked again.
 """
 
 from __future__ import annotations
@@ -19,53 +24,69 @@ from pyspark.sql import functions as F
 from grouprank.functions.columns import sample_key
 
 _HEX_DIGITS = 5          # 20 bits -> 1,048,576 histogram buckets per group
+SALTS = 32
 
 
 def with_sample_key(df: DataFrame, id_col: str, seed, salt: str, name: str = "_sk") -> DataFrame:
     return df.withColumn(name, sample_key(seed, salt, id_col))
 
 
-def sample_per_group(df: DataFrame, group_cols, n: int, *, id_col: str, seed=42,
+def _first(df: DataFrame, n: int, by: list[str], order: list[str], rank: str = "_rn") -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+
+
+def _salted(keyed: DataFrame, n: int, groups: list[str], order: list[str]) -> DataFrame:
+    """At most ``n`` rows of each (group, salt): they hold the first ``n`` of each group."""
+    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("_sk"), F.lit(SALTS)))
+    return _first(salted, n, [*groups, "_salt"], order).drop("_salt", "_rn")
+
+
+def sample_per_group(df: DataFrame, group_cols, n: int | None, *, id_col: str, seed=42,
                      salt: str = "cap", keep_rank: str | None = None,
-                     tiebreak: list[str] | None = None) -> DataFrame:
-    """The ``n`` rows with the smallest sample key in each group (all rows if fewer).
+                     tiebreak: list[str] | None = None, few_groups: bool = False) -> DataFrame:
+    """The ``n`` rows with the smallest sample key in each group (all rows if fewer, or if ``n`` is None).
 
     Order: sample key, then ``id_col``, then ``tiebreak`` columns (for ids that
-    repeat inside a group).
+    repeat inside a group). ``few_groups`` says that a chooser bounds the number of
+    groups, so one row per group may be broadcast.
     """
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    keyed = (with_sample_key(df, id_col, seed, salt)
-             .withColumn("_sb", F.conv(F.substring("_sk", 1, _HEX_DIGITS), 16, 10).cast("int")))
-    hist = keyed.groupBy(*groups, "_sb").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*groups).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-               .filter(F.col("_before") < n)
-               .groupBy(*groups).agg(F.max("_sb").alias("_cut")))
-    survivors = keyed.join(cut, groups).filter(F.col("_sb") <= F.col("_cut"))
-    w = Window.partitionBy(*groups).orderBy("_sk", id_col, *(tiebreak or []))
-    out = (survivors.withColumn("_rn", F.row_number().over(w))
-                    .filter(F.col("_rn") <= n)
-                    .drop("_sb", "_cut", "_sk"))
-    if keep_rank:
-        return out.withColumnRenamed("_rn", keep_rank)
-    return out.drop("_rn")
-
-
-def random_subset(df: DataFrame, id_col: str, m: int, *, seed=42, salt: str = "group") -> DataFrame:
-    """``m`` rows in sample-key order over the whole frame.
-
-    The same histogram cut as ``sample_per_group`` with the whole frame as one
-    group, so at most ``m`` rows plus one hash bucket reach the final ranking,
-    however many tasks the input has (an ordered limit would gather ``m`` rows
-    from every task). Ties on the key (an id repeated in several rows) are broken
-    by the id, then by the remaining columns, so the subset is defined.
+    keyed = with_sample_key(df, id_col, seed, salt)
+    order = ["_sk", id_col, *(tiebreak or [])]
+    if n is None:
+        if not keep_rank:
+            return df
+        return keyed.withColumn(keep_rank, F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).drop("_sk")
+    if few_groups:
+        bucket = F.conv(F.substring("_sk", 1, _HEX_DIGITS), 16, 10).cast("int")
+        keyed = keyed.withColumn("_sb", bucket)
+        hist = keyed.groupBy(*groups, "_sb").agg(F.count(F.lit(1)).alias("_cnt"))
+        before = Window.partitionBy(*groups).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+        cut = (hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+                   .filter(F.col("_before") < n)
+                   .groupBy(*groups).agg(F.max("_sb").alias("_cut")))
+        survivors = keyed.join(F.broadcast(cut), groups).filter(F.col("_sb") <= F.col("_cut")).drop("_sb", "_cut")
+    else:
+        survivors = _salted(keyed, n, groups, order)
+    out = _first(survivors, n, groups, order)
+    return out.select(*df.columns, *([F.col("_rn").alias(keep_rank)] if keep_rank else []))
+
+
+def random_subset(df: DataFrame, id_col: str, m: int | None, *, seed=42, salt: str = "group") -> DataFrame:
+    """``m`` rows in sample-key order over the whole frame (all rows if ``m`` is None).
+
+    Each salt keeps its first ``m`` rows in a task of its own, so the final ordered limit
+    reads at most ``SALTS * m`` rows, however many tasks the input has. Ties on the key (an
+    id repeated in several rows) are broken by the id, then by the remaining columns, so
+    the subset is defined.
     """
-    rest = [c for c in df.columns if c != id_col]
-    one = df.withColumn("_all", F.lit(1))
-    return (sample_per_group(one, "_all", m, id_col=id_col, seed=seed, salt=salt, tiebreak=rest)
-            .drop("_all"))
+    if m is None:
+        return df
+    order = ["_sk", id_col, *(c for c in df.columns if c != id_col)]
+    return _salted(with_sample_key(df, id_col, seed, salt), m, [], order).orderBy(*order).limit(m).drop("_sk")
 
 
-def capped_sample(df: DataFrame, id_col: str, cap: int, *, seed=42, salt: str = "capped") -> DataFrame:
+def capped_sample(df: DataFrame, id_col: str, cap: int | None, *, seed=42, salt: str = "capped") -> DataFrame:
     """An overall row cap that is defined: the first ``cap`` rows in sample-key order."""
     return random_subset(df, id_col, cap, seed=seed, salt=salt)

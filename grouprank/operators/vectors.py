@@ -21,14 +21,16 @@ def group_stats(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
 
 
 def zscore(df: DataFrame, group: str, cols: list[str], *, prefix: str = "z_",
-           stats: DataFrame | None = None) -> DataFrame:
+           stats: DataFrame | None = None, few_groups: bool = False) -> DataFrame:
     """Add ``prefix+col`` = (x - group mean) / group population sd.
 
     Statistics are a grouped aggregate joined back on the group (one row per
-    group), not a window, so a large group is not gathered into one task.
+    group), not a window, so a large group is not gathered into one task. With
+    ``few_groups`` (the groups come from a chooser, which bounds their number) the
+    statistics are broadcast, so the rows are not shuffled on the group.
     """
     stats = stats if stats is not None else group_stats(df, group, cols)
-    out = df.join(stats, group)
+    out = df.join(F.broadcast(stats) if few_groups else stats, group)
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", (F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}"))
     return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
