@@ -33,13 +33,24 @@ def primary_entity_id(col, mode: str = "single") -> Column:
 def parse_list_string(col) -> Column:
     """"['a', 'b']" -> [a, b]; '[]' -> []; NULL -> NULL.
 
-    Outer brackets are stripped, every single quote is deleted, the rest is
-    trimmed and split on commas with optional spaces around them.
+    A bracket at either end and all single quotes go; what is left is a comma
+    list whose elements lose the white space around them. Nothing left: no element.
     """
     s = _c(col).cast("string")
-    body = F.trim(F.regexp_replace(F.regexp_replace(s, r"^\[|\]$", ""), "'", ""))
-    return (F.when(F.length(body) == 0, F.array().cast(T.ArrayType(T.StringType())))
-             .otherwise(F.split(body, r"\s*,\s*")))
+    first = F.when(s.startswith("["), 2).otherwise(1)
+    inner = F.substr(s, first, F.length(s) - first + 1 - F.when(s.endswith("]"), 1).otherwise(0))
+    items = F.transform(F.split(F.translate(inner, "'", ""), ","), strip_blanks)
+    none = F.array().cast(T.ArrayType(T.StringType()))
+    return F.when(items == F.array(F.lit("")), none).otherwise(items)
+
+
+#: All white space of Unicode, and the four separators of ASCII.
+BLANKS = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+
+
+def strip_blanks(col) -> Column:
+    """Text without white space at either end."""
+    return F.regexp_replace(_c(col), f"^{BLANKS}+|{BLANKS}+$", "")
 
 
 def normalize_label(col) -> Column:
@@ -65,17 +76,18 @@ def clean_list_value(df: DataFrame, col: str) -> Column:
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.ArrayType):
-        kept = F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: F.trim(x.cast("string")))
-        return F.coalesce(F.trim(F.array_join(kept, " ")), F.lit(""))
-    return F.coalesce(F.trim(c.cast("string")), F.lit(""))
+        kept = F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: strip_blanks(x.cast("string")))
+        return F.coalesce(strip_blanks(F.array_join(kept, " ")), F.lit(""))
+    return F.coalesce(strip_blanks(c.cast("string")), F.lit(""))
 
 
 RESPONSE_SCHEMA = "array<struct<plainLyrics:string,syncedLyrics:string>>"
 
 
 def pick_text(col) -> Column:
-    """First element of a JSON array response: plain text, else synced text; empty or bad -> NULL."""
-    first = F.get(F.from_json(_c(col), RESPONSE_SCHEMA), 0)
+    """First element of a JSON array response: plain text, else synced text; empty, bad or no array -> NULL."""
+    array = F.when(strip_blanks(col).startswith("["), _c(col))  # else a single object would be taken for an array
+    first = F.get(F.from_json(array, RESPONSE_SCHEMA), 0)
     return F.coalesce(F.nullif(first["plainLyrics"], F.lit("")),
                       F.nullif(first["syncedLyrics"], F.lit("")))
 

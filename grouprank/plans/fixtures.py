@@ -19,19 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _q(s: str) -> F.Column:
-    return F.lit(s)
-
-
 def fx_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     m = F.col("c_custkey") % 10
     seg, nat = F.col("c_mktsegment"), F.col("n_name")
-    genres = (F.when(m == 0, _q("[]"))
-               .when(m == 1, F.concat(_q("['"), seg, _q(" ']")))
+    genres = (F.when(m == 0, F.lit("[]"))
+               .when(m == 1, F.concat(F.lit("['"), seg, F.lit(" ']")))
                .when(m == 2, F.lit(None).cast("string"))
-               .otherwise(F.concat(_q("['"), seg, _q("', '"), nat, _q("']"))))
+               .otherwise(F.concat(F.lit("['"), seg, F.lit("', '"), nat, F.lit("']"))))
     return (cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
                         genres.alias("genres")))
@@ -49,14 +45,14 @@ def fx_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ks = k.cast("string")
     cust = F.col("o_custkey").cast("string")
     date = F.col("o_orderdate").cast("string")
-    id_artists = (F.when(k % 20 == 0, F.concat(_q("['"), cust, _q("', 'x']")))
-                   .when(k % 20 == 1, _q("[]"))
-                   .otherwise(F.concat(_q("['"), cust, _q("']"))))
-    release = (F.when(k % 50 == 2, _q("99")).when(k % 50 == 3, _q("abcd"))
+    id_artists = (F.when(k % 20 == 0, F.concat(F.lit("['"), cust, F.lit("', 'x']")))
+                   .when(k % 20 == 1, F.lit("[]"))
+                   .otherwise(F.concat(F.lit("['"), cust, F.lit("']"))))
+    release = (F.when(k % 50 == 2, F.lit("99")).when(k % 50 == 3, F.lit("abcd"))
                 .when(k % 50 == 4, F.substring(date, 1, 4))
                 .otherwise(F.substring(date, 1, 10)))
     return (orders.join(agg, k == F.col("l_orderkey"), "left")
-                  .select(ks.alias("id"), F.concat(_q("Order "), ks).alias("name"),
+                  .select(ks.alias("id"), F.concat(F.lit("Order "), ks).alias("name"),
                           (k % 100).cast("int").alias("popularity"),
                           id_artists.alias("id_artists"), release.alias("release_date"),
                           F.col("mn_q").alias("danceability"), F.col("mx_q").alias("energy"),
@@ -69,12 +65,12 @@ def fx_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     m = F.col("doc_id") % 7
-    sl = F.concat(F.col("source"), _q(" "), F.col("lang"))
-    resp = (F.when(m == 0, _q("[]"))
-             .when(m == 1, F.concat(_q('[{"plainLyrics":"","syncedLyrics":"'), sl,
-                                    _q('"},{"plainLyrics":"second"}]')))
-             .when(m == 2, _q("not json"))
-             .otherwise(F.concat(_q('[{"plainLyrics":"'), sl, _q('","syncedLyrics":null}]'))))
+    text, empty = F.col("text"), F.lit("")
+    synced = F.to_json(F.array(F.struct(empty.alias("plainLyrics"), text.alias("syncedLyrics")),
+                               F.struct(F.lit("second").alias("plainLyrics"), empty.alias("syncedLyrics"))))
+    plain = F.struct(text.alias("plainLyrics"))
+    resp = (F.when(m == 0, F.lit("[]")).when(m == 1, synced).when(m == 2, F.lit("not json"))
+             .when(m == 3, F.to_json(plain)).otherwise(F.to_json(F.array(plain))))
     return docs.select(F.col("doc_id").cast("string").alias("track_id"), resp.alias("response_json"))
 
 
@@ -89,5 +85,5 @@ def fx_lyrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_vec_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("id"),
-                      F.concat(_q("g"), (F.col("vec_id") % 4).cast("string")).alias("genre"),
+                      F.concat(F.lit("g"), (F.col("vec_id") % 4).cast("string")).alias("genre"),
                       F.col("label").alias("artist_id_primary"), "embedding")
