@@ -39,17 +39,25 @@ def term_counts(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "
     return ex.groupBy(*doc_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def hashed_term_counts(df: DataFrame, doc_cols: list[str], text_col: str, num_features: int = 4096) -> DataFrame:
+    """(doc..., term, tf) where a term is a bucket of ``num_features``: the buckets and counts of Spark ML's HashingTF.
+
+    HashingTF takes murmur3 with seed 42 of the UTF-8 bytes, which is what ``hash`` gives for a string.
+    """
+    ex = df.select(*doc_cols, F.explode(tokens(text_col, "ml")).alias("_t"))
+    bucket = F.pmod(F.hash("_t"), F.lit(num_features)).cast("string")
+    return ex.groupBy(*doc_cols, bucket.alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+
+
 def idf_table(tf: DataFrame, docs: DataFrame) -> DataFrame:
     """(term, df, idf) with idf = ln((m + 1) / (df + 1)), m = rows of ``docs``.
 
     ``tf`` has one row per (doc, term). Document frequency is a per-term count, a
     hash aggregate with map-side combine, so frequent terms do not skew it.
     """
-    m = docs.agg(F.count(F.lit(1)).alias("_m")).withColumn("_one", F.lit(1))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1))
-    # one-row frame joined on a constant key: a broadcast hash join with one build row
-    return (dfreq.join(F.broadcast(m), "_one")
-                 .select("term", "df", F.ln((F.col("_m") + 1.0) / (F.col("df") + 1.0)).alias("idf")))
+    m = docs.count()
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return dfreq.select("term", "df", F.ln((F.lit(float(m)) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
 def tfidf(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "words") -> DataFrame:

@@ -2,37 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grouprank.operators.basic import complete_rows, materialize, require_columns
-from grouprank.operators.groups import keep_groups, select_groups
+from grouprank.operators.groups import keep_groups
 from grouprank.operators.importance import feature_importance
 from grouprank.operators.sampling import sample_per_group
 from grouprank.params import Params
-
-DELTA_COLUMNS = ["baseline_available", "recall_audio", "recall_audio_lyrics", "delta_recall",
-                 "mrr_audio", "mrr_audio_lyrics", "delta_mrr", "alpha_audio_weight",
-                 "n_queries", "n_tracks_in_genre", "run_ts", "genre"]
-
+from grouprank.plans.evaluate import chosen_groups, few_groups
 
 def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | None = None,
-                     run_ts=None) -> DataFrame:
+                     run_ts=None, groups: DataFrame | None = None) -> DataFrame:
     """Feature importance of the chosen groups (C4).
 
     ``cap`` optionally ranks a reproducible random subset of each group first;
-    by default every complete row is used.
+    by default every complete row is used. ``groups``: a stored group table to use
+    instead of the chooser.
     Columns: genre, feature, importance_raw, importance_abs, importance_norm, run_ts.
     """
     p = p or Params()
     keys = [p.item, p.group, p.entity]
     df = complete_rows(require_columns(items, keys + p.features).select(*keys, *p.features),
                        keys + p.features)
-    groups = select_groups(df, group=p.group, mode=p.group_mode, top=p.top_groups,
-                           variety=p.variety_groups, min_rows=p.min_rows, seed=p.seed)
-    df = keep_groups(df, groups, p.group)
+    few = few_groups(p, groups)
+    df = keep_groups(df, chosen_groups(df, p, p.min_rows, groups), p.group, few_groups=few)
     if cap is not None:
-        df = sample_per_group(df, p.group, cap, id_col=p.item, seed=p.seed, salt="cap")
+        df = sample_per_group(df, p.group, cap, id_col=p.item, seed=p.seed, salt="cap", few_groups=few)
     df = materialize(df.select(p.group, p.entity, *p.features), spread=True)
     out = feature_importance(df, group=p.group, entity=p.entity, features=p.features,
                              min_items=p.importance_min_items, min_entities=p.importance_min_entities)
@@ -40,6 +38,8 @@ def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | No
     return out.withColumn("run_ts", ts)
 
 
+# The output names of the delta and report tables, as they stand in the functions below.
+
 def compare_runs(audio: DataFrame, audio_text: DataFrame, *, flagged: bool = True) -> DataFrame:
     """Delta of the blended run against the numeric baseline, one row per blended-run group.
 
@@ -67,9 +67,13 @@ def compare_runs(audio: DataFrame, audio_text: DataFrame, *, flagged: bool = Tru
 
 # ----------------------------------------------------------------------------- reports
 
-def group_distribution(curated: DataFrame, limit: int = 50) -> DataFrame:
-    return (curated.groupBy("genre").agg(F.count(F.lit(1)).alias("track_rows"))
-                   .orderBy(F.col("track_rows").desc(), F.col("genre").asc()).limit(limit))
+def _at_most(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
+def group_distribution(curated: DataFrame, limit: int | None = 50) -> DataFrame:
+    return _at_most(curated.groupBy("genre").agg(F.count(F.lit(1)).alias("track_rows"))
+                    .orderBy(F.col("track_rows").desc(), F.col("genre").asc()), limit)
 
 
 def distinct_items_per_group(curated: DataFrame, approx: bool = False) -> DataFrame:
@@ -78,10 +82,10 @@ def distinct_items_per_group(curated: DataFrame, approx: bool = False) -> DataFr
                    .orderBy(F.col("distinct_tracks").desc(), "genre"))
 
 
-def top_features(predictors: DataFrame, genre: str, limit: int = 20) -> DataFrame:
-    return (predictors.filter(F.col("genre") == genre)
-                      .select("genre", "feature", "importance_norm")
-                      .orderBy(F.col("importance_norm").desc(), "feature").limit(limit))
+def top_features(predictors: DataFrame, genre: str, limit: int | None = 20) -> DataFrame:
+    return _at_most(predictors.filter(F.col("genre") == genre)
+                    .select("genre", "feature", "importance_norm")
+                    .orderBy(F.col("importance_norm").desc(), "feature"), limit)
 
 
 def importance_by_feature(predictors: DataFrame, genre: str | None = None) -> DataFrame:
@@ -117,9 +121,7 @@ def text_quality_by_group(enriched: DataFrame) -> DataFrame:
 
 
 def table_row_counts(**tables: DataFrame) -> DataFrame:
-    """One row: <name>_rows per named table (each a global count, unioned by a one-row join)."""
-    out = None
-    for name, df in tables.items():
-        c = df.agg(F.count(F.lit(1)).alias(f"{name}_rows")).withColumn("_one", F.lit(1))
-        out = c if out is None else out.join(c, "_one")
-    return out.drop("_one")
+    """One row: <name>_rows per named table (one count each, gathered by a sum)."""
+    ones = [df.select(*[F.lit(int(name == mine)).cast("long").alias(f"{name}_rows") for name in tables])
+            for mine, df in tables.items()]
+    return reduce(DataFrame.unionByName, ones).agg(*[F.coalesce(F.sum(f"{n}_rows"), F.lit(0)).alias(f"{n}_rows") for n in tables])

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.operators.basic import complete_rows, materialize, require_columns, text_available
 from grouprank.operators.groups import group_counts, keep_groups, select_groups
-from grouprank.operators.knn import (cosine_column, distance_column, first_hit_from_topk,
-                                     first_hit_rank, hit_metrics, knn_topk, pair_join)
+from grouprank.operators.knn import (distance_column, first_hit_from_topk, first_hit_rank, hit_metrics, knn_topk,
+                                     pair_join)
 from grouprank.operators.sampling import sample_per_group
-from grouprank.operators.text import idf_table, term_counts
+from grouprank.operators.text import hashed_term_counts, idf_table, term_counts
 from grouprank.operators.vectors import group_stats, l2_normalize, zscore
 from grouprank.params import Params
 
@@ -19,58 +21,80 @@ def _run_ts(run_ts):
     return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
 
 
-def eval_items(items: DataFrame, p: Params) -> DataFrame:
-    """Complete rows of the chosen groups (the input of the numeric evaluation)."""
+def few_groups(p: Params, groups: DataFrame | None = None) -> bool:
+    """Whether parameters bound the number of groups."""
+    return groups is None and p.top_groups is not None and (p.group_mode == "top_n" or p.variety_groups is not None)
+
+
+def chosen_groups(df: DataFrame, p: Params, min_rows: int, groups: DataFrame | None) -> DataFrame:
+    """The given group table, or the chooser's groups."""
+    if groups is not None:
+        return groups.select(p.group).distinct()
+    return select_groups(df, group=p.group, mode=p.group_mode, top=p.top_groups, variety=p.variety_groups,
+                         min_rows=min_rows, seed=p.seed)
+
+
+def eval_items(items: DataFrame, p: Params, groups: DataFrame | None = None) -> DataFrame:
+    """Complete rows of the chosen groups (the input of the numeric evaluation).
+
+    ``groups``: a stored group table to use instead of the chooser.
+    """
+    few = few_groups(p, groups)
     keys = [p.item, p.group, p.entity]
     df = complete_rows(require_columns(items, keys + p.features).select(*keys, *p.features),
                        keys + p.features)
-    groups = select_groups(df, group=p.group, mode=p.group_mode, top=p.top_groups,
-                           variety=p.variety_groups, min_rows=p.min_rows, seed=p.seed)
-    df = keep_groups(df, groups, p.group)
-    # gate: a group needs n_queries + 50 rows (one row per chosen group: broadcast is bounded)
-    sizes = group_counts(df, p.group).filter(F.col("n") >= p.n_queries + 50)
-    return materialize(keep_groups(df, sizes, p.group), spread=True)
+    df = keep_groups(df, chosen_groups(df, p, p.min_rows, groups), p.group, few_groups=few)
+    if p.n_queries is not None:  # gate: a group needs n_queries + 50 rows
+        sizes = group_counts(df, p.group).filter(F.col("n") >= p.n_queries + 50)
+        df = keep_groups(df, sizes, p.group, few_groups=few)
+    return materialize(df, spread=True)
 
 
-def audio_queries(items: DataFrame, p: Params) -> DataFrame:
-    return sample_per_group(items, p.group, p.n_queries, id_col=p.item, seed=p.seed, salt="query")
+def audio_queries(items: DataFrame, p: Params, *, few: bool | None = None) -> DataFrame:
+    return sample_per_group(items, p.group, p.n_queries, id_col=p.item, seed=p.seed, salt="query",
+                            few_groups=few_groups(p) if few is None else few)
 
 
-def audio_pairs(items: DataFrame, p: Params, scale: str = "none",
-                queries: DataFrame | None = None) -> DataFrame:
+def audio_pairs(items: DataFrame, p: Params, scale: str = "none", queries: DataFrame | None = None, *,
+                few: bool | None = None) -> DataFrame:
     """(query, candidate, distance) for every sampled query and every item of its group.
 
-    ``queries`` (default: sampled from ``items``) carries the item columns, so it
-    is broadcast as is; with ``scale="zscore"`` both sides use the same group
-    statistics of ``items``.
+    ``queries`` (default: sampled from ``items``) carries the item columns; it is
+    broadcast if parameters bound it (``few``, by default as ``p`` says). With
+    ``scale="zscore"`` both sides use the same group statistics of ``items``.
     """
+    few = few_groups(p) if few is None else few
     cols = list(p.features)
     if queries is None:
-        queries = audio_queries(items, p)
+        queries = audio_queries(items, p, few=few)
     if scale == "zscore":
         stats = group_stats(items, p.group, cols)
-        items = zscore(items, p.group, cols, stats=stats)
-        queries = zscore(queries, p.group, cols, stats=stats)
+        items = zscore(items, p.group, cols, stats=stats, few_groups=few)
+        queries = zscore(queries, p.group, cols, stats=stats, few_groups=few)
         cols = [f"z_{c}" for c in cols]
     elif scale != "none":
         raise ValueError("scale must be 'none' or 'zscore'")
-    pairs = pair_join(queries, items, group=p.group, id_col=p.item, entity=p.entity, cols=cols)
+    pairs = pair_join(queries, items, group=p.group, id_col=p.item, entity=p.entity, cols=cols,
+                      few_queries=few and p.n_queries is not None)
     return pairs.withColumn("dist", distance_column(cols))
 
 
 def evaluate_audio(items: DataFrame, p: Params | None = None, *, scale: str = "none",
-                   run_ts=None) -> DataFrame:
+                   run_ts=None, groups: DataFrame | None = None) -> DataFrame:
     """Recall@K and MRR@K per chosen group, numeric features, Euclidean distance.
 
     Queries: ``n_queries`` per group in sample-key order. Candidates: every item
-    of the group (no cap), the query itself excluded.
+    of the group (no cap), the query itself excluded. ``groups``: a stored group table
+    to use instead of the chooser.
     Columns: genre, n_queries, k, recall_at_k, mrr_at_k, run_ts.
     """
     p = p or Params()
-    df = eval_items(items, p)
-    queries = materialize(audio_queries(df, p))
-    pairs = audio_pairs(df, p, scale, queries=queries)
-    hits = first_hit_rank(pairs, p.k, score="dist", ascending=True, group=p.group)
+    few = few_groups(p, groups)
+    df = eval_items(items, p, groups)
+    queries = materialize(audio_queries(df, p, few=few))
+    pairs = audio_pairs(df, p, scale, queries=queries, few=few)
+    hits = first_hit_rank(pairs, p.k, score="dist", ascending=True, group=p.group,
+                          few_queries=few and p.n_queries is not None)
     m = hit_metrics(queries.select(p.group, F.col(p.item).alias("qid")), hits, group=p.group)
     return m.select(p.group, "n_queries", F.lit(p.k).cast("int").alias("k"),
                     "recall_at_k", "mrr_at_k", _run_ts(run_ts).alias("run_ts"))
@@ -78,104 +102,102 @@ def evaluate_audio(items: DataFrame, p: Params | None = None, *, scale: str = "n
 
 # --------------------------------------------------------------------------- text blend
 
-def text_eval_items(items: DataFrame, text: DataFrame, p: Params) -> DataFrame:
+def text_eval_items(items: DataFrame, text: DataFrame, p: Params, groups: DataFrame | None = None) -> DataFrame:
     """Items with text of the chosen groups, plus n_tracks_in_genre. Key column: track_id."""
-    g = p.group
+    g, few = p.group, few_groups(p, groups)
     df = (items.select(F.col(p.item).alias("track_id"), g, p.entity, *p.features)
                .join(text.select("track_id", g, "lyrics", "lyrics_found"), ["track_id", g]))
     df = complete_rows(text_available(df), p.features)
-    groups = select_groups(df, group=g, mode=p.group_mode, top=p.top_groups,
-                           variety=p.variety_groups, min_rows=p.text_min_rows, seed=p.seed)
-    df = keep_groups(df, groups, g)
+    df = keep_groups(df, chosen_groups(df, p, p.text_min_rows, groups), g, few_groups=few)
     sizes = group_counts(df, g, "n_tracks_in_genre").filter(F.col("n_tracks_in_genre") >= p.text_min_rows)
-    return materialize(df.join(F.broadcast(sizes), g), spread=True)
+    return materialize(df.join(F.broadcast(sizes) if few else sizes, g), spread=True)
 
 
-def text_queries(df: DataFrame, p: Params) -> DataFrame:
-    return sample_per_group(df, p.group, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query")
+def text_queries(df: DataFrame, p: Params, *, few: bool | None = None) -> DataFrame:
+    return sample_per_group(df, p.group, p.text_n_queries, id_col="track_id", seed=p.seed, salt="query",
+                            few_groups=few_groups(p) if few is None else few)
 
 
-# Query postings above this many rows are joined by shuffle instead of broadcast.
-BROADCAST_POSTINGS_LIMIT = 2_000_000
+#: Query postings that are broadcast at a time; more queries are joined in blocks of about so many, by the same plan.
+POSTINGS_BLOCK = 1_000_000
 
-TEXT, NUMERIC = 0, 1
 
+def text_postings(tf: DataFrame, idf: DataFrame, p: Params) -> DataFrame:
+    """(group, track_id, entity, term, w): TF-IDF weights of unit length per document (zero weights left out)."""
+    g = p.group
+    weights = (tf.join(idf.filter(F.col("idf") > 0), "term")
+                 .select(g, "track_id", p.entity, "term", (F.col("tf") * F.col("idf")).alias("weight")))
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(g, "track_id")))
+    return weights.select(g, "track_id", p.entity, "term", (F.col("weight") / norm).alias("w"))
 
-def doc_postings(tf: DataFrame, docs: DataFrame, idf: DataFrame, stats: DataFrame, p: Params) -> DataFrame:
-    """Each document as one sparse vector: unit TF-IDF text weights (kind 0) and its
-    unit z-scored numeric features (kind 1).
 
-    ``tf`` holds (group, track_id, entity, term, tf) for ``docs``. Columns: group,
-    track_id, entity, kind, term, w. Rows are hash-partitioned by (group, track_id),
-    so everything about one document sits in one task.
-    """
-    g, e, feats = p.group, p.entity, p.features
-    text = (tf.join(idf.filter(F.col("idf") > 0), "term")
-              .select(g, "track_id", e, F.lit(TEXT).alias("kind"), "term",
-                      (F.col("tf") * F.col("idf")).alias("weight")))
-    zcols = [f"z_{c}" for c in feats]
-    z = l2_normalize(zscore(docs.select(g, "track_id", e, *feats), g, feats, stats=stats), zcols, prefix="u_")
-    cells = F.array(*[F.struct(F.lit(c).alias("term"), F.col(f"u_z_{c}").alias("weight")) for c in feats])
-    numeric = (z.select(g, "track_id", e, F.lit(NUMERIC).alias("kind"), F.explode(cells).alias("_c"))
-                .select(g, "track_id", e, "kind", "_c.term", "_c.weight"))
-    posts = text.unionByName(numeric).repartition(g, "track_id")
-    text_norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(g, "track_id", "kind")))
-    w = F.when(F.col("kind") == TEXT, F.col("weight") / text_norm).otherwise(F.col("weight"))
-    return posts.select(g, "track_id", e, "kind", "term", w.alias("w"))
-
-
-def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words",
-                  queries: DataFrame | None = None) -> DataFrame:
+def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words", queries: DataFrame | None = None,
+                  few: bool | None = None) -> DataFrame:
     """Scored pairs: alpha * audio cosine (z-scored, unit) + (1 - alpha) * text TF-IDF cosine,
     for every sampled query and every other item of its group.
 
-    Both cosines are dot products over one posting list per document (text terms
-    plus numeric features), so one equi-join on (group, kind, term) yields all
-    contributions. Candidate postings stay partitioned by document and the
-    bounded query postings are broadcast (after a size check; a shuffle join
-    beyond it), so the per-pair sums complete inside the candidate's task with no
-    pair shuffle. Every pair shares the numeric coordinates, so pairs without a
-    common word are present with text cosine 0.
+    A pair gets one row from the nine numeric columns (documents joined to the
+    broadcast queries of their group) and one row per shared term (postings joined
+    to the broadcast query postings on group and term). Both sides stay
+    partitioned by candidate, so the sum per pair needs no shuffle of pairs.
+    Query postings are broadcast in blocks of queries of about POSTINGS_BLOCK rows,
+    whatever their number. ``tokens="hashed"``: hashed term frequencies.
     Columns: group, qid, cid, q_entity, c_entity, audio_cos, text_cos, score.
     """
     g, e, feats = p.group, p.entity, p.features
+    few = few_groups(p) if few is None else few
     if queries is None:
-        queries = materialize(text_queries(df, p))
-    stats = group_stats(df, g, feats)
+        queries = materialize(text_queries(df, p, few=few))
     # tokenise once: the term counts feed document frequencies and both posting lists
-    tf = materialize(term_counts(df, [g, "track_id", e], "lyrics", tokens), spread=True)
-    idf = materialize(idf_table(tf, df))
-    qkeys = F.broadcast(queries.select(g, "track_id"))
-    qposts = materialize(doc_postings(tf.join(qkeys, [g, "track_id"], "left_semi"),
-                                      df.join(qkeys, [g, "track_id"], "left_semi"), idf, stats, p))
-    cposts = doc_postings(tf, df, idf, stats, p)
-    q = qposts.select(g, "kind", "term", F.col("track_id").alias("qid"), F.col(e).alias("q_entity"),
-                      F.col("w").alias("wq"))
-    if qposts.count() <= BROADCAST_POSTINGS_LIMIT:
-        q = F.broadcast(q)
-    c = cposts.select(g, "kind", "term", F.col("track_id").alias("cid"), F.col(e).alias("c_entity"),
-                      F.col("w").alias("wc"))
-    prod = F.col("wq") * F.col("wc")
-    scored = (c.join(q, [g, "kind", "term"]).filter(F.col("qid") != F.col("cid"))
-               # entities depend on the ids; as keys they keep the aggregate a hash aggregate
-               .groupBy(g, "cid", "qid", "q_entity", "c_entity")
-               .agg(F.sum(F.when(F.col("kind") == NUMERIC, prod).otherwise(0.0)).alias("audio_cos"),
-                    F.sum(F.when(F.col("kind") == TEXT, prod).otherwise(0.0)).alias("text_cos")))
+    doc = [g, "track_id", e]
+    counts = hashed_term_counts(df, doc, "lyrics", p.hash_buckets) if tokens == "hashed" else term_counts(df, doc, "lyrics", tokens)
+    tf = materialize(counts, spread=True)
+    postings = text_postings(tf, materialize(idf_table(tf, df)), p)
+    zcols = [f"z_{c}" for c in feats]
+    ucols = [f"u_z_{c}" for c in feats]
+    scaled = l2_normalize(zscore(df.select(*doc, *feats), g, feats, stats=group_stats(df, g, feats), few_groups=few), zcols)
+    numeric = materialize(scaled.select(*doc, *ucols), spread=True)
+
+    keys = queries.select(g, "track_id")
+    names = {"track_id": "qid", e: "q_entity"}
+    q_text = materialize(postings.join(keys, [g, "track_id"], "left_semi").withColumnsRenamed({**names, "w": "wq"}))
+    q_numeric = materialize(numeric.join(keys, [g, "track_id"], "left_semi").withColumnsRenamed({**names, **{c: f"q_{c}" for c in ucols}}))
+    blocks = max(1, -(-q_text.count() // POSTINGS_BLOCK), -(-q_numeric.count() // POSTINGS_BLOCK))
+
+    c_text = postings.withColumnsRenamed({"track_id": "cid", e: "c_entity", "w": "wc"})
+    c_numeric = numeric.withColumnsRenamed({"track_id": "cid", e: "c_entity"})
+    pair = [g, "cid", "qid", "q_entity", "c_entity"]
+    audio = reduce(lambda x, y: x + y, [F.col(f"q_{c}") * F.col(c) for c in ucols])
+    scored = None
+    for block in range(blocks):
+        mine = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block
+        by_text = c_text.repartition(g, "cid").join(F.broadcast(q_text.filter(mine)), [g, "term"])
+        by_number = c_numeric.repartition(g, "cid").join(F.broadcast(q_numeric.filter(mine)), g)
+        rows = (by_text.select(*pair, F.lit(0.0).alias("audio_cos"), (F.col("wq") * F.col("wc")).alias("text_cos"))
+                .unionByName(by_number.select(*pair, audio.alias("audio_cos"), F.lit(0.0).alias("text_cos"))))
+        # entities depend on the ids; as keys they keep the aggregate a hash aggregate
+        sums = (rows.filter(F.col("qid") != F.col("cid")).groupBy(*pair)
+                .agg(F.sum("audio_cos").alias("audio_cos"), F.sum("text_cos").alias("text_cos")))
+        scored = sums if scored is None else scored.unionByName(sums)
     return scored.select(g, "qid", "cid", "q_entity", "c_entity", "audio_cos", "text_cos",
                          (p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos")).alias("score"))
 
 
 def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = None, *,
-                        run_ts=None, tokens: str = "words") -> DataFrame:
+                        run_ts=None, tokens: str = "words", groups: DataFrame | None = None) -> DataFrame:
     """Recall@K and MRR@K per group for the blended score (descending), ties by id.
 
+    ``tokens="hashed"`` uses hashed term frequencies (``p.hash_buckets``); ``groups`` is a
+    stored group table to use instead of the chooser.
+
     Columns: genre, n_tracks_in_genre, n_queries, k, alpha_audio_weight, recall_at_k, mrr_at_k, run_ts.
     """
     p = p or Params()
     g = p.group
-    df = text_eval_items(items, text, p)
-    queries = materialize(text_queries(df, p))
-    scored = blended_pairs(df, p, tokens=tokens, queries=queries)
+    few = few_groups(p, groups)
+    df = text_eval_items(items, text, p, groups)
+    queries = materialize(text_queries(df, p, few=few))
+    scored = blended_pairs(df, p, tokens=tokens, queries=queries, few=few)
     top = knn_topk(scored, p.k, score="score", ascending=False, group=g, bounded=False)
     hits = first_hit_from_topk(top, group=g)
     m = hit_metrics(queries.select(g, F.col("track_id").alias("qid")), hits, group=g)
