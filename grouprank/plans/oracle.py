@@ -8,7 +8,7 @@ range-partitioned prefix sums). Fixture CTEs are the statements in FIXTURES.md.
 
 from __future__ import annotations
 
-from grouprank.params import FEATURES
+from grouprank.params import CURATED_COLUMNS, FEATURES
 
 Q = "chr(39)"   # a single quote, spelled the same in both engines
 
@@ -40,9 +40,10 @@ FX_TRACKS = f"""fx_tracks AS (
 FX_RESPONSES = """fx_responses AS (
   SELECT CAST(doc_id AS VARCHAR) AS track_id,
          CASE WHEN doc_id % 7 = 0 THEN '[]'
-              WHEN doc_id % 7 = 1 THEN '[{"plainLyrics":"","syncedLyrics":"' || source || ' ' || lang || '"},{"plainLyrics":"second"}]'
+              WHEN doc_id % 7 = 1 THEN '[{"plainLyrics":"","syncedLyrics":' || CAST(to_json(text) AS VARCHAR) || '},{"plainLyrics":"second"}]'
               WHEN doc_id % 7 = 2 THEN 'not json'
-              ELSE '[{"plainLyrics":"' || source || ' ' || lang || '","syncedLyrics":null}]' END AS response_json
+              WHEN doc_id % 7 = 3 THEN '{"plainLyrics":' || CAST(to_json(text) AS VARCHAR) || '}'
+              ELSE '[{"plainLyrics":' || CAST(to_json(text) AS VARCHAR) || ',"syncedLyrics":null}]' END AS response_json
   FROM documents)"""
 
 FX_LYRICS = """fx_lyrics AS (
@@ -86,7 +87,7 @@ ENT_RAW = f"""ent_raw AS (
   FROM fx_artists)"""
 
 ENT_G = """ent_g AS (
-  SELECT artist_id_primary, artist_name_primary, genre FROM (
+  SELECT DISTINCT artist_id_primary, artist_name_primary, genre FROM (
     SELECT artist_id_primary, artist_name_primary, lower(trim(g)) AS genre
     FROM (SELECT artist_id_primary, artist_name_primary, unnest(artist_genres) AS g FROM ent))
   WHERE genre IS NOT NULL AND genre <> '')"""
@@ -124,9 +125,14 @@ PICK = ("CASE WHEN json_valid(response_json) THEN coalesce("
         "nullif(json_extract_string(response_json, '$[0].plainLyrics'), ''), "
         "nullif(json_extract_string(response_json, '$[0].syncedLyrics'), '')) END")
 
+def _strip(c: str) -> str:
+    """Without white space at either end."""
+    return f"coalesce(regexp_replace({c}, '^[\\s\\v]+|[\\s\\v]+$', '', 'g'), '')"
+
+
 RESOLVED = f"""clean_in AS (
-  SELECT coalesce(trim(track_id), '') AS track_id, coalesce(trim(track_name), '') AS track_name,
-         coalesce(trim(artist_name_primary), '') AS artist_name_primary, lower(coalesce(trim(genre), '')) AS genre
+  SELECT {_strip('track_id')} AS track_id, {_strip('track_name')} AS track_name,
+         {_strip('artist_name_primary')} AS artist_name_primary, lower({_strip('genre')}) AS genre
   FROM lookup_rows),
 valid_in AS (
   SELECT * FROM clean_in WHERE track_id <> '' AND track_name <> '' AND artist_name_primary <> '' AND genre <> ''),
@@ -159,12 +165,16 @@ def _chosen(src: str, min_rows: int, top: int) -> str:
 
 # ---------------------------------------------------------------- numeric evaluation
 
-def audio_ctes(min_rows=500, top=10, n_q=150, k=10) -> str:
-    dist = " + ".join(f"(q.{c} - c.{c}) * (q.{c} - c.{c})" for c in F)
+def audio_ctes(min_rows=500, top=10, n_q=150, k=10, zscore=False, groups=None) -> str:
+    def value(side: str, c: str) -> str:
+        return f"({side}.{c} - s.mu_{c}) / s.sd_{c}" if zscore else f"{side}.{c}"
+    dist = " + ".join(f"({value('q', c)} - {value('c', c)}) * ({value('q', c)} - {value('c', c)})" for c in F)
+    stats = ", ".join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) = 0 THEN CAST(1 AS DOUBLE) "
+                      f"ELSE stddev_pop({c}) END AS sd_{c}" for c in F)
     return f"""cc AS (
   SELECT id, genre, artist_id_primary, {FCOLS} FROM curated
   WHERE {_not_null(['id', 'genre', 'artist_id_primary'] + F)}),
-chosen AS ({_chosen('cc', min_rows, top)}),
+chosen AS ({groups or _chosen('cc', min_rows, top)}),
 ei AS (
   SELECT * FROM cc WHERE genre IN (SELECT genre FROM chosen)
     AND genre IN (SELECT genre FROM cc GROUP BY genre HAVING count(*) >= {n_q + 50})),
@@ -172,7 +182,8 @@ aq AS ({_sample('ei', 'genre', 'query', 'id', n_q)}),
 apairs AS (
   SELECT q.genre, q.id AS qid, q.artist_id_primary AS q_entity, c.id AS cid, c.artist_id_primary AS c_entity,
          sqrt({dist}) AS dist
-  FROM aq q JOIN ei c ON q.genre = c.genre AND q.id <> c.id),
+  FROM aq q JOIN ei c ON q.genre = c.genre AND q.id <> c.id
+    JOIN (SELECT genre, {stats} FROM ei GROUP BY genre) s ON q.genre = s.genre),
 aranked AS (
   SELECT *, row_number() OVER (PARTITION BY genre, qid ORDER BY dist, cid) AS rk FROM apairs),
 afh AS (
@@ -298,6 +309,11 @@ def _r(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
 
+def _per_query(src: str, value: str, places: int = 6) -> str:
+    return (f"SELECT genre, qid, count(*) AS pairs, round(sum({value}), {places}) AS total, round(min({value}), 6) AS least, "
+            f"round(max({value}), 6) AS most FROM {src} GROUP BY genre, qid")
+
+
 def _eval_select(src: str) -> str:
     return f"SELECT genre, n_queries, k, {_r('recall_at_k', 'recall_at_k')}, {_r('mrr_at_k', 'mrr_at_k')} FROM {src}"
 
@@ -335,6 +351,15 @@ ev AS (
   FROM vq q LEFT JOIN vfh f ON q.genre = f.genre AND q.id = f.qid GROUP BY q.genre)"""
 
 
+def _variety_ctes() -> str:
+    """Top groups and further ones in sample order, with the reason."""
+    return """gc AS (SELECT genre, count(*) AS n_tracks FROM curated WHERE genre IS NOT NULL GROUP BY genre),
+tg AS (SELECT genre, n_tracks, 'top_n' AS reason FROM gc ORDER BY n_tracks DESC, genre LIMIT 5),
+vg AS (SELECT genre, n_tracks, 'variety' AS reason FROM gc
+       WHERE genre NOT IN (SELECT genre FROM tg) AND n_tracks >= 300
+       ORDER BY md5(concat_ws(':', '42', 'group', genre)), genre, n_tracks LIMIT 5)"""
+
+
 def _portable_rounding(sql: str) -> str:
     """round(x, 6) -> round(x * 1e6) / 1e6 + 0.0 (the same steps as the Spark side; no -0.0)."""
     out, i, pat = [], 0, "round("
@@ -359,6 +384,18 @@ def _portable_rounding(sql: str) -> str:
         i = k
 
 
+_QUALITY = (
+    "SELECT genre, count(*) AS tracks_in_curated, "
+    "CAST(sum(CASE WHEN lyrics IS NOT NULL AND length(lyrics) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS tracks_with_lyrics "
+    "FROM enriched GROUP BY genre")
+
+_LOOKED_UP = (
+    "SELECT track_id, track_name, artist_name_primary, genre FROM ("
+    "SELECT id AS track_id, name AS track_name, artist_name_primary, genre, row_number() OVER ("
+    "PARTITION BY genre ORDER BY md5(concat_ws(':', '42', 'lookup', id)), id) AS rn FROM curated "
+    f"WHERE genre IN ({_chosen('curated', 1000, 20)})) WHERE rn <= 40")
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _portable_rounding(v) for k, v in _oracle_sql().items()}
 
@@ -372,10 +409,16 @@ def _oracle_sql() -> dict[str, str]:
     s: dict[str, str] = {}
 
     # scans, sources, sinks
-    s["scan_table"] = _with(FX_TRACKS) + "SELECT * FROM fx_tracks"
-    s["csv_roundtrip"] = s["scan_table"]
+    s["scan_table"] = "SELECT * FROM documents"
+    s["csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+    s["csv_inferred"] = _with(FX_TRACKS) + (
+        "SELECT CAST(id AS INTEGER) AS id, name, popularity, id_artists, release_date, " + FCOLS + " FROM fx_tracks")
+    s["catalog_tables"] = _with(BASE) + (
+        "SELECT 'grouprank_db' AS database, 'group_counts' AS table_name, count(DISTINCT genre) AS groups, "
+        "count(*) AS track_rows FROM curated")
     s["jsonl_roundtrip"] = _with(BASE, FX_RESPONSES, LOOKUP_ROWS, RESOLVED) + "SELECT * FROM resolved"
-    s["positional_csv"] = _with(BASE, LOOKUP_ROWS) + "SELECT * FROM lookup_rows"
+    s["positional_csv"] = ("SELECT CAST(doc_id AS VARCHAR) AS track_id, text AS track_name, source AS artist_name_primary, "
+                           "lang AS genre FROM documents")
     s["partitioned_sink"] = _with(BASE) + f"SELECT {curated_cols} FROM curated"
     s["ctas_partitioned"] = _with(BASE) + "SELECT genre, count(*) AS track_rows FROM curated GROUP BY genre"
 
@@ -394,13 +437,23 @@ def _oracle_sql() -> dict[str, str]:
 
     # joins
     s["curate_items"] = _with(BASE) + f"SELECT {curated_cols} FROM curated"
-    s["join_left"] = s["curate_items"]
+    s["join_left"] = _with(FX_ARTISTS, FX_TRACKS, ENT) + (
+        "SELECT t.artist_id_primary, e.artist_name_primary, count(*) AS items, CAST(max(len(e.artist_genres)) AS INTEGER) AS n_genres "
+        f"FROM (SELECT id, nullif(regexp_extract(id_artists, {SINGLE_ID}, 1), '') AS artist_id_primary FROM fx_tracks) t "
+        "LEFT JOIN ent e ON t.artist_id_primary = e.artist_id_primary GROUP BY t.artist_id_primary, e.artist_name_primary")
+    s["curate_first_id"] = _with(FX_ARTISTS, FX_TRACKS, ENT, ENT_G) + (
+        "SELECT e.genre, count(DISTINCT t.id) AS track_rows, count(DISTINCT e.artist_id_primary) AS entities "
+        f"FROM (SELECT id, regexp_extract(id_artists, {FIRST_ID}, 1) AS a FROM fx_tracks) t JOIN ent_g e ON t.a = e.artist_id_primary "
+        "GROUP BY e.genre")
+    without = ["popularity", "release_date"]
+    left = [c for c in CURATED_COLUMNS if c not in without + ["duration_ms", "explicit", "artists", "key", "mode", "time_signature"]]
+    s["optional_columns"] = _with(BASE) + f"SELECT id, genre, CAST(NULL AS INTEGER) AS release_year, '{','.join(left)}' AS columns FROM curated"
     s["enrich_text"] = _with(WITH_TEXT) + "SELECT * FROM enriched"
     s["join_composite"] = _with(WITH_TEXT) + (
         "SELECT c.id AS track_id, c.genre, c.artist_id_primary, round(c.tempo, 6) AS tempo, e.lyrics_found "
         "FROM curated c JOIN enriched e ON c.id = e.track_id AND c.genre = e.genre")
-    s["pair_join"] = _with(BASE, A) + "SELECT genre, qid, q_entity, cid, c_entity, round(dist, 6) AS dist FROM apairs"
-    s["text_cosine"] = _with(WITH_TEXT, T) + "SELECT genre, qid, cid, round(text_cos, 6) AS text_cos FROM tcos"
+    s["pair_join"] = _with(BASE, A) + _per_query("apairs", "dist", 2)
+    s["text_cosine"] = _with(WITH_TEXT, T) + _per_query("tcos", "text_cos")
 
     # aggregations
     s["group_distribution"] = _with(BASE) + (
@@ -411,10 +464,7 @@ def _oracle_sql() -> dict[str, str]:
     s["text_quality_total"] = _with(BASE, FX_RESPONSES, LOOKUP_ROWS, RESOLVED) + (
         "SELECT count(*) AS lyric_rows, CAST(sum(CASE WHEN lyrics_found THEN 1 ELSE 0 END) AS BIGINT) AS found_rows "
         "FROM resolved")
-    s["text_quality_by_group"] = _with(WITH_TEXT) + (
-        "SELECT genre, count(*) AS tracks_in_curated, "
-        "CAST(sum(CASE WHEN lyrics IS NOT NULL AND length(lyrics) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS tracks_with_lyrics "
-        "FROM enriched GROUP BY genre")
+    s["text_quality_by_group"] = _with(WITH_TEXT) + _QUALITY
     s["eligible_groups"] = _with(BASE) + (
         "SELECT genre, count(*) AS track_rows FROM curated WHERE genre IS NOT NULL GROUP BY genre HAVING count(*) >= 500")
     s["distinct_groups"] = _with(BASE) + "SELECT DISTINCT genre FROM curated ORDER BY genre"
@@ -436,6 +486,11 @@ def _oracle_sql() -> dict[str, str]:
         "SELECT genre, n_tracks_in_genre, n_queries, k, round(alpha_audio_weight, 6) AS alpha_audio_weight, "
         "round(recall_at_k, 6) AS recall_at_k, round(mrr_at_k, 6) AS mrr_at_k FROM et")
     s["eval_report"] = s["eval_audio_text"]
+    s["eval_report_audio"] = s["eval_audio"]
+    s["run_timestamp"] = _with(BASE, A) + "SELECT genre, '2024-01-02 03:04:05' AS run_ts FROM ea"
+    s["predictor_groups"] = _with(BASE, I) + "SELECT DISTINCT genre FROM fi"
+    s["eval_audio_zscore"] = _with(BASE, audio_ctes(zscore=True)) + _eval_select("ea")
+    s["eval_audio_variety"] = _with(BASE, _variety_ctes(), audio_ctes(groups="SELECT genre FROM tg UNION SELECT genre FROM vg")) + _eval_select("ea")
     zc = ", ".join(f"round(z_{c}, 6) AS z_{c}" for c in F)
     uc = ", ".join(f"round(u_z_{c}, 6) AS u_z_{c}" for c in F)
     s["zscore"] = _with(WITH_TEXT, T) + f"SELECT track_id, genre, {zc} FROM zt"
@@ -447,7 +502,7 @@ def _oracle_sql() -> dict[str, str]:
         "SELECT track_id, genre, term, count(*) AS tf FROM ("
         f"SELECT track_id, genre, unnest(string_split_regex(lower(lyrics), {ws})) AS term FROM enriched "
         "WHERE lyrics_found = true AND lyrics IS NOT NULL) WHERE term <> '' GROUP BY track_id, genre, term")
-    s["audio_cosine"] = _with(WITH_TEXT, T) + "SELECT genre, qid, cid, round(audio_cos, 6) AS audio_cos FROM tscored"
+    s["audio_cosine"] = _with(WITH_TEXT, T) + _per_query("tscored", "audio_cos")
     s["blended_rank"] = _with(WITH_TEXT, T) + (
         'SELECT genre, qid, cid, round(score, 6) AS score, CAST(rk AS INTEGER) AS "rank" FROM tranked WHERE rk <= 10')
 
@@ -471,12 +526,11 @@ def _oracle_sql() -> dict[str, str]:
         "SELECT genre, baseline_available, delta_recall, delta_mrr, alpha_audio_weight FROM ("
         + _delta_select("LEFT JOIN") + ")")
     s["select_groups_top"] = _with(BASE) + _chosen("curated", 500, 10)
-    variety = f"""gc AS (SELECT genre, count(*) AS n_tracks FROM curated WHERE genre IS NOT NULL GROUP BY genre),
-tg AS (SELECT genre, n_tracks, 'top_n' AS reason FROM gc ORDER BY n_tracks DESC, genre LIMIT 5),
-vg AS (SELECT genre, n_tracks, 'variety' AS reason FROM gc
-       WHERE genre NOT IN (SELECT genre FROM tg) AND n_tracks >= 300
-       ORDER BY md5(concat_ws(':', '42', 'group', genre)), genre, n_tracks LIMIT 5)"""
-    s["select_groups_sql"] = _with(BASE, variety) + "SELECT * FROM tg UNION ALL SELECT * FROM vg"
+    s["preview_rows"] = _with(BASE) + (
+        "SELECT * FROM (SELECT 'tracks' AS table_name, id, name, name AS label FROM fx_tracks ORDER BY id LIMIT 5) UNION ALL "
+        "SELECT * FROM (SELECT 'artists', id, name, name FROM fx_artists ORDER BY id LIMIT 5) UNION ALL "
+        "SELECT * FROM (SELECT 'curated', id, name, genre FROM curated ORDER BY id, genre LIMIT 5)")
+    s["select_groups_sql"] = _with(BASE, _variety_ctes()) + "SELECT * FROM tg UNION ALL SELECT * FROM vg"
     variety_both = f"""gc AS (SELECT genre, count(*) AS n FROM curated WHERE genre IS NOT NULL GROUP BY genre HAVING count(*) >= 300),
 tg AS (SELECT genre FROM gc ORDER BY n DESC, genre LIMIT 5),
 vg AS (SELECT genre FROM gc WHERE genre NOT IN (SELECT genre FROM tg)
@@ -503,11 +557,7 @@ vg AS (SELECT genre FROM gc WHERE genre NOT IN (SELECT genre FROM tg)
         "coalesce(trim(name), '') AS name_clean FROM ent_raw")
 
     # composite stages
-    s["lookup_input_top"] = _with(BASE) + (
-        "SELECT track_id, track_name, artist_name_primary, genre FROM ("
-        "SELECT id AS track_id, name AS track_name, artist_name_primary, genre, row_number() OVER ("
-        "PARTITION BY genre ORDER BY md5(concat_ws(':', '42', 'lookup', id)), id) AS rn FROM curated "
-        f"WHERE genre IN ({_chosen('curated', 1000, 20)})) WHERE rn <= 40")
+    s["lookup_input_top"] = _with(BASE) + _LOOKED_UP
     s["lookup_input_stratified"] = _with(BASE) + (
         "SELECT track_id, track_name, artist_name_primary, genre FROM ("
         "SELECT id AS track_id, name AS track_name, artist_name_primary, genre, row_number() OVER ("
@@ -520,5 +570,9 @@ vg AS (SELECT genre FROM gc WHERE genre NOT IN (SELECT genre FROM tg)
     s["delta_flagged"] = _with(WITH_TEXT, A, T) + _delta_select("LEFT JOIN")
     s["delta_unflagged"] = _with(WITH_TEXT, A, T) + _delta_select("JOIN")
     s["pipeline_delta"] = s["delta_flagged"]
+    looked_up = f"lookup_rows AS ({_LOOKED_UP})"
+    records = """text_records AS (
+  SELECT track_id, lower(trim(genre)) AS genre, lyrics, lyrics_found FROM resolved)"""
+    s["pipeline_lookups"] = _with(BASE, looked_up, FX_RESPONSES, RESOLVED, records, ENRICHED) + _QUALITY
     s["eval_vectors"] = _with(FX_VEC, _vec_ctes()) + _eval_select("ev")
     return s

@@ -22,13 +22,13 @@ from grouprank.operators.groups import (eligible_groups, group_counts, keep_grou
 from grouprank.operators.knn import (first_hit_rank, knn_topk, pair_join, array_distance_column,
                                      hit_metrics)
 from grouprank.operators.sampling import capped_sample, sample_per_group
-from grouprank.operators.text import term_counts, term_weights, text_cosine, tfidf, tfidf_hashed
+from grouprank.operators.text import hashed_term_counts, term_counts, term_weights, text_cosine, tfidf, tfidf_hashed
 from grouprank.operators.vectors import l2_normalize, zscore
-from grouprank.params import CURATED_COLUMNS, FEATURES, Params, params_for_scale, variety_params_for_scale
+from grouprank.params import CURATED_COLUMNS, FEATURES, Params
 from grouprank.plans import compare as cmp
 from grouprank.plans import fixtures as fx
-from grouprank.plans.curate import (convert_text, curate_items, curate_items_left, enrich_with_text,
-                                    entity_groups, explode_groups, lookup_input_stratified,
+from grouprank.plans.curate import (LOOKUP_COLUMNS, convert_text, curate_items, enrich_with_text, entity_groups,
+                                    explode_groups, items_with_entities, lookup_input_stratified,
                                     lookup_input_top, resolve_lookups)
 from grouprank.plans.evaluate import (audio_pairs, audio_queries, blended_pairs, eval_items,
                                       evaluate_audio, evaluate_audio_text, text_eval_items, text_queries)
@@ -82,13 +82,17 @@ def enriched(spark, d) -> DataFrame:
     return enrich_with_text(curated(spark, d), text_records(spark, d))
 
 
+#: The same parameters on every folder.
+PARAMS = Params()
+VARIETY = PARAMS.with_(group_mode="top_n_plus_variety", top_groups=5, variety_groups=5, min_rows=300)
+
+
 def _p(d) -> Params:
-    return params_for_scale(d)
+    return PARAMS
 
 
 def _variety(d) -> Params:
-    top, var, mn = variety_params_for_scale(d)
-    return _p(d).with_(group_mode="top_n_plus_variety", top_groups=top, variety_groups=var, min_rows=mn)
+    return VARIETY
 
 
 def _audio_eval(spark, d, cur=None) -> DataFrame:
@@ -112,16 +116,26 @@ def _text_items(spark, d) -> DataFrame:
 # ------------------------------------------------------------------ scans, sources, sinks
 
 def q_scan_table(spark, d):
-    return fx.fx_tracks(spark, d)
+    return io.scan(spark, f"{d}/documents.parquet")
 
 
 def q_csv_roundtrip(spark, d):
+    """Whole texts, with line breaks, quotes and blanks, through CSV."""
     path = io.scratch_path(spark, "csv")
-    src = fx.fx_tracks(spark, d)
+    src = fx.table(spark, d, "documents")
     io.unload_csv(src, path)
     return io.read_csv(spark, path, schema=src.schema)
 
 
+def q_csv_inferred(spark, d):
+    """Raw CSV to a registered table with inferred column types."""
+    path, table = io.scratch_path(spark, "rawcsv"), io.scratch_path(spark, "rawtable")
+    io.unload_csv(fx.fx_tracks(spark, d), path)
+    io.read_csv(spark, path).write.parquet(table)
+    t = io.register_table(spark, "grouprank_tracks_raw", table)
+    return t.select("id", "name", "popularity", "id_artists", "release_date", *FEATURES)
+
+
 def q_jsonl_roundtrip(spark, d):
     path = io.scratch_path(spark, "jsonl")
     recs = resolve_lookups(lookup_rows(spark, d), fx.fx_responses(spark, d))
@@ -131,10 +145,12 @@ def q_jsonl_roundtrip(spark, d):
 
 
 def q_positional_csv(spark, d):
+    """Lookup rows whose name is a whole text, by position, all columns as strings."""
     path = io.scratch_path(spark, "poscsv")
-    io.unload_csv(lookup_rows(spark, d), path, header=True, escape="\\")
-    return io.read_positional_csv(spark, path, ["track_id", "track_name", "artist_name_primary", "genre"],
-                                  header=True)
+    rows = fx.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("track_id"), F.col("text").alias("track_name"),
+                                                  F.col("source").alias("artist_name_primary"), F.col("lang").alias("genre"))
+    io.unload_csv(rows, path, header=True, escape="\\")
+    return io.read_positional_csv(spark, path, LOOKUP_COLUMNS, header=True)
 
 
 def q_partitioned_sink(spark, d):
@@ -148,7 +164,7 @@ def q_partitioned_sink(spark, d):
 
 def q_ctas_partitioned(spark, d):
     path = io.scratch_path(spark, "ctas")
-    dist = cmp.group_distribution(curated(spark, d), limit=1_000_000)
+    dist = group_counts(curated(spark, d), "genre", "track_rows")
     t = io.create_table_as(spark, "grouprank_group_distribution", dist, path, ["genre"])
     return t.select("genre", "track_rows")
 
@@ -157,8 +173,11 @@ def q_catalog_tables(spark, d):
     io.ensure_database(spark, "grouprank_db")
     path = io.scratch_path(spark, "catalog")
     io.write_by_group(group_counts(curated(spark, d)), path, "genre", cluster=False)
-    io.register_table(spark, "grouprank_db.group_counts", path, "genre", "n bigint, genre string")
-    return io.list_tables(spark, "grouprank_db").select("namespace", "tableName")
+    t = io.register_table(spark, "grouprank_db.group_counts", path, "genre", "n bigint, genre string")
+    listed = io.list_tables(spark, "grouprank_db").select(F.col("namespace").alias("database"), F.col("tableName").alias("table_name"))
+    known = listed.join(io.list_databases(spark), F.col("database") == F.col("namespace"), "left_semi")
+    rows = t.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("track_rows")).withColumn("table_name", F.lit("group_counts"))
+    return known.join(rows, "table_name").select("database", "table_name", "groups", "track_rows")
 
 
 # ------------------------------------------------------------------ projections, filters
@@ -176,14 +195,13 @@ def q_text_available(spark, d):
 
 
 def q_clean_lookup_input(spark, d):
-    return clean_lookup_input(lookup_rows(spark, d), ["track_id", "track_name", "artist_name_primary", "genre"],
-                              "genre")
+    return clean_lookup_input(lookup_rows(spark, d), LOOKUP_COLUMNS, "genre")
 
 
 def q_group_semi_filter(spark, d):
     c = curated_table(spark, d)
     p = _p(d)
-    return keep_groups(c, select_groups(c, min_rows=p.min_rows, top=p.top_groups)).select("id", "genre")
+    return keep_groups(c, select_groups(c, min_rows=p.min_rows, top=p.top_groups), few_groups=True).select("id", "genre")
 
 
 def q_release_year(spark, d):
@@ -198,7 +216,10 @@ def q_curate_items(spark, d):
 
 
 def q_join_left(spark, d):
-    return curate_items_left(fx.fx_tracks(spark, d), fx.fx_artists(spark, d))
+    """Items by entity, those without a known entity included."""
+    j = items_with_entities(fx.fx_tracks(spark, d), fx.fx_artists(spark, d))
+    return j.groupBy("artist_id_primary", "artist_name_primary").agg(
+        F.count(F.lit(1)).alias("items"), F.max(F.size("artist_genres")).alias("n_genres"))
 
 
 def q_enrich_text(spark, d):
@@ -211,11 +232,17 @@ def q_join_composite(spark, d):
     return _round(c.join(e, ["track_id", "genre"], "inner"))
 
 
+def _per_query(pairs: DataFrame, value: str) -> DataFrame:
+    """All pairs of each query, as a count, a sum and the extremes."""
+    return pairs.groupBy("genre", "qid").agg(F.count(F.lit(1)).alias("pairs"), F.sum(value).alias("total"),
+                                             F.min(value).alias("least"), F.max(value).alias("most"))
+
+
 def q_pair_join(spark, d):
     p = _p(d)
     items = eval_items(curated_table(spark, d), p)
     pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
-    return _round(pairs.select("genre", "qid", "q_entity", "cid", "c_entity", "dist"))
+    return _round(_per_query(pairs, "dist"), overrides={"total": 2})
 
 
 def q_text_cosine(spark, d):
@@ -223,8 +250,8 @@ def q_text_cosine(spark, d):
     items = _text_items(spark, d)
     w = term_weights(items, ["track_id", "genre"], "lyrics")
     q = materialize(text_queries(items, p))
-    qw = w.join(F.broadcast(q.select("track_id", "genre")), ["track_id", "genre"], "left_semi")
-    return _round(text_cosine(qw, w))
+    qw = w.join(q.select("track_id", "genre"), ["track_id", "genre"], "left_semi")
+    return _round(_per_query(text_cosine(qw, w), "text_cos"))
 
 
 # ------------------------------------------------------------------ aggregations
@@ -286,13 +313,13 @@ def q_eval_audio_text(spark, d):
 
 def q_zscore(spark, d):
     items = _text_items(spark, d)
-    z = zscore(items, "genre", FEATURES)
+    z = zscore(items, "genre", FEATURES, few_groups=True)
     return _round(z.select("track_id", "genre", *[f"z_{c}" for c in FEATURES]))
 
 
 def q_l2_normalize(spark, d):
     items = _text_items(spark, d)
-    z = l2_normalize(zscore(items, "genre", FEATURES), [f"z_{c}" for c in FEATURES], prefix="u_")
+    z = l2_normalize(zscore(items, "genre", FEATURES, few_groups=True), [f"z_{c}" for c in FEATURES], prefix="u_")
     return _round(z.select("track_id", "genre", *[f"u_z_{c}" for c in FEATURES]))
 
 
@@ -305,30 +332,82 @@ def q_tokenize(spark, d):
 
 
 def q_tfidf_hashed(spark, d):
+    """Spark ML's hashed weights: their number, sum and length per document."""
     h = tfidf_hashed(_text_items(spark, d), "lyrics")
     from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array("lyr_vec")
-    return h.select("track_id", "genre", F.size(F.filter(arr, lambda x: x != 0)).alias("nonzero_terms"))
+    some = F.filter(vector_to_array("lyr_vec"), lambda x: x != 0)
+    return _round(h.select("track_id", "genre", F.size(some).alias("nonzero_terms"),
+                           F.aggregate(some, F.lit(0.0), lambda a, x: a + x).alias("total_weight")))
+
+
+def q_hashed_term_counts(spark, d):
+    """Hashed term frequencies as rows: buckets and tokens per document."""
+    t = hashed_term_counts(_text_items(spark, d), ["track_id", "genre"], "lyrics", _p(d).hash_buckets)
+    return t.groupBy("track_id", "genre").agg(F.count(F.lit(1)).alias("buckets"), F.sum("tf").alias("tokens"))
+
+
+def q_eval_audio_text_hashed(spark, d):
+    cur = curated_table(spark, d)
+    return _round(evaluate_audio_text(cur, enrich_with_text(cur, text_records(spark, d)), _p(d), tokens="hashed").drop("run_ts"))
+
+
+def q_eval_audio_zscore(spark, d):
+    return _round(evaluate_audio(curated_table(spark, d), _p(d), scale="zscore").drop("run_ts"))
+
+
+def q_eval_audio_variety(spark, d):
+    """The numeric evaluation over a top-plus-variety group list that was stored as a table first."""
+    cur, p = curated_table(spark, d), _variety(d)
+    groups = materialize(select_groups_with_reason(cur, top=p.top_groups, variety=p.variety_groups, min_rows=p.min_rows, seed=p.seed))
+    return _round(evaluate_audio(cur, p, groups=groups).drop("run_ts"))
+
+
+def q_eval_report_audio(spark, d):
+    return _round(cmp.eval_report(_audio_eval(spark, d)).drop("run_ts"))
+
+
+def q_predictor_groups(spark, d):
+    return cmp.distinct_groups(_predictors(spark, d))
+
+
+def q_curate_first_id(spark, d):
+    """Curation with the first id of any id list."""
+    c = curate_items(fx.fx_tracks(spark, d), fx.fx_artists(spark, d), id_mode="first")
+    return c.groupBy("genre").agg(F.count(F.lit(1)).alias("track_rows"), F.count_distinct("artist_id_primary").alias("entities"))
+
+
+def q_optional_columns(spark, d):
+    """Curation of raw items without a release date, and the columns it then has."""
+    t = fx.fx_tracks(spark, d).drop("release_date", "popularity")
+    c = curate_items(t, fx.fx_artists(spark, d))
+    return c.select("id", "genre", "release_year", F.lit(",".join(c.columns)).alias("columns"))
+
+
+def q_run_timestamp(spark, d):
+    """The run timestamp that is given is in every row."""
+    e = evaluate_audio(curated_table(spark, d), _p(d), run_ts="2024-01-02 03:04:05")
+    return e.select("genre", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"))
 
 
 def q_audio_cosine(spark, d):
     items = _text_items(spark, d)
     s = blended_pairs(items, _p(d), queries=materialize(text_queries(items, _p(d))))
-    return _round(s.select("genre", "qid", "cid", "audio_cos"))
+    return _round(_per_query(s, "audio_cos"))
 
 
 def q_blended_rank(spark, d):
     p = _p(d)
     items = _text_items(spark, d)
     s = blended_pairs(items, p, queries=materialize(text_queries(items, p)))
-    return _round(knn_topk(s, p.k, score="score", ascending=False, bounded=False).select("genre", "qid", "cid", "score", "rank"))
+    return _round(knn_topk(s, p.k, score="score", ascending=False, bounded=False, few_queries=True)
+                  .select("genre", "qid", "cid", "score", "rank"))
 
 
 # ------------------------------------------------------------------ windows, sorts, sampling
 
 def q_sample_per_group(spark, d):
     c = complete_rows(curated_table(spark, d), ["id", "genre", "artist_id_primary"] + FEATURES)
-    return sample_per_group(c.select("genre", "id"), "genre", 40, id_col="id", seed=42, salt="cap",
+    return sample_per_group(c.select("genre", "id"), "genre", _p(d).lookup_per_group, id_col="id", seed=42, salt="cap",
                             keep_rank="rank")
 
 
@@ -337,7 +416,7 @@ def q_knn_topk(spark, d):
     items = eval_items(curated_table(spark, d), p)
     pairs = audio_pairs(items, p, queries=materialize(audio_queries(items, p)))
     sizes = group_counts(items, "genre")
-    return _round(knn_topk(pairs, p.k, score="dist", group_sizes=sizes)
+    return _round(knn_topk(pairs, p.k, score="dist", group_sizes=sizes, few_queries=True)
                   .select("genre", "qid", "cid", "dist", "rank"))
 
 
@@ -345,23 +424,28 @@ def q_first_hit_rank(spark, d):
     p = _p(d)
     items = eval_items(curated_table(spark, d), p)
     queries = materialize(audio_queries(items, p))
-    hits = first_hit_rank(audio_pairs(items, p, queries=queries), p.k)
+    hits = first_hit_rank(audio_pairs(items, p, queries=queries), p.k, few_queries=True)
     q = queries.select("genre", F.col("id").alias("qid"))
     return q.join(hits, ["genre", "qid"], "left")
 
 
 def q_top_groups(spark, d):
-    return top_groups(group_counts(curated(spark, d), "genre", "track_rows"), 10, "genre", "track_rows")
+    return top_groups(group_counts(curated(spark, d), "genre", "track_rows"), _p(d).top_groups, "genre", "track_rows")
 
 
 def q_preview_rows(spark, d):
-    return curated(spark, d).limit(5)
+    """The first five rows by id of each of the three tables."""
+    tables = {"tracks": fx.fx_tracks(spark, d), "artists": fx.fx_artists(spark, d), "curated": curated(spark, d)}
+    parts = [df.orderBy("id", *(["genre"] if "genre" in df.columns else [])).limit(5)
+             .select(F.lit(name).alias("table_name"), "id", "name", F.col("genre" if "genre" in df.columns else "name").alias("label"))
+             for name, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_capped_sample(spark, d):
     rows = curated_table(spark, d).select(F.col("id").alias("track_id"), F.col("name").alias("track_name"),
                                           "artist_name_primary", "genre")
-    return capped_sample(rows, "track_id", 5000, seed=42)
+    return capped_sample(rows, "track_id", _p(d).stratified_cap, seed=42)
 
 
 def q_eval_report(spark, d):
@@ -472,21 +556,29 @@ def q_delta_unflagged(spark, d):
 
 def q_pipeline_delta(spark, d):
     from grouprank.plans.pipeline import run_pipeline
-    out = run_pipeline(spark, fx.fx_tracks(spark, d), fx.fx_artists(spark, d), text_records(spark, d),
-                       io.scratch_path(spark, "pipeline"), _p(d))
+    out = run_pipeline(spark, fx.fx_tracks(spark, d), fx.fx_artists(spark, d), io.scratch_path(spark, "pipeline"), _p(d),
+                       text_records=text_records(spark, d))
     return _round(out["delta"].drop("run_ts"))
 
 
+def q_pipeline_lookups(spark, d):
+    """The text records that the workflow itself makes from lookup rows and stored responses, per group."""
+    from grouprank.plans.pipeline import run_pipeline
+    out = run_pipeline(spark, fx.fx_tracks(spark, d), fx.fx_artists(spark, d), io.scratch_path(spark, "pipeline"), _p(d),
+                       responses=fx.fx_responses(spark, d), evaluate=False)
+    return cmp.text_quality_by_group(out["enriched"])
+
+
 def q_eval_vectors(spark, d):
     """Numeric evaluation on 64-dim embedding arrays (second variant of the KNN core)."""
-    p = _p(d).with_(n_queries=50, min_rows=100, group_mode="top_n", top_groups=10)
+    p = _p(d).with_(n_queries=PARAMS.vector_n_queries, min_rows=PARAMS.vector_min_rows)
     items = complete_rows(fx.fx_vec_items(spark, d), ["id", "genre", "artist_id_primary", "embedding"])
     groups = select_groups(items, min_rows=p.min_rows, top=p.top_groups)
-    items = keep_groups(items, groups)
-    items = keep_groups(items, group_counts(items).filter(F.col("n") >= p.n_queries + 50))
-    q = sample_per_group(items, "genre", p.n_queries, id_col="id", seed=p.seed, salt="query")
-    pairs = pair_join(q, items, cols=["embedding"]).withColumn("dist", array_distance_column("embedding"))
-    hits = first_hit_rank(pairs, p.k)
+    items = keep_groups(items, groups, few_groups=True)
+    items = keep_groups(items, group_counts(items).filter(F.col("n") >= p.n_queries + 50), few_groups=True)
+    q = sample_per_group(items, "genre", p.n_queries, id_col="id", seed=p.seed, salt="query", few_groups=True)
+    pairs = pair_join(q, items, cols=["embedding"], few_queries=True).withColumn("dist", array_distance_column("embedding"))
+    hits = first_hit_rank(pairs, p.k, few_queries=True)
     m = hit_metrics(q.select("genre", F.col("id").alias("qid")), hits)
     return _round(m.select("genre", "n_queries", F.lit(p.k).cast("int").alias("k"), "recall_at_k", "mrr_at_k"))
 
