@@ -25,6 +25,7 @@ def test_parse_list_string(spark):
     vals = ["['rock', 'Art Pop ']", "[]", "[ ]", None, "[\"children's music\", 'x']", "['a',,'b']"]
     got = one_col(spark, vals, parse_list_string)
     assert got == [["rock", "Art Pop"], [], [], None, ['"childrens music"', "x"], ["a", "", "b"]]
+    assert one_col(spark, ["a, b", "['a'", "'a' ,\t'b']", "", "['']"], parse_list_string) == [["a", "b"], ["a"], ["a", "b"], [], []]
 
 
 def test_release_year(spark):
@@ -36,6 +37,7 @@ def test_pick_text(spark):
     vals = ['[{"plainLyrics":"","syncedLyrics":"s"}]', "[]", "bad", '[{"plainLyrics":"a"},{"plainLyrics":"b"}]',
             '[{"plainLyrics":null,"syncedLyrics":""}]', None]
     assert one_col(spark, vals, pick_text) == ["s", None, None, "a", None, None]
+    assert one_col(spark, ['{"plainLyrics":"x"}', ' \n[{"plainLyrics":"two\\nlines \\"q\\""}]'], pick_text) == [None, 'two\nlines "q"']
 
 
 def test_tokens_modes(spark):
@@ -45,6 +47,7 @@ def test_tokens_modes(spark):
 
 
 def test_clean_list_value(spark):
-    df = spark.createDataFrame([([" a ", None, "b"], "  n "), (None, None)], "l array<string>, s string")
+    df = spark.createDataFrame([([" a ", None, "b"], "  n "), (None, None), (["\t"], "\t\n"), (["x\u00a0"], "\u2003y\x1f")],
+                               "l array<string>, s string")
     rows = df.select(clean_list_value(df, "l").alias("l"), clean_list_value(df, "s").alias("s")).collect()
-    assert [tuple(r) for r in rows] == [("a b", "n"), ("", "")]
+    assert [tuple(r) for r in rows] == [("a b", "n"), ("", ""), ("", ""), ("x", "y")]

@@ -1,5 +1,6 @@
 """Sources and sinks: partition values, JSONL nulls, positional CSV with a header."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from grouprank.sources import io
@@ -15,6 +16,43 @@ def test_partition_values_stay_strings(spark):
     assert sorted(r.genre for r in t.collect()) == ["007", "7", "a/b c", "r&b"]
 
 
+AWKWARD = [("1", "two\nlines\r\nand \"quotes\""), ("2", "  padded "), ("3", ""), ("4", None), ("5", 'a,"b",\\'), ("6", "\\N is text?"),
+           ("7", "tab\tend"), ("8", '"'), ("9", "ends in \\")]
+
+
+def test_csv_keeps_fields_as_they_are(spark):
+    df = spark.createDataFrame(AWKWARD, "id string, text string")
+    path = io.scratch_path(spark, "t-awkward")
+    io.unload_csv(df, path)
+    assert sorted((tuple(r) for r in io.read_csv(spark, path, schema=df.schema).collect())) == AWKWARD
+    path = io.scratch_path(spark, "t-awkward")
+    io.unload_csv(df, path, escape="\\")
+    assert sorted((tuple(r) for r in io.read_positional_csv(spark, path, df.columns, header=True).collect())) == AWKWARD
+
+
+def test_csv_infers_types(spark):
+    df = spark.createDataFrame([(1, 2.5, "x"), (2, None, None)], "a int, b double, c string")
+    path = io.scratch_path(spark, "t-infer")
+    io.unload_csv(df, path)
+    back = io.read_csv(spark, path)
+    assert back.dtypes == [("a", "int"), ("b", "double"), ("c", "string")]
+    assert sorted(tuple(r) for r in back.collect()) == [(1, 2.5, "x"), (2, None, None)]
+
+
+def test_scratch_needs_a_shared_folder_and_is_cleared(spark):
+    with io.scratch_scope(spark):
+        path = io.scratch_path(spark, "t-scope")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path)
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+    with pytest.raises(ValueError):
+        io.scratch_path(Unset, "t-none")
+
+
 def test_jsonl_writes_nulls(spark):
     df = spark.createDataFrame([("1", None, False), ("2", "la la", True)], "track_id string, lyrics string, lyrics_found boolean")
     path = io.scratch_path(spark, "t-jsonl")

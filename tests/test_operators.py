@@ -20,8 +20,8 @@ def test_sample_per_group_matches_brute_force(spark):
     rng = random.Random(7)
     rows = [(f"g{rng.randrange(4)}" if i % 10 else "hot", f"id{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "genre string, id string")
-    for n in (1, 5, 40, 5000):
-        got = {(r.genre, r.id) for r in sample_per_group(df, "genre", n, id_col="id", seed=42, salt="s").collect()}
+    for n, few in ((1, True), (5, True), (40, True), (5000, True), (1, False), (40, False), (5000, False), (None, False)):
+        got = {(r.genre, r.id) for r in sample_per_group(df, "genre", n, id_col="id", seed=42, salt="s", few_groups=few).collect()}
         want = set()
         for g in {g for g, _ in rows}:
             ids = sorted((i for gg, i in rows if gg == g), key=lambda i: (md5key(42, "s", i), i))
@@ -34,6 +34,9 @@ def test_capped_sample_is_defined(spark):
     a = [tuple(r) for r in capped_sample(df, "track_id", 17).collect()]
     b = [tuple(r) for r in capped_sample(df.repartition(7), "track_id", 17).collect()]
     assert sorted(a) == sorted(b) and len(a) == 17
+    rows = [(r.track_id, r.genre) for r in df.collect()]
+    assert sorted(a) == sorted(sorted(rows, key=lambda r: (md5key(42, "capped", r[0]), *r))[:17])
+    assert capped_sample(df, "track_id", None).count() == 300
 
 
 def test_select_groups(spark):

@@ -1,5 +1,4 @@
-"""Registered queries against their DuckDB SQL at sf0.01 (a representative subset;
-tools/oracle_check.py runs all of them)."""
+"""Every registered query that has SQL, against DuckDB at sf0.01; the same SQL at sf0.001 for a few."""
 
 import math
 
@@ -7,10 +6,12 @@ import duckdb
 import pytest
 
 from grouprank.plans.fixtures import TABLES
-from tests.conftest import SF01
+from grouprank.plans.oracle import oracle_sql
+from grouprank.plans.queries import QUERIES
 
-KEYS = ["curate_items", "group_distribution", "select_groups_sql", "select_groups_variety", "sample_per_group",
-        "pick_text", "parse_list_string", "lookup_input_top", "eval_audio", "feature_importance", "capped_sample"]
+from tests.conftest import SF001, SF01
+
+KEYS = sorted(oracle_sql())
 
 
 def canon(rows, cols):
@@ -23,19 +24,17 @@ def canon(rows, cols):
     return sorted(tuple(c(r[i]) for i in order) for r in rows)
 
 
-@pytest.fixture(scope="module")
-def duck():
+def duck(folder):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     return con
 
 
-@pytest.mark.parametrize("key", KEYS)
-def test_matches_oracle(spark, duck, key):
-    from __spark_entry__ import oracle_sql, queries
-    df = queries()[key](spark, SF01)
-    res = duck.execute(oracle_sql()[key])
+@pytest.mark.parametrize("folder, key", [(SF01, k) for k in KEYS] + [(SF001, k) for k in ("eval_vectors", "lookup_input_stratified", "tfidf", "join_left")])
+def test_matches_oracle(spark, folder, key):
+    df = QUERIES[key](spark, folder)
+    res = duck(folder).execute(oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert canon([tuple(r) for r in df.collect()], df.columns) == canon(res.fetchall(), dcols)

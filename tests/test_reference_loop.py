@@ -9,11 +9,10 @@ import numpy as np
 import pytest
 
 from grouprank.operators.basic import materialize
-from grouprank.params import params_for_scale
 from grouprank.plans import queries as Q
 from grouprank.plans.evaluate import audio_queries, eval_items, text_eval_items, text_queries
 from grouprank.plans.curate import enrich_with_text
-from tests.conftest import SF001
+from tests.conftest import SF001, small_params
 
 
 
@@ -39,7 +38,7 @@ def loop_metrics(ids, ents, qids, score_fn, k, descending):
 
 
 def test_numeric_eval_matches_loop(spark):
-    p = params_for_scale(SF001)
+    p = small_params()
     items = eval_items(Q.curated(spark, SF001), p)
     queries = materialize(audio_queries(items, p))
     from grouprank.plans.evaluate import evaluate_audio
@@ -61,7 +60,7 @@ def test_numeric_eval_matches_loop(spark):
 
 def test_blended_eval_matches_loop(spark):
     import re
-    p = params_for_scale(SF001)
+    p = small_params()
     cur = Q.curated(spark, SF001)
     text = enrich_with_text(cur, Q.text_records(spark, SF001))
     items = text_eval_items(cur, text, p)
