@@ -39,7 +39,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = classes.where("doc_id != class_id").select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct()
     marked = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
     same = (marked["doc_id"] == rest["_doc_id"]) & (marked["_hash"] == rest["_text_hash"])
-    return marked.join(rest, same, "left_anti").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    return marked.join(rest.hint("merge"), same, "left_anti").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

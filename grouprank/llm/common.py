@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT = "spark.checkpoint.dir"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch where rows hold whole texts.
+TEXT_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,22 +28,33 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without the setting (tests) gets one of its own; any other session must set it.
     """
     folder = spark.conf.get(CHECKPOINT, None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT} to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="grouprank-llm-")
-        spark.conf.set(CHECKPOINT, folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError(f"set {CHECKPOINT} to a folder that all executors share")
+    return own_folder()
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+@lru_cache(maxsize=1)
+def own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="grouprank-llm-")
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy", rows_per_batch: int | None = None) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
-    Branches that follow see the same rows, and a lost executor recomputes nothing before this point.
+    Branches that follow see the same rows, and a lost executor recomputes nothing before this point. rows_per_batch
+    bounds the Arrow batches of this write alone: whole texts in the usual 10,000 rows take much memory.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    usual = spark.conf.get(BATCH_ROWS)
+    if rows_per_batch:
+        spark.conf.set(BATCH_ROWS, str(rows_per_batch))
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,6 +77,13 @@ def carried_schema(df: DataFrame) -> str:
     return "".join(f", {f.name} {f.dataType.simpleString()}" for f in df.schema if f.name[0] == "c" and f.name[1:].isdigit())
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle Python workers stay, and would keep what their largest task took."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows whose texts hold about most_bytes (one row at least)."""
     for batch in batches:
@@ -73,6 +98,8 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int)
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+        batch = col = None
+    give_back()
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

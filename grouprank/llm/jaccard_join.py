@@ -1,12 +1,13 @@
 """N-gram Jaccard self-join by chosen paths (operator 8).
 
 Sets of five-word shingles are represented by MINHASHES minwise hashes; equal hashes at one coordinate stand for a
-shared token. A run begins with all sets in one node. At each node a few coordinates are sampled (by a hash of the
-node's path, so all sets of a node take the same ones), and sets with equal tokens there go to one child. Nodes of few
-sets are compared by brute force, larger ones are split again, but for the sets that are very near to the node's pivot:
-whatever is similar to them is linked to the pivot, too. Runs are repeated until a pair at the threshold is found with
-the wanted probability. Links estimated in the nodes give candidate groups; within a group all sets are compared
-exactly, block by block, so copies and near copies never become a list of pairs.
+shared token. (The first split takes 32 bits of a hash; 16 bits are kept for all that follows.) A run begins with all
+sets in one node. At each node a few coordinates are sampled (by a hash of the node's path, so all sets of a node take
+the same ones), and sets with equal tokens there go to one child. Nodes of few sets are compared by brute force, larger
+ones are split again, but for the sets that are very near to the node's pivot: whatever is similar to them is linked to
+the pivot, too. Runs are repeated until a pair at the threshold is found with the wanted probability. Links estimated
+in the nodes give candidate groups; within a group all sets are compared exactly, block by block, so copies and near
+copies never become a list of pairs.
 """
 
 from __future__ import annotations
@@ -19,23 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grouprank.llm.common import grouped, narrow, text_slices, written
+from grouprank.llm.common import TEXT_ROWS, grouped, narrow, text_slices, written
 from grouprank.llm.components import components
 from grouprank.llm.shingles import mix, shingle_hashes
 
 THRESHOLD = 0.8
 MINHASHES = 128
-#: Share of equal minwise hashes from which sets of one node may be similar: 4 deviations below the threshold.
-LIKELY = 0.65
+#: Share of equal minwise hashes from which sets of one node may be similar: 5 deviations below the threshold.
+LIKELY = 0.6
 #: From this share of equal hashes a set is settled by its link to a pivot: sets similar to it are at a distance of
-#: 0.15 + 0.2 from the pivot at most, so they are linked to it by LIKELY.
-SETTLED = 0.85
+#: 0.2 + 0.2 from the pivot at most, so they are linked to it by LIKELY.
+SETTLED = 0.8
 #: Coordinates taken at a node on average: 1 / THRESHOLD, so that a similar pair stays together in one child on average.
 BRANCHES = 1 / THRESHOLD
 RECALL = 0.999
 #: Sets of a node that are compared by brute force, levels of splitting, sets in a block of a larger comparison.
 NODE_SETS = 128
-LEVELS = 6
+LEVELS = 4
 BLOCK = 128
 
 
@@ -70,18 +71,32 @@ def set_key(shingles: bytes) -> bytes:
     return hashlib.blake2b(shingles, digest_size=16).digest()
 
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, key of the set, minwise hashes); key and hashes are null if the text has no word."""
-    for batch in text_slices(batches, "text", 4 << 20):
-        shingles, first = shingle_hashes(batch.column(1).to_pylist())
-        sketch = iter(minhashes(shingles, first))
-        keys, sketches = [], []
-        for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            some = hi > lo
-            keys.append(set_key(np.unique(shingles[lo:hi]).tobytes()) if some else None)
-            sketches.append(next(sketch).tobytes() if some else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())],
-                                         ["doc_id", "text_hash", "key", "sketch"])
+def set_rows(runs: int):
+    """(doc_id, text_hash, key of the set, sketch, roots); the last three are null if the text has no word.
+
+    sketch has 16 bits of each minwise hash, roots the first children of all runs.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text", 4 << 20):
+            shingles, first = shingle_hashes(batch.column(1).to_pylist())
+            hashes = minhashes(shingles, first)
+            paths = mix(np.tile(np.arange(1, runs + 1, dtype=np.uint64), len(hashes)))
+            child, of = children(paths, np.repeat(np.arange(len(hashes)), runs), hashes)
+            order = np.argsort(of, kind="stable")
+            ends = np.cumsum(np.bincount(of, minlength=len(hashes)))
+            made = zip(hashes.astype("<u2"), np.split(child[order], ends[:-1]), strict=False)
+            keys, sketches, roots = [], [], []
+            for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                sketch, root = next(made) if hi > lo else (None, None)
+                keys.append(set_key(np.unique(shingles[lo:hi]).tobytes()) if hi > lo else None)
+                sketches.append(None if sketch is None else sketch.tobytes())
+                roots.append(None if root is None else root.astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), *(pa.array(x, pa.binary()) for x in (keys, sketches, roots))],
+                ["doc_id", "text_hash", "key", "sketch", "roots"])
+
+    return rows
 
 
 def children(paths: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,21 +114,15 @@ def children(paths: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np.
 
 
 def sketch_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, MINHASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, MINHASHES)
 
 
-def root_splitter(runs: int):
-    """First children of all runs for rows (rep, sketch)."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sketch = sketch_matrix(batch.column(1))
-                paths = mix(np.tile(np.arange(1, runs + 1, dtype=np.uint64), len(sketch)))
-                path, of = children(paths, np.repeat(np.arange(len(sketch)), runs), sketch)
-                yield pa.RecordBatch.from_arrays([pa.array(path), batch.column(0).take(pa.array(of))], ["path", "rep"])
-
-    return split
+def root_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (path, rep) of the first children of rows (rep, roots)."""
+    for batch in batches:
+        roots = batch.column(1).to_pylist()
+        n = pa.array(np.repeat(np.arange(len(roots)), [len(r) // 8 for r in roots]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(roots), "<i8")), batch.column(0).take(n)], ["path", "rep"])
 
 
 def node_splitter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +153,15 @@ def labels(linked: np.ndarray) -> np.ndarray:
         found = least
 
 
-def blocked(rows: DataFrame, group: str, sizes: DataFrame, seed: int) -> DataFrame:
-    """Deal each group to pairs of blocks (i <= j) of about BLOCK rows; every two rows of a group meet in one pair.
+def blocked(rows: DataFrame, seed: int) -> DataFrame:
+    """Deal rows of groups of n rows to pairs of blocks (i <= j) of about BLOCK rows; every two rows of a group meet in one.
 
     A group of at most BLOCK rows is one block. Adds i, j and block (the row's own).
     """
-    dealt = rows.join(sizes.select(group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), group)
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("blocks")).cast("int"))
-    return (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    dealt = (rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return (dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
             .drop("blocks", "other"))
 
 
@@ -177,10 +186,10 @@ def together(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
+def candidate_links(sets: DataFrame) -> DataFrame:
     """Links (a, b) between sets that some node of some run holds together, whose sketches agree enough."""
     sketches = sets.select("rep", "sketch")
-    nodes, links = sketches.mapInArrow(root_splitter(runs), "path long, rep long"), None
+    nodes, links = sets.select("rep", "roots").mapInArrow(root_nodes, "path long, rep long"), None
     for level in range(LEVELS):
         nodes = written(nodes, "nodes")
         # a node's pivot is the set whose number, mixed with the path, is least
@@ -188,7 +197,7 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
                         .select("path", "n", F.expr("m ^ path").alias("pivot")), "node-sizes")
         last = level == LEVELS - 1
         ready = sizes if last else sizes.where(F.col("n") <= NODE_SETS)
-        members = blocked(nodes, "path", ready, level).join(sketches, "rep").select("path", "i", "j", "rep", "sketch")
+        members = blocked(nodes.join(ready.select("path", "n"), "path").join(sketches, "rep"), level).select("path", "i", "j", "rep", "sketch")
         found = together(members, "path", "i", "j").mapInArrow(likely_links, "a long, b long")
         links = found if links is None else links.union(found)
         large = sizes.where(F.col("n") > NODE_SETS)
@@ -204,12 +213,13 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rep, key, text): the sorted distinct shingles of each text whose set has the key."""
+    """Rows (text, key, ...): the text replaced by its sorted distinct shingles, where that set has the key."""
     for batch in text_slices(batches, "text", 4 << 20):
-        shingles, first = shingle_hashes(batch.column(2).to_pylist())
+        shingles, first = shingle_hashes(batch.column(0).to_pylist())
         sets = [np.unique(shingles[lo:hi]).tobytes() for lo, hi in zip(first[:-1], first[1:], strict=True)]
         same = [key == set_key(s) for key, s in zip(batch.column(1).to_pylist(), sets, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"]).filter(pa.array(same))
+        yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary()), *batch.columns[2:]],
+                                         ["shingles", *batch.schema.names[2:]]).filter(pa.array(same))
 
 
 def similar(sets: list[np.ndarray]) -> np.ndarray:
@@ -259,21 +269,22 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     Repeated rows are copies of one another. An empty table gives no rows.
     """
     docs = narrow(docs, ("doc_id", "long"), ("text", "string"))
-    rows = written(docs.withColumn("text_hash", F.xxhash64("text"))
-                   .mapInArrow(set_rows, "doc_id long, text_hash long, key binary, sketch binary"), "sets")
+    rows = written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        set_rows(runs or runs_needed()), "doc_id long, text_hash long, key binary, sketch binary, roots binary"), "sets",
+                   rows_per_batch=TEXT_ROWS)
     usable = rows.where("doc_id is not null and key is not null")
     keys = written(usable.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
                    .withColumn("rep", F.xxhash64("key")), "set-keys")
-    # the sketch of a set's first document; rows that repeat it are dropped
-    sets = written(usable.join(keys, ["key", "doc_id"]).select("rep", "sketch").dropDuplicates(["rep"]), "distinct-sets")
+    # a set's sketch is that of its first document; rows that repeat it are dropped
+    sets = written(usable.join(keys, ["key", "doc_id"]).dropDuplicates(["key", "doc_id"]).select("rep", "sketch", "roots"), "distinct-sets")
 
-    near = components(candidate_links(sets, runs or runs_needed()))
+    near = components(candidate_links(sets))
     near = written(near.join(keys, near["id"] == keys["rep"]).select("rep", "component", "key", "doc_id", "copies"), "candidates")
-    shingles = docs.join(near.select("rep", "key", "doc_id"), "doc_id").select("rep", "key", "text").mapInArrow(
-        shingle_sets, "rep long, shingles binary")
-    members = shingles.join(near.select("rep", "component", "copies"), "rep")
-    sizes = near.groupBy("component").agg(F.count("*").alias("n"))
-    pairs = blocked(members, "component", sizes, LEVELS).select("component", "i", "j", "block", "rep", "copies", "shingles")
+    near = near.join(near.groupBy("component").agg(F.count("*").alias("n")), "component")
+    # not broadcast, even where it is small: the same plan at every size
+    members = docs.join(near.hint("merge"), "doc_id").select("text", "key", "component", "n", "rep", "copies").mapInArrow(
+        shingle_sets, "shingles binary, component long, n long, rep long, copies long")
+    pairs = blocked(members, LEVELS).select("component", "i", "j", "block", "rep", "copies", "shingles")
     exact = written(together(pairs, "component", "i", "j").mapInArrow(verified_links, "rep long, links long, least long"), "exact")
 
     joined = components(exact.select(F.col("rep").alias("a"), F.col("least").alias("b")))
