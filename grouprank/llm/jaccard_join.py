@@ -189,9 +189,8 @@ def together(rows: DataFrame, *keys: str) -> DataFrame:
 def candidate_links(sets: DataFrame) -> DataFrame:
     """Links (a, b) between sets that some node of some run holds together, whose sketches agree enough."""
     sketches = sets.select("rep", "sketch")
-    nodes, links = sets.select("rep", "roots").mapInArrow(root_nodes, "path long, rep long"), None
+    nodes, links = written(sets.select("rep", "roots").mapInArrow(root_nodes, "path long, rep long"), "nodes"), None
     for level in range(LEVELS):
-        nodes = written(nodes, "nodes")
         # a node's pivot is the set whose number, mixed with the path, is least
         sizes = written(nodes.groupBy("path").agg(F.count("*").alias("n"), F.min(F.expr("rep ^ path")).alias("m")).where("n > 1")
                         .select("path", "n", F.expr("m ^ path").alias("pivot")), "node-sizes")
@@ -246,7 +245,10 @@ def similar(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each set of a pair of blocks: similar sets with their copies, and the least set that it is joined to there."""
+    """For each set of a pair of blocks: similar sets with their copies, and the least set that it is joined to there.
+
+    whole says that the group has one block, so that least is final.
+    """
     for rows in grouped(batches, ["component", "i", "j"]):
         reps, first = np.unique(rows.column("rep").to_numpy(), return_index=True)
         copies, block = (rows.column(c).to_numpy()[first] for c in ("copies", "block"))
@@ -254,8 +256,10 @@ def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         linked = similar([np.frombuffer(s, np.uint64) for s in shingles])
         if rows.column("i")[0].as_py() != rows.column("j")[0].as_py():
             linked &= block[:, None] != block[None, :]  # pairs within one block have a task of their own
-        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(linked @ copies), pa.array(reps[labels(linked)])],
-                                         ["rep", "links", "least"])
+        whole = rows.column("whole")[0].as_py()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(reps), pa.array(linked @ copies), pa.array(reps[labels(linked)]), pa.array(np.full(len(reps), whole))],
+            ["rep", "links", "least", "whole"])
 
 
 def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
@@ -284,10 +288,11 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     # not broadcast, even where it is small: the same plan at every size
     members = docs.join(near.hint("merge"), "doc_id").select("text", "key", "component", "n", "rep", "copies").mapInArrow(
         shingle_sets, "shingles binary, component long, n long, rep long, copies long")
-    pairs = blocked(members, LEVELS).select("component", "i", "j", "block", "rep", "copies", "shingles")
-    exact = written(together(pairs, "component", "i", "j").mapInArrow(verified_links, "rep long, links long, least long"), "exact")
+    pairs = blocked(members, LEVELS).select("component", "i", "j", "block", (F.col("n") <= BLOCK).alias("whole"), "rep", "copies", "shingles")
+    exact = written(together(pairs, "component", "i", "j").mapInArrow(verified_links, "rep long, links long, least long, whole boolean"), "exact")
 
-    joined = components(exact.select(F.col("rep").alias("a"), F.col("least").alias("b")))
+    ends = exact.select(F.col("rep").alias("a"), F.col("least").alias("b"), "whole")
+    joined = components(ends.where("not whole").drop("whole")).union(ends.where("whole").drop("whole"))
     joined = joined.join(keys.select("rep", "doc_id"), joined["id"] == keys["rep"]).select("rep", "component", "doc_id")
     classes = joined.join(joined.groupBy("component").agg(F.min("doc_id").alias("class_id")), "component").select("rep", "class_id")
     links = exact.groupBy("rep").agg(F.sum("links").alias("links"))
