@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grouprank.llm.common import narrow, text_slices, written
+from grouprank.llm.common import TEXT_ROWS, narrow, text_slices, written
 from grouprank.llm.tokenizing import token_ids, tokenizer_path
 
 #: lengths of a sequence in order, as (length, how many), and the number of such sequences
@@ -242,5 +242,5 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, token
     once; the pieces of a sequence lie without gaps from offset 0 and hold at most `capacity` ids. Only documents of
     more than `capacity` ids are cut. Null text is empty. Repeated rows are packed each. An empty table gives no rows.
     """
-    pieces = written(tokenized_pieces(docs, capacity, end_id, tokenizer, ranks), "pieces")
+    pieces = written(tokenized_pieces(docs, capacity, end_id, tokenizer, ranks), "pieces", rows_per_batch=TEXT_ROWS)
     return placed(pieces, capacity)
