@@ -13,6 +13,7 @@ copies never become a list of pairs.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,9 @@ MINHASHES = 128
 #: Share of equal minwise hashes from which sets of one node may be similar: 5 deviations below the threshold.
 LIKELY = 0.6
 #: From this share of equal hashes a set is settled by its link to a pivot: sets similar to it are at a distance of
-#: 0.2 + 0.2 from the pivot at most, so they are linked to it by LIKELY.
+#: 0.2 + 0.2 from the pivot at most, about, so they are linked to it from PIVOT_LIKELY, deviations below that.
 SETTLED = 0.8
+PIVOT_LIKELY = 0.4
 #: Coordinates taken at a node on average: 1 / THRESHOLD, so that a similar pair stays together in one child on average.
 BRANCHES = 1 / THRESHOLD
 RECALL = 0.999
@@ -40,16 +42,27 @@ LEVELS = 4
 BLOCK = 128
 
 
+def settled_loss() -> float:
+    """The most likely loss at a node of a pair at the threshold: one set is settled, the other not linked to the pivot.
+
+    The one is at some similarity s to the pivot, the other at s - (1 - THRESHOLD) at worst; estimates are about normal.
+    """
+    def below(bar: float, s: float) -> float:
+        return 0.5 * (1 + math.erf((bar - s) / math.sqrt(2 * s * (1 - s) / MINHASHES)))
+    return max((1 - below(SETTLED, s)) * below(PIVOT_LIKELY, s - (1 - THRESHOLD)) for s in np.linspace(0.3, 0.99, 139).tolist())
+
+
 def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, levels: int = LEVELS) -> int:
     """Runs after which a pair at the threshold is missed with at most 1 - recall, even if each run goes down all levels.
 
-    A node takes one coordinate, or two with probability BRANCHES - 1, and a pair shares each with `threshold`.
+    A node takes one coordinate, or two with probability BRANCHES - 1, and a pair shares each with `threshold`. What
+    settled sets lose at the levels (the same in every run, at worst) is taken from 1 - recall.
     """
     two, lost = BRANCHES - 1, 0.0
     for _ in range(levels):
         apart = 1 - threshold + threshold * lost  # a child without the pair
         lost = (1 - two) * apart + two * apart * apart
-    return int(np.ceil(np.log(1 - recall) / np.log(lost)))
+    return int(np.ceil(np.log(1 - recall - levels * settled_loss()) / np.log(lost)))
 
 
 def minhashes(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -133,7 +146,7 @@ def node_splitter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         sketch = sketch_matrix(batch.column(2))
         agree = (sketch == sketch_matrix(batch.column(4))).mean(axis=1)
         rep, pivot = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-        linked = np.flatnonzero((agree >= LIKELY) & (rep != pivot))
+        linked = np.flatnonzero((agree >= PIVOT_LIKELY) & (rep != pivot))
         open_ = np.flatnonzero((agree < SETTLED) & (rep != pivot))
         path, of = children(batch.column(0).to_numpy().view(np.uint64)[open_], open_, sketch)
         yield pa.RecordBatch.from_arrays(

@@ -69,3 +69,17 @@ def test_components(spark):
     assert rows == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 10: 8, 11: 8, 20: 20, 21: 20, **{100 + i: 100 for i in range(31)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
     assert labels(np.array([[0, 0, 1], [0, 0, 0], [1, 0, 0]], bool)).tolist() == [0, 1, 0]
+
+
+def test_borderline_neighbours_of_settled_sets_are_linked_to_the_pivot():
+    import pyarrow as pa
+
+    import grouprank.llm.jaccard_join as m
+    pivot = np.arange(m.MINHASHES, dtype="<u2")
+    rows = [pivot + np.uint16(1000) * (np.arange(m.MINHASHES) >= n) for n in (104, 70)]  # settled; at about 0.55
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5, 5]), pa.array([1, 2]), pa.array([r.astype("<u2").tobytes() for r in rows], pa.binary()), pa.array([9, 9]),
+         pa.array([pivot.tobytes()] * 2, pa.binary())], ["path", "rep", "sketch", "pivot", "pivot_sketch"])
+    made = pa.Table.from_batches(m.node_splitter(iter([batch]))).to_pylist()
+    assert {r["rep"] for r in made if r["pivot"] == 9} == {1, 2}
+    assert 0 < m.LEVELS * m.settled_loss() < (1 - m.RECALL) / 2
