@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from grouprank.llm.common import documents, written
 from grouprank.llm.decontamination import contaminated
-from grouprank.llm.jaccard_join import jaccard_classes
+from grouprank.llm.jaccard_join import jaccard_groups
 from grouprank.llm.language_id import UNKNOWN, identify, train
 from grouprank.llm.packing import pack_documents
 from grouprank.llm.suffix_dedup import remove_repeats
@@ -34,9 +34,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays, the one with the least id (and one row of repeated rows)."""
-    classes = jaccard_classes(docs)
-    rest = classes.where("doc_id != class_id").select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct()
+    """One document of each class of near copies stays, the one with the least id, of rows with that id the least hash."""
+    classes = written(jaccard_groups(docs), "classes")
+    first = classes.where("doc_id = class_id and class_set is not null").select("class_set", "doc_id", "text_hash")
+    least = first.groupBy("class_set").agg(F.min("text_hash").alias("least"))
+    same_id = first.join(least, "class_set").where("text_hash != least").select("doc_id", "text_hash")
+    rest = classes.where("doc_id != class_id").select("doc_id", "text_hash").union(same_id).toDF("_doc_id", "_text_hash").distinct()
     marked = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
     same = (marked["doc_id"] == rest["_doc_id"]) & (marked["_hash"] == rest["_text_hash"])
     return marked.join(rest.hint("merge"), same, "left_anti").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)

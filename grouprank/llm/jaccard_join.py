@@ -285,6 +285,14 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     Documents without words (null or empty text too) have no links. A document with a null id has none and no class.
     Repeated rows are copies of one another. An empty table gives no rows.
     """
+    return jaccard_groups(docs, runs).drop("class_set")
+
+
+def jaccard_groups(docs: DataFrame, runs: int | None = None) -> DataFrame:
+    """The rows of jaccard_classes with class_set, which only rows of one class share (null without words or id).
+
+    Rows that share an id may have one class_id and yet be of several classes.
+    """
     docs = narrow(docs, ("doc_id", "long"), ("text", "string"))
     rows = written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         set_rows(runs or runs_needed()), "doc_id long, text_hash long, key binary, sketch binary, roots binary"), "sets",
@@ -307,10 +315,12 @@ def jaccard_classes(docs: DataFrame, runs: int | None = None) -> DataFrame:
     ends = exact.select(F.col("rep").alias("a"), F.col("least").alias("b"), "whole")
     joined = components(ends.where("not whole").drop("whole")).union(ends.where("whole").drop("whole"))
     joined = joined.join(keys.select("rep", "doc_id"), joined["id"] == keys["rep"]).select("rep", "component", "doc_id")
-    classes = joined.join(joined.groupBy("component").agg(F.min("doc_id").alias("class_id")), "component").select("rep", "class_id")
+    classes = joined.join(joined.groupBy("component").agg(F.min("doc_id").alias("class_id")), "component").select("rep", "class_id", "component")
     links = exact.groupBy("rep").agg(F.sum("links").alias("links"))
     of_key = (keys.join(links, "rep", "left").join(classes, "rep", "left")
-              .select("key", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    linked = usable.select("doc_id", "text_hash", "key").join(of_key, "key").select("doc_id", "class_id", "n_links", "text_hash")
-    alone = rows.where("doc_id is null or key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "text_hash")
+              .select("key", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                      F.coalesce("component", "rep").alias("class_set")))
+    linked = usable.select("doc_id", "text_hash", "key").join(of_key, "key").select("doc_id", "class_id", "n_links", "text_hash", "class_set")
+    alone = rows.where("doc_id is null or key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "text_hash",
+                                                                      F.lit(None).cast("long").alias("class_set"))
     return linked.union(alone)

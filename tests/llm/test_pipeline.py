@@ -46,3 +46,10 @@ def test_run(spark):
     rows = pipeline.run(spark, SF001).collect()
     assert rows and max(r["offset"] + r["length"] for r in rows) <= 2048
     assert shared_folder(spark)
+
+
+def test_one_row_of_near_copies_with_one_id_stays(spark, tmp_path):
+    rows = [(1, prose(1, 70)), (1, prose(1, 70) + " tail"), (2, prose(1, 70) + " end"),  # near copies, two of one id
+            (3, prose(3, 70)), (3, prose(4, 70))]                                        # one id, unlike texts
+    left = pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in left) == [1, 3, 3]
