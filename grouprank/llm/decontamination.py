@@ -124,6 +124,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] =
     items are the benchmark items that a passage of the document is similar to (weighted Jaccard similarity of
     five-word shingles >= 0.8, words in lower case without punctuation), in order of id; first_words and n_words say
     where (in words). Columns named in carry follow under c0, c1, ... A passage is as many words as the item; a document shorter than the item is one passage.
+    An item of fewer than five words is one shingle of its own length, found only in documents of just those words.
     SimHash is an estimate, so a similar passage is missed if its fingerprint is further than RADIUS bits away (a few
     in ten thousand at a similarity of exactly 0.8).
     Null or empty texts, and documents without words, hold nothing. Items without words match nothing, an item of a
