@@ -13,6 +13,7 @@ from grouprank.llm.html_text import extract_text
 from grouprank.llm.jaccard_join import jaccard_classes
 from grouprank.llm.language_id import language_id
 from grouprank.llm.lm_scoring import score_documents
+from grouprank.llm.minhash_dedup import minhash_components
 from grouprank.llm.packing import pack_documents
 from grouprank.llm.suffix_dedup import remove_repeats
 from grouprank.llm.token_counts import token_counts
@@ -59,6 +60,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -70,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
+    "op11_minhash_dedup": op11_minhash_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
