@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grouprank.llm.ann import nearest
 from grouprank.llm.common import documents
+from grouprank.llm.conversation_repair import repair_damaged
 from grouprank.llm.decontamination import contaminated
 from grouprank.llm.html_text import extract_text
 from grouprank.llm.jaccard_join import jaccard_classes
@@ -15,6 +16,7 @@ from grouprank.llm.language_id import language_id
 from grouprank.llm.lm_scoring import score_documents
 from grouprank.llm.minhash_dedup import minhash_components
 from grouprank.llm.packing import pack_documents
+from grouprank.llm.spelling_variants import document_variants
 from grouprank.llm.suffix_dedup import remove_repeats
 from grouprank.llm.token_counts import token_counts
 from grouprank.llm.token_matrix import token_matrices
@@ -64,6 +66,14 @@ def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(documents(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_variants(documents(spark, sf_dir))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -76,5 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
     "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {}
