@@ -7,8 +7,8 @@ threshold is below MISS. Survivors are confirmed on their full sets.
 
 No pair list of a group is ever made. Each set of a band's bucket first meets the bucket's pivot alone; the links found
 give first components. Only sets of different components that share a bucket are then compared, block by block inside
-tasks, and the tasks report a forest of what survives; the classes of that forest are confirmed on full sets, again
-block by block and across components only. So a group of copies that the pivots join costs no more than its size.
+tasks, which report a forest of the links that they find. So a group of copies that the pivots join costs no more than
+its size.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ BANDS = HASHES // ROWS
 BATCH, MISS = 32, 1e-6
 #: Salts over which the sets that meet one pivot are dealt, and sets in a block of an open group.
 SALTS, BLOCK = 4096, 256
+#: Shingles of a block that are compared at a time, and cells of their matrix.
+TOKENS, CELLS = 1 << 20, 1 << 22
 #: Bytes of a set's minwise hashes: 16 bits of each.
 SKETCH = 2 * HASHES
 
@@ -105,15 +107,15 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_shingles, key of the set, sketch, bands); the last three are null if the text has no word."""
+    """(doc_id, n_shingles, key of the set, bands); the last two are null if the text has no word."""
     for batch in text_slices(batches, "text", 4 << 20):
         sets = shingle_sets(batch.column(1).to_pylist())
         hashes = minwise([s for s in sets if len(s)])
-        made = zip(hashes.astype("<u2"), band_hashes(hashes).astype("<i8"), strict=True)
-        rows = [(set_key(s), *(x.tobytes() for x in next(made))) if len(s) else (None, None, None) for s in sets]
+        made = iter(band_hashes(hashes).astype("<i8"))
+        rows = [(set_key(s), next(made).tobytes()) if len(s) else (None, None) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*rows, strict=True))],
-            ["doc_id", "n_shingles", "key", "sketch", "bands"])
+            ["doc_id", "n_shingles", "key", "bands"])
 
 
 def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,58 +142,96 @@ def sketches(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(v[:SKETCH] for v in values), "<u2").reshape(-1, HASHES)
 
 
-def unpruned(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Places of the pairs (rows a of left, b of right) that no batch of hashes prunes."""
-    alive, equal = np.arange(len(a)), np.zeros(len(a), np.int64)
-    for at in range(0, HASHES, BATCH):
+def unpruned(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, done: int = 0, equal: np.ndarray | None = None) -> np.ndarray:
+    """Places of the pairs (rows a of left, b of right) that no batch of hashes prunes; the first `done` hashes had so many equal."""
+    alive, equal = np.arange(len(a)), np.zeros(len(a), np.int64) if equal is None else equal.astype(np.int64)
+    for at in range(done, HASHES, BATCH):
         equal += (left[a[alive], at:at + BATCH] == right[b[alive], at:at + BATCH]).sum(axis=1)
         stay = equal >= fewest_equal(at + BATCH)
         alive, equal = alive[stay], equal[stay]
     return alive
 
 
+def unpruned_pairs(left: np.ndarray, right: np.ndarray, meet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all rows of left with all rows of right, the pairs that meet and that no batch prunes; the first batch is compared for all at once."""
+    equal = np.zeros(meet.shape, np.uint8)
+    for x, y in zip(np.ascontiguousarray(left[:, :BATCH].T), np.ascontiguousarray(right[:, :BATCH].T), strict=True):
+        equal += x[:, None] == y[None, :]
+    a, b = np.nonzero(meet & (equal >= fewest_equal(BATCH)))
+    stay = unpruned(left, right, a, b, BATCH, equal[a, b])
+    return a[stay], b[stay]
+
+
+def shingles(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, "<u8", offset=SKETCH)
+
+
+def reach(common: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether pairs with so many common shingles, and sizes that sum to these, are linked."""
+    return 100 * common >= PERCENT * (sizes - common)
+
+
 def linked(a: bytes, b: bytes) -> bool:
     """Whether two values' full sets reach the threshold."""
-    x, y = np.frombuffer(a, "<u8", offset=SKETCH), np.frombuffer(b, "<u8", offset=SKETCH)
+    x, y = shingles(a), shingles(b)
     if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
         return False
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+    return bool(reach(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y)))
 
 
-def with_pivot(exact: bool):
-    """Pairs (a, b) of a rep and its pivot that stay, of rows (pivot, salt, rep, value) in which the pivot's own is first.
+def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of common shingles of all sets `left` with all sets `right`, by products of membership matrices.
 
-    A group is read as a stream; only its pivot's value is held.
+    Sets are sorted, and taken in ranges of hashes that hold about TOKENS shingles, so that matrices stay small.
     """
+    common = np.zeros((len(left), len(right)), np.int64)
+    parts = max(1, sum(len(s) for s in sets) // TOKENS)
+    edges = (np.arange(1, parts, dtype=np.float64) * 2.0 ** 64 / parts).astype(np.uint64)
+    cuts = [np.concatenate(([0], np.searchsorted(s, edges), [len(s)])) for s in sets]
+    for part in range(parts):
+        some = [s[c[part]:c[part + 1]] for s, c in zip(sets, cuts, strict=True)]
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in some])
+        _, token, count = np.unique(np.concatenate(some), return_inverse=True, return_counts=True)
+        several = count[token] > 1  # shingles of one set alone are common to none
+        owner, token = owner[several], np.unique(token[several], return_inverse=True)[1]
+        order = np.argsort(token, kind="stable")
+        owner, token = owner[order], token[order]
+        last, width = int(token[-1]) + 1 if len(token) else 0, max(1, CELLS // len(sets))
+        for at in range(0, last, width):
+            lo, hi = np.searchsorted(token, [at, at + width])
+            table = np.zeros((len(sets), min(width, last - at)), np.float32)
+            table[owner[lo:hi], token[lo:hi] - at] = 1
+            common += (table[left] @ table[right].T).astype(np.int64)
+    return common
+
+
+def with_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of a rep and its pivot, of rows (pivot, salt, rep, value) in which the pivot's own is first.
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = b""
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            pivot, rep = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            values = [held, *batch.column(3).to_pylist()]
-            own = np.maximum.accumulate(np.where(pivot == rep, np.arange(1, len(rep) + 1), 0))
-            held = values[own[-1]]
-            members = np.flatnonzero(pivot != rep)
-            if exact:
-                stay = [n for n in members.tolist() if linked(values[n + 1], values[own[n]])]
-            else:
-                table = sketches([v or bytes(SKETCH) for v in values])
-                stay = members[unpruned(table, table, members + 1, own[members])]
-            yield pa.RecordBatch.from_arrays([pa.array(rep[stay]), pa.array(pivot[stay])], ["a", "b"])
-
-    return rows
-
-
-def star(pairs: DataFrame, values: DataFrame, exact: bool) -> DataFrame:
-    """Pairs (a, b) of rows (rep, pivot) that stay; those of one pivot are dealt over SALTS tasks, each with its value."""
+    A group is read as a stream; only its pivot's value is held.
+    """
+    held = bytes(SKETCH)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pivot, rep = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        values = [held, *batch.column(3).to_pylist()]
+        own = np.maximum.accumulate(np.where(pivot == rep, np.arange(1, len(rep) + 1), 0))
+        held = values[own[-1]]
+        members = np.flatnonzero(pivot != rep)
+        table = sketches(values)
+        stay = members[unpruned(table, table, members + 1, own[members])]
+        stay = [n for n in stay.tolist() if linked(values[n + 1], values[own[n]])]
+        yield pa.RecordBatch.from_arrays([pa.array(rep[stay]), pa.array(pivot[stay])], ["a", "b"])
+
+
+def star(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """Links (a, b) among rows (rep, pivot); the reps of one pivot are dealt over SALTS tasks, each with the pivot's value."""
     members = pairs.select("pivot", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt"), "rep")
     pivots = members.select("pivot", "salt").distinct().withColumn("rep", F.col("pivot"))
     rows = members.union(pivots).join(values, "rep").select("pivot", "salt", "rep", "value")
     dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("pivot") != F.col("rep"))
-    return dealt.mapInArrow(with_pivot(exact), "a long, b long")
+    return dealt.mapInArrow(with_pivot, "a long, b long")
 
 
 def dealt(rows: DataFrame) -> DataFrame:
@@ -215,50 +255,52 @@ def dealt(rows: DataFrame) -> DataFrame:
     return placed.drop("pure").join(ends, ["part", "block"]).select("part", "i", "j", "block", "rep", "comp")
 
 
-def across(exact: bool):
-    """Forest (a, b) of the components that pairs which stay join, in each pair of blocks."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, ["part", "i", "j"]):
-            comp, block = (table.column(c).to_numpy() for c in ("comp", "block"))
-            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            values = table.column("value").to_pylist()
-            left, right = (np.arange(len(comp)),) * 2 if i == j else (np.flatnonzero(block == i), np.flatnonzero(block == j))
-            meet = comp[left][:, None] != comp[right][None, :]
-            if i == j:
-                meet &= left[:, None] < right[None, :]
-            a, b = np.nonzero(meet)
-            sketch = sketches(values)
-            stay = unpruned(sketch[left], sketch[right], a, b)
-            root: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while root.get(x, x) != x:
-                    root[x] = root.get(root[x], root[x])
-                    x = root[x]
-                return x
-
-            found = []
-            for m, n in zip(left[a[stay]].tolist(), right[b[stay]].tolist(), strict=True):
-                x, y = find(int(comp[m])), find(int(comp[n]))
-                if x != y and (not exact or linked(values[m], values[n])):
-                    root[max(x, y)] = min(x, y)
-                    found.append((max(x, y), min(x, y)))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
-
-    return rows
-
-
-def compared(rows: DataFrame, values: DataFrame, exact: bool) -> DataFrame:
+def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Forest (a, b) of the components that links join, in each pair of blocks."""
+    for table in grouped(batches, ["part", "i", "j"]):
+        comp, block = (table.column(c).to_numpy() for c in ("comp", "block"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        values = table.column("value").to_pylist()
+        left, right = (np.arange(len(comp)),) * 2 if i == j else (np.flatnonzero(block == i), np.flatnonzero(block == j))
+        meet = comp[left][:, None] != comp[right][None, :]
+        if i == j:
+            meet &= left[:, None] < right[None, :]
+        sketch = sketches(values)
+        a, b = unpruned_pairs(sketch[left], sketch[right], meet)
+        if len(a) > len(values):  # one product for all pairs; few pairs are compared one by one
+            sets = [shingles(v) for v in values]
+            size = np.array([len(s) for s in sets])
+            stay = reach(common_shingles(sets, left, right)[a, b], size[left[a]] + size[right[b]])
+        else:
+            stay = np.array([linked(values[m], values[n]) for m, n in zip(left[a].tolist(), right[b].tolist(), strict=True)], bool)
+        root: dict[int, int] = {}
+        found = []
+        for m, n in zip(comp[left[a[stay]]].tolist(), comp[right[b[stay]]].tolist(), strict=True):
+            x, y = ending(root, m), ending(root, n)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                found.append((max(x, y), min(x, y)))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+
+def ending(root: dict[int, int], x: int) -> int:
+    """Where x leads to; the way there is shortened."""
+    while root.get(x, x) != x:
+        root[x] = root.get(root[x], root[x])
+        x = root[x]
+    return x
+
+
+def compared(rows: DataFrame, values: DataFrame) -> DataFrame:
     """Links (a, b) between comps of rows (part, rep, comp) of one part."""
     blocks = dealt(rows).join(values, "rep").select("part", "i", "j", "block", "rep", "comp", "value")
-    return blocks.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j").mapInArrow(across(exact), "a long, b long")
+    return blocks.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j").mapInArrow(across, "a long, b long")
 
 
-def full_sets(docs: DataFrame, keys: DataFrame, reps: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, value) with the full sets of reps, made anew from the text of the first document that has each."""
-    wanted = reps.join(keys, "rep").select("rep", "key", "doc_id")
+    wanted = sets.select("rep", "key", "doc_id").join(reps, "rep", "left_semi")
     rows = docs.join(wanted, "doc_id").select("text", "key", "rep").mapInArrow(full_rows, "rep long, value binary")
     return written(rows.dropDuplicates(["rep"]), "minhash-full", rows_per_batch=TEXT_ROWS)
 
@@ -280,37 +322,31 @@ def minhash_components(docs: DataFrame) -> DataFrame:
     An empty table gives no rows; further columns take no part.
     """
     docs = narrow(docs, ("doc_id", "long"), ("text", "string"))
-    rows = written(docs.mapInArrow(set_rows, "doc_id long, n_shingles long, key binary, sketch binary, bands binary"), "minhash-sets",
+    rows = written(docs.mapInArrow(set_rows, "doc_id long, n_shingles long, key binary, bands binary"), "minhash-sets",
                    rows_per_batch=TEXT_ROWS)
     usable = rows.where("doc_id is not null and key is not null")
-    keys = written(usable.groupBy("key").agg(F.min("doc_id").alias("doc_id")).withColumn("rep", F.xxhash64("key")), "minhash-keys")
-    sets = usable.join(keys, ["key", "doc_id"]).dropDuplicates(["key", "doc_id"])
-    sets = written(sets.select("rep", F.col("sketch").alias("value"), "bands"), "minhash-reps")
-    values = sets.select("rep", "value")
+    # each distinct set with its least doc_id and that row's bands, in one aggregate
+    least = usable.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("x"))
+    sets = written(least.select("key", F.xxhash64("key").alias("rep"), "x.doc_id", "x.bands"), "minhash-reps", rows_per_batch=TEXT_ROWS)
 
     in_bucket = written(sets.select("rep", "bands").mapInArrow(band_rows, "bucket long, rep long"), "minhash-buckets")
-    buckets = written(in_bucket.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("rep").alias("pivot"), F.sum(F.hash("rep").cast("long")).alias("f"), F.bit_xor("rep").alias("x"))
-        .where("n > 1"), "minhash-pivots")
+    # a bucket's pivot is the set whose number, mixed with the bucket's, is least: a set's buckets have different pivots
+    buckets = in_bucket.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.expr("rep ^ bucket")).alias("m"), F.sum(F.hash("rep").cast("long")).alias("f"),
+                                              F.bit_xor("rep").alias("x")).where("n > 1").withColumn("pivot", F.expr("m ^ bucket"))
     # bands that hold the same sets are one bucket
-    buckets = buckets.groupBy("n", "pivot", "f", "x").agg(F.min("bucket").alias("bucket"))
+    buckets = buckets.groupBy("n", "f", "x").agg(F.min("bucket").alias("bucket"), F.min("pivot").alias("pivot"))
     member = written(in_bucket.join(buckets.select("bucket", "pivot", "n"), "bucket"), "minhash-members")
-    pairs = member.where("rep != pivot").select("rep", "pivot").distinct()
-    likely = written(star(pairs, values, exact=False), "minhash-likely")
-    reps = likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sure = star(likely.toDF("rep", "pivot"), full_sets(docs, keys, reps), exact=True)
-    first = components(sure)
+    values = full_sets(docs, sets, member.select("rep"))
+    first = components(star(member.where("rep != pivot").select("rep", "pivot").distinct(), values))
 
     # a bucket of two has met its pivot; of larger ones, those of one component need nothing more
     labelled = relabelled(member.where("n > 2").select(F.col("bucket").alias("part"), "rep", F.col("rep").alias("comp")), "comp", first)
+    labelled = written(labelled, "minhash-labelled")
     open_ = labelled.groupBy("part").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("part")
-    labelled = written(labelled.join(open_, "part"), "minhash-open")
-    classes = components(compared(labelled, values, exact=False))
-    members = relabelled(sets.select("rep", F.col("rep").alias("comp")), "comp", first)
-    rest = written(members.join(classes.toDF("comp", "part"), "comp").select("part", "rep", "comp"), "minhash-classes")
-    second = components(compared(rest, full_sets(docs, keys, rest.select("rep").distinct()), exact=True))
+    second = components(compared(labelled.join(open_, "part"), values))
 
-    members = relabelled(members, "comp", second).join(keys, "rep").select("comp", "key", "doc_id")
+    members = relabelled(sets.select("rep", "key", "doc_id", F.col("rep").alias("comp")), "comp", first)
+    members = relabelled(members, "comp", second).select("comp", "key", "doc_id")
     least = members.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_key = members.join(least, "comp").select("key", "component_id")
     found = usable.join(of_key, "key").select("doc_id", "n_shingles", "component_id")
