@@ -5,24 +5,30 @@ the number of chosen groups) is broadcast and every candidate of the group
 streams past it, so the candidate side is never shuffled. Pair rows are never
 shuffled by query either: a hot query would put a whole group into one task.
 
-* ``first_hit_rank`` is exact and needs no ranking of the pairs: the best distance to a
-  same-entity candidate is a hash aggregate per query, ties at that distance go to the
-  least id, and the rank is one plus the number of candidates ordered before it. All
-  passes see filtered rows and combine map-side, so a few rows per query and task cross
-  the shuffle. The best candidates are written once and read by both later steps.
+* ``first_hit_rank`` is exact and needs no ranking of the pairs: the least (distance, id)
+  of a same-entity candidate is one aggregate per query, and the rank is one plus the
+  number of candidates ordered before it. Both passes see filtered rows and combine
+  map-side, so one row per query and task crosses the shuffle, however many candidates
+  are at equal distances. The best candidates are written once.
 * ``knn_topk`` materialises the neighbour table with ``row_number() <= k``. A
   bound pass over a small deterministic candidate subset first gives each query
   a safe score bound, so only pairs inside it reach the (partial
   WindowGroupLimit) window instead of sorting every pair.
+* ``knn_cells`` finds the same table for Euclidean distances from a ``cell_index`` that was
+  written once: the triangle inequality rules out cells of candidates, and candidates
+  inside a cell, before their distances are computed.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.functions.columns import array_euclidean, euclidean
 from grouprank.operators.basic import materialize
+from grouprank.operators.sampling import sample_per_group
 
 
 def pair_join(queries: DataFrame, candidates: DataFrame, *, group: str = "genre", id_col: str = "id",
@@ -74,10 +80,8 @@ def first_hit_rank(pairs: DataFrame, k: int, *, score: str = "dist", ascending:
     keyed = pairs.select(group, "qid", "cid", (F.col("q_entity") == F.col("c_entity")).alias("_same"),
                          _order_key(score, ascending).alias("_ok"))
     same = keyed.filter("_same")
-    nearest = same.groupBy(*q).agg(F.min("_ok").alias("_best"))
-    tied = same.join(per_query(nearest), q).filter(F.col("_ok") == F.col("_best"))
-    least = F.row_number().over(Window.partitionBy(*q).orderBy("cid"))
-    best = materialize(tied.withColumn("_rn", least).filter("_rn = 1").select(*q, "_best", F.col("cid").alias("_hit")))
+    nearest = same.groupBy(*q).agg(F.min(F.struct("_ok", "cid")).alias("_b"))
+    best = materialize(nearest.select(*q, F.col("_b._ok").alias("_best"), F.col("_b.cid").alias("_hit")))
     ahead = (keyed.join(per_query(best), q)
                   .filter((F.col("_ok") < F.col("_best")) | ((F.col("_ok") == F.col("_best")) & (F.col("cid") < F.col("_hit"))))
                   .groupBy(*q).agg(F.count(F.lit(1)).alias("_ahead")))
@@ -137,6 +141,105 @@ def knn_topk(pairs: DataFrame, k: int, *, score: str = "dist", ascending: bool =
     return _ranked(kept, k, score, ascending, group)
 
 
+@dataclass(frozen=True)
+class CellIndex:
+    """Items by the nearest of their group's pivots, written once.
+
+    ``items``: group, cell, r (distance to the cell's pivot), id, entity, features.
+    ``cells``: group, cell, radius (the largest r), n, p_<feature> (the pivot).
+    """
+
+    items: DataFrame
+    cells: DataFrame
+    cols: list[str]
+    group: str
+    id_col: str
+    entity: str
+    few_cells: bool
+
+
+def cell_index(items: DataFrame, cols: list[str], *, pivots: int = 64, group: str = "genre", id_col: str = "id",
+               entity: str = "artist_id_primary", seed=42, few_groups: bool = False) -> CellIndex:
+    """Items stored by the nearest of ``pivots`` items of their group, drawn in sample-key order.
+
+    ``few_groups`` says that parameters bound the groups, so that their pivots are broadcast.
+    The nearest pivot is an aggregate over an item's own rows, which one task makes, so it
+    is complete before the shuffle. Values must not be NULL.
+    """
+    chosen = sample_per_group(items.select(group, id_col, *cols), group, pivots, id_col=id_col, seed=seed, salt="pivot", few_groups=few_groups)
+    # cells are numbered by a hash of the pivot's id, as numbers keep the aggregates hash aggregates
+    pivot = materialize(chosen.select(group, F.xxhash64(F.col(id_col)).alias("cell"), *[F.col(c).alias(f"p_{c}") for c in cols]))
+    pivot_side = F.broadcast(pivot) if few_groups else pivot
+    away = euclidean([f"p_{c}" for c in cols], cols)
+    nearest = (items.select(group, id_col, entity, *cols).join(pivot_side, group).withColumn("_d", away)
+               .groupBy(group, id_col, entity, *cols).agg(F.min("_d").alias("r"), F.min_by("cell", "_d").alias("cell")))
+    stored = materialize(nearest.select(group, "cell", "r", id_col, entity, *cols), spread=True)
+    sizes = stored.groupBy(group, "cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"))
+    return CellIndex(stored, materialize(sizes.join(pivot, [group, "cell"])), list(cols), group, id_col, entity, few_groups)
+
+
+#: Distances may differ from the triangle inequality in their last digits: bounds are widened by this share.
+WIDER = 1e-9
+
+
+def _query_cells(queries: DataFrame, index: CellIndex, few: bool) -> DataFrame:
+    """Every cell of a query's group: group, qid, q_entity, q_<feature>, cell, n, d (to the pivot), nearest and furthest possible distance."""
+    g, cols = index.group, index.cols
+    q = queries.select(g, F.col(index.id_col).alias("qid"), F.col(index.entity).alias("q_entity"), *[F.col(c).alias(f"q_{c}") for c in cols])
+    d = euclidean([f"q_{c}" for c in cols], [f"p_{c}" for c in cols])
+    pairs = q.join(F.broadcast(index.cells) if index.few_cells else index.cells, g).withColumn("d", d)
+    slack = WIDER * (F.col("d") + F.col("radius"))
+    return pairs.select(g, "qid", "q_entity", *[f"q_{c}" for c in cols], "cell", "n", "d",
+                        F.greatest(F.lit(0.0), F.col("d") - F.col("radius") - slack).alias("nearest"),
+                        (F.col("d") + F.col("radius") + slack).alias("furthest"))
+
+
+def _meet(index: CellIndex, query_cells: DataFrame, few: bool) -> DataFrame:
+    """Pairs of queries and the items of their cells, with their distances; ``limit`` (NULL: none) leaves out items of a cell
+    whose own distance to its pivot rules them out."""
+    g, cols = index.group, index.cols
+    q = F.broadcast(query_cells) if few else query_cells
+    items = index.items.select(g, "cell", "r", F.col(index.id_col).alias("cid"), F.col(index.entity).alias("c_entity"), *[F.col(c).alias(f"c_{c}") for c in cols])
+    ring = F.abs(F.col("d") - F.col("r")) <= F.col("limit") + WIDER * (F.col("d") + F.col("r"))
+    pairs = items.join(q, [g, "cell"]).filter((F.col("qid") != F.col("cid")) & (F.col("limit").isNull() | ring))
+    return pairs.select(g, "qid", "q_entity", "cid", "c_entity", distance_column(cols).alias("dist"), "limit")
+
+
+def cell_plan(queries: DataFrame, index: CellIndex, k: int, *, few_queries: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(query, cell) pairs that can hold one of a query's ``k`` nearest, and the same before any was ruled out.
+
+    The cells nearest to a query that surely hold k other items give a first bound (their furthest possible distance);
+    the k-th distance among the items of those cells is the limit by which all other cells are judged.
+    """
+    g = index.group
+    cells = materialize(_query_cells(queries, index, few_queries))
+    order = Window.partitionBy(g, "qid").orderBy("furthest", "cell")
+    # the query itself may be one of the items counted
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = cells.withColumn("_before", before).filter(F.col("_before") <= k).drop("_before").withColumn("limit", F.lit(None).cast("double"))
+    near = _ranked(_meet(index, materialize(first), few_queries).drop("limit"), k, "dist", True, g)
+    limits = near.groupBy(g, "qid").agg(F.max("dist").alias("limit"), F.count(F.lit(1)).alias("_have"))
+    limits = limits.select(g, "qid", F.when(F.col("_have") >= k, F.col("limit")).alias("limit"))
+    limits = F.broadcast(limits) if few_queries else limits
+    kept = cells.join(limits, [g, "qid"], "left").filter(F.col("limit").isNull() | (F.col("nearest") <= F.col("limit")))
+    return materialize(kept), cells
+
+
+def knn_cells(queries: DataFrame, index: CellIndex, k: int, *, few_queries: bool = False) -> DataFrame:
+    """The table of ``knn_topk`` over the Euclidean distance of the index's columns: the ``k`` nearest items of the query's
+    group, the query itself left out, ties by id. ``few_queries`` says that parameters bound the queries."""
+    kept, _ = cell_plan(queries, index, k, few_queries=few_queries)
+    pairs = _meet(index, kept, few_queries).filter(F.col("limit").isNull() | (F.col("dist") <= F.col("limit"))).drop("limit")
+    return _ranked(pairs, k, "dist", True, index.group)
+
+
+def cell_work(queries: DataFrame, index: CellIndex, k: int, *, few_queries: bool = False) -> DataFrame:
+    """Per group, how many (query, item) pairs there are and how many are in cells that were not ruled out: group, pairs, met."""
+    kept, cells = cell_plan(queries, index, k, few_queries=few_queries)
+    total = cells.groupBy(index.group).agg(F.sum("n").alias("pairs"))
+    return total.join(kept.groupBy(index.group).agg(F.sum("n").alias("met")), index.group)
+
+
 def first_hit_from_topk(topk: DataFrame, *, group: str = "genre") -> DataFrame:
     """First same-entity rank per query from a top-k neighbour table."""
     return (topk.filter(F.col("q_entity") == F.col("c_entity"))

@@ -42,6 +42,32 @@ def _salted(keyed: DataFrame, n: int, groups: list[str], order: list[str]) -> Da
     return _first(salted, n, [*groups, "_salt"], order).drop("_salt", "_rn")
 
 
+#: Rows of a range where rows are put in order by ranges; the number of ranges grows with the rows.
+ROWS_PER_RANGE = 250_000
+
+
+def range_count(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_RANGE))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Add ``name``: the place from 0 of a row among those of its ``keys``, in the order of the ``order`` columns.
+
+    No window holds a whole key: rows are put into ranges of about ``ROWS_PER_RANGE`` rows, written with the number of
+    their range, counted within it, and shifted by the rows of the key in the ranges before. ``df`` is counted first,
+    so it should be a written table. Rows that are equal in all of ``order`` are numbered in any way.
+    """
+    from grouprank.operators.basic import materialize
+    placed = materialize(df.repartitionByRange(range_count(df.count()), *keys, *order).withColumn("_pid", F.spark_partition_id()))
+    local = F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (placed.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+             .select("_pid", *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")))
+    same = [placed[c].eqNullSafe(F.col(f"_r_{c}")) for c in ["_pid", *keys]]
+    shift = shift.withColumnsRenamed({c: f"_r_{c}" for c in ["_pid", *keys]})
+    return placed.withColumn("_local", local).join(shift, same).select(*df.columns, (F.col("_shift") + F.col("_local")).alias(name))
+
+
 def sample_per_group(df: DataFrame, group_cols, n: int | None, *, id_col: str, seed=42,
                      salt: str = "cap", keep_rank: str | None = None,
                      tiebreak: list[str] | None = None, few_groups: bool = False) -> DataFrame:
@@ -57,7 +83,8 @@ def sample_per_group(df: DataFrame, group_cols, n: int | None, *, id_col: str, s
     if n is None:
         if not keep_rank:
             return df
-        return keyed.withColumn(keep_rank, F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).drop("_sk")
+        ranked = numbered(keyed, groups, order, "_place")
+        return ranked.select(*df.columns, (F.col("_place") + 1).cast("int").alias(keep_rank))
     if few_groups:
         bucket = F.conv(F.substring("_sk", 1, _HEX_DIGITS), 16, 10).cast("int")
         keyed = keyed.withColumn("_sb", bucket)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.functions.columns import WHITESPACE
+from grouprank.operators.basic import materialize
 
 TOKEN_MODES = ("words", "ml")
 
@@ -81,17 +82,79 @@ def term_weights(df: DataFrame, doc_cols: list[str], text_col: str, mode: str =
     return t.select(*doc_cols, "term", (F.col("weight") / nrm).alias("w"))
 
 
+#: A term is split when it has more postings than one in SPLIT_SHARE of all, and than SPLIT_ROWS: so at most SPLIT_SHARE
+#: terms are, and no task gets more than such a share of a term's postings.
+SPLIT_SHARE = 1000
+SPLIT_ROWS = 100_000
+#: Sums of products differ in their last digits with the order of their terms; bounds give way by this much.
+SLACK = 1e-9
+
+
+def postings_join(queries: DataFrame, candidates: DataFrame, *, group: str = "genre") -> DataFrame:
+    """Rows of ``queries`` (group, qid, term, ...) with the ``candidates`` rows (group, cid, term, ...) of the same term.
+
+    The candidates of a frequent term are dealt over sub-keys by their id, and the query rows of that term copied to each,
+    so a term that half of all documents have fills no task. ``candidates`` is counted: it should be a written table.
+    """
+    share = max(candidates.count() / SPLIT_SHARE, SPLIT_ROWS)
+    frequent = (candidates.groupBy(group, "term").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > share)
+                .select(group, "term", F.ceil(F.col("_n") / share).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    # at most SPLIT_SHARE rows, whatever the data
+    c = candidates.join(F.broadcast(frequent), [group, "term"], "left").withColumn("_part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
+    q = queries.join(F.broadcast(frequent), [group, "term"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return q.drop("_parts").join(c.drop("_parts"), [group, "term", "_part"]).drop("_part").filter(F.col("qid") != F.col("cid"))
+
+
 def text_cosine(query_weights: DataFrame, cand_weights: DataFrame, *, group: str = "genre",
-                id_col: str = "track_id") -> DataFrame:
+                id_col: str = "track_id", min_cosine: float | None = None) -> DataFrame:
     """Cosine of unit TF-IDF vectors for (query, candidate) pairs of a group sharing a term.
 
-    An inverted-index equi-join on (group, term) summed per pair. Pairs that
-    share no term are absent (their cosine is 0). AQE splits hot terms.
+    An inverted-index equi-join on (group, term), frequent terms split, summed per pair. Pairs that
+    share no term are absent (their cosine is 0). With ``min_cosine`` (above 0) only pairs that reach it are
+    returned, and others are ruled out by bounds before they are summed (``likely_pairs``).
+    ``cand_weights`` should be a written table.
     """
     q = query_weights.select(group, F.col(id_col).alias("qid"), "term", F.col("w").alias("wq"))
     c = cand_weights.select(group, F.col(id_col).alias("cid"), "term", F.col("w").alias("wc"))
-    return (q.join(c, [group, "term"]).filter(F.col("qid") != F.col("cid"))
-             .groupBy(group, "qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("text_cos")))
+    if min_cosine is not None:
+        return _reaching(q, c, group, min_cosine)
+    return postings_join(q, c, group=group).groupBy(group, "qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("text_cos"))
+
+
+def bounded_terms(q: DataFrame, c: DataFrame, group: str, least: float) -> DataFrame:
+    """The queries' terms with what each and all of lesser weight can add to a cosine: group, qid, term, wq, reach, lead.
+
+    Terms are taken in order of their largest weight among the candidates. ``reach`` is the lesser of the sum of products
+    with those weights and, by Cauchy and Schwarz, the length of the query's part. A pair that shares no ``lead`` term
+    (one whose reach is at least ``least``) stays below ``least``.
+    """
+    largest = c.groupBy(group, "term").agg(F.max("wc").alias("_most"))
+    up_to = Window.partitionBy(group, "qid").orderBy("_most", "term").rowsBetween(Window.unboundedPreceding, 0)
+    rows = q.join(largest, [group, "term"])
+    reach = F.least(F.sum(F.col("wq") * F.col("_most")).over(up_to), F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(up_to)))
+    return rows.withColumn("reach", reach).select(group, "qid", "term", "wq", "reach", (F.col("reach") >= least - SLACK).alias("lead"))
+
+
+def likely_pairs(terms: DataFrame, c: DataFrame, group: str, least: float) -> DataFrame:
+    """(group, qid, cid, part): pairs that share a lead term, with the sum over those, where the other terms could make up the rest."""
+    rest = terms.filter(~F.col("lead")).groupBy(group, "qid").agg(F.max("reach").alias("_rest"))
+    lead = terms.filter("lead").select(group, "qid", "term", "wq")
+    found = postings_join(lead, c, group=group).groupBy(group, "qid", "cid").agg(F.sum(F.col("wq") * F.col("wc")).alias("part"))
+    found = found.join(rest, [group, "qid"], "left")
+    return found.filter(F.col("part") + F.coalesce("_rest", F.lit(0.0)) >= least - SLACK).drop("_rest")
+
+
+def _reaching(q: DataFrame, c: DataFrame, group: str, least: float) -> DataFrame:
+    if least <= 0:
+        raise ValueError("min_cosine must be above 0")
+    terms = materialize(bounded_terms(q, c, group, least))
+    pairs = materialize(likely_pairs(terms, c, group, least))
+    others = terms.filter(~F.col("lead")).select(group, "qid", "term", "wq")
+    more = F.sum(F.coalesce(F.col("wq") * F.col("wc"), F.lit(0.0)))
+    whole = (pairs.join(others, [group, "qid"], "left").join(c, [group, "cid", "term"], "left")
+             .groupBy(group, "qid", "cid", "part").agg(more.alias("_more")))
+    return whole.select(group, "qid", "cid", (F.col("part") + F.col("_more")).alias("text_cos")).filter(F.col("text_cos") >= least)
 
 
 def tfidf_hashed(df: DataFrame, text_col: str, num_features: int = 4096,

@@ -43,12 +43,14 @@ class Params:
     # feature importance
     importance_min_items: int = 50
     importance_min_entities: int = 5
+    importance_draws: int = 30_000     # attempts a group of the estimate from drawn pairs
     # numeric KNN evaluation
     k: int = 10
     n_queries: int | None = 150
     # text evaluation
     text_min_rows: int = 30
     text_n_queries: int | None = 100
+    text_min_cosine: float = 0.2       # pairs of the text comparison alone
     alpha: float = 0.8
     hash_buckets: int = 4096
     # lookup input

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from grouprank.operators.basic import complete_rows, materialize, require_columns
 from grouprank.operators.groups import keep_groups
 from grouprank.operators.importance import feature_importance
+from grouprank.operators.pair_sampling import sampled_importance
 from grouprank.operators.sampling import sample_per_group
 from grouprank.params import Params
 from grouprank.plans.evaluate import chosen_groups, few_groups
 
+
 def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | None = None,
                      run_ts=None, groups: DataFrame | None = None) -> DataFrame:
     """Feature importance of the chosen groups (C4).
@@ -24,6 +26,15 @@ def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | No
     Columns: genre, feature, importance_raw, importance_abs, importance_norm, run_ts.
     """
     p = p or Params()
+    df = predictor_items(items, p, cap=cap, groups=groups).drop(p.item)
+    out = feature_importance(df, group=p.group, entity=p.entity, features=p.features,
+                             min_items=p.importance_min_items, min_entities=p.importance_min_entities)
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    return out.withColumn("run_ts", ts)
+
+
+def predictor_items(items: DataFrame, p: Params, *, cap: int | None = None, groups: DataFrame | None = None) -> DataFrame:
+    """Complete rows of the chosen groups, written (the input of both importance estimates)."""
     keys = [p.item, p.group, p.entity]
     df = complete_rows(require_columns(items, keys + p.features).select(*keys, *p.features),
                        keys + p.features)
@@ -31,11 +42,22 @@ def genre_predictors(items: DataFrame, p: Params | None = None, *, cap: int | No
     df = keep_groups(df, chosen_groups(df, p, p.min_rows, groups), p.group, few_groups=few)
     if cap is not None:
         df = sample_per_group(df, p.group, cap, id_col=p.item, seed=p.seed, salt="cap", few_groups=few)
-    df = materialize(df.select(p.group, p.entity, *p.features), spread=True)
-    out = feature_importance(df, group=p.group, entity=p.entity, features=p.features,
-                             min_items=p.importance_min_items, min_entities=p.importance_min_entities)
-    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    return out.withColumn("run_ts", ts)
+    return materialize(df, spread=True)
+
+
+def sampled_predictors(items: DataFrame, p: Params | None = None, *, cap: int | None = None,
+                       groups: DataFrame | None = None) -> DataFrame:
+    """Importance estimated from ``p.importance_draws`` drawn pairs a group, beside its expectation.
+
+    Columns: those of ``sampled_importance``, and ``expected_raw``, the exact value that draws converge to.
+    """
+    p = p or Params()
+    df = predictor_items(items, p, cap=cap, groups=groups)
+    gates = {"group": p.group, "entity": p.entity, "features": p.features, "min_items": p.importance_min_items,
+             "min_entities": p.importance_min_entities}
+    drawn = sampled_importance(df, item=p.item, draws=p.importance_draws, seed=p.seed, **gates)
+    exact = feature_importance(df, **gates).select(p.group, "feature", F.col("importance_raw").alias("expected_raw"))
+    return drawn.join(exact, [p.group, "feature"])
 
 
 # The output names of the delta and report tables, as they stand in the functions below.

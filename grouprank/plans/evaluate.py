@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.operators.basic import complete_rows, materialize, require_columns, text_available
@@ -118,10 +119,6 @@ def text_queries(df: DataFrame, p: Params, *, few: bool | None = None) -> DataFr
                             few_groups=few_groups(p) if few is None else few)
 
 
-#: Query postings that are broadcast at a time; more queries are joined in blocks of about so many, by the same plan.
-POSTINGS_BLOCK = 1_000_000
-
-
 def text_postings(tf: DataFrame, idf: DataFrame, p: Params) -> DataFrame:
     """(group, track_id, entity, term, w): TF-IDF weights of unit length per document (zero weights left out)."""
     g = p.group
@@ -131,56 +128,153 @@ def text_postings(tf: DataFrame, idf: DataFrame, p: Params) -> DataFrame:
     return weights.select(g, "track_id", p.entity, "term", (F.col("weight") / norm).alias("w"))
 
 
+@dataclass(frozen=True)
+class BlendInputs:
+    """What both ways of scoring read: written postings and unit vectors of all documents, and those of the queries."""
+
+    postings: DataFrame   # group, track_id, entity, term, w
+    numeric: DataFrame    # group, track_id, entity, u_z_<feature>...
+    keys: DataFrame       # group, track_id of the queries
+    unit: list[str]
+
+
+def blend_inputs(df: DataFrame, p: Params, *, tokens: str = "words", queries: DataFrame | None = None, few: bool) -> BlendInputs:
+    g, e = p.group, p.entity
+    if queries is None:
+        queries = materialize(text_queries(df, p, few=few))
+    # tokenise once: the term counts feed document frequencies and both posting lists
+    doc = [g, "track_id", e]
+    counts = hashed_term_counts(df, doc, "lyrics", p.hash_buckets) if tokens == "hashed" else term_counts(df, doc, "lyrics", tokens)
+    tf = materialize(counts, spread=True)
+    postings = materialize(text_postings(tf, materialize(idf_table(tf, df)), p), spread=True)
+    zcols = [f"z_{c}" for c in p.features]
+    unit = [f"u_{c}" for c in zcols]
+    scaled = l2_normalize(zscore(df.select(*doc, *p.features), g, p.features, stats=group_stats(df, g, p.features), few_groups=few), zcols)
+    return BlendInputs(postings, materialize(scaled.select(*doc, *unit), spread=True), queries.select(g, "track_id"), unit)
+
+
+def _as_query(df: DataFrame, p: Params, **names: str) -> DataFrame:
+    return df.withColumnsRenamed({"track_id": "qid", p.entity: "q_entity", **names})
+
+
+def _as_candidate(df: DataFrame, p: Params, **names: str) -> DataFrame:
+    return df.withColumnsRenamed({"track_id": "cid", p.entity: "c_entity", **names})
+
+
+def _audio_cosine(unit: list[str]) -> Column:
+    return reduce(lambda x, y: x + y, [F.col(f"q_{c}") * F.col(c) for c in unit])
+
+
 def blended_pairs(df: DataFrame, p: Params, *, tokens: str = "words", queries: DataFrame | None = None,
                   few: bool | None = None) -> DataFrame:
     """Scored pairs: alpha * audio cosine (z-scored, unit) + (1 - alpha) * text TF-IDF cosine,
     for every sampled query and every other item of its group.
 
     A pair gets one row from the nine numeric columns (documents joined to the
-    broadcast queries of their group) and one row per shared term (postings joined
-    to the broadcast query postings on group and term). Both sides stay
-    partitioned by candidate, so the sum per pair needs no shuffle of pairs.
-    Query postings are broadcast in blocks of queries of about POSTINGS_BLOCK rows,
-    whatever their number. ``tokens="hashed"``: hashed term frequencies.
+    queries of their group) and one row per shared term (postings joined to the
+    query postings on group and term). Where parameters bound the queries (``few``),
+    their rows are broadcast and both sides stay partitioned by candidate, so the sum
+    per pair needs no shuffle of pairs; otherwise Spark joins by size.
+    ``tokens="hashed"``: hashed term frequencies. For the best candidates only, use ``blended_topk``.
     Columns: group, qid, cid, q_entity, c_entity, audio_cos, text_cos, score.
     """
-    g, e, feats = p.group, p.entity, p.features
+    g = p.group
     few = few_groups(p) if few is None else few
-    if queries is None:
-        queries = materialize(text_queries(df, p, few=few))
-    # tokenise once: the term counts feed document frequencies and both posting lists
-    doc = [g, "track_id", e]
-    counts = hashed_term_counts(df, doc, "lyrics", p.hash_buckets) if tokens == "hashed" else term_counts(df, doc, "lyrics", tokens)
-    tf = materialize(counts, spread=True)
-    postings = text_postings(tf, materialize(idf_table(tf, df)), p)
-    zcols = [f"z_{c}" for c in feats]
-    ucols = [f"u_z_{c}" for c in feats]
-    scaled = l2_normalize(zscore(df.select(*doc, *feats), g, feats, stats=group_stats(df, g, feats), few_groups=few), zcols)
-    numeric = materialize(scaled.select(*doc, *ucols), spread=True)
-
-    keys = queries.select(g, "track_id")
-    names = {"track_id": "qid", e: "q_entity"}
-    q_text = materialize(postings.join(keys, [g, "track_id"], "left_semi").withColumnsRenamed({**names, "w": "wq"}))
-    q_numeric = materialize(numeric.join(keys, [g, "track_id"], "left_semi").withColumnsRenamed({**names, **{c: f"q_{c}" for c in ucols}}))
-    blocks = max(1, -(-q_text.count() // POSTINGS_BLOCK), -(-q_numeric.count() // POSTINGS_BLOCK))
-
-    c_text = postings.withColumnsRenamed({"track_id": "cid", e: "c_entity", "w": "wc"})
-    c_numeric = numeric.withColumnsRenamed({"track_id": "cid", e: "c_entity"})
+    x = blend_inputs(df, p, tokens=tokens, queries=queries, few=few)
+
+    def some(side: DataFrame) -> DataFrame:
+        mine = materialize(side.join(x.keys, [g, "track_id"], "left_semi"))
+        return F.broadcast(mine) if few and p.text_n_queries is not None else mine
+    q_text = _as_query(some(x.postings), p, w="wq")
+    q_numeric = _as_query(some(x.numeric), p, **{c: f"q_{c}" for c in x.unit})
+    c_text, c_numeric = _as_candidate(x.postings, p, w="wc"), _as_candidate(x.numeric, p)
     pair = [g, "cid", "qid", "q_entity", "c_entity"]
-    audio = reduce(lambda x, y: x + y, [F.col(f"q_{c}") * F.col(c) for c in ucols])
-    scored = None
-    for block in range(blocks):
-        mine = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block
-        by_text = c_text.repartition(g, "cid").join(F.broadcast(q_text.filter(mine)), [g, "term"])
-        by_number = c_numeric.repartition(g, "cid").join(F.broadcast(q_numeric.filter(mine)), g)
-        rows = (by_text.select(*pair, F.lit(0.0).alias("audio_cos"), (F.col("wq") * F.col("wc")).alias("text_cos"))
-                .unionByName(by_number.select(*pair, audio.alias("audio_cos"), F.lit(0.0).alias("text_cos"))))
-        # entities depend on the ids; as keys they keep the aggregate a hash aggregate
-        sums = (rows.filter(F.col("qid") != F.col("cid")).groupBy(*pair)
-                .agg(F.sum("audio_cos").alias("audio_cos"), F.sum("text_cos").alias("text_cos")))
-        scored = sums if scored is None else scored.unionByName(sums)
-    return scored.select(g, "qid", "cid", "q_entity", "c_entity", "audio_cos", "text_cos",
-                         (p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos")).alias("score"))
+    by_text = c_text.repartition(g, "cid").join(q_text, [g, "term"])
+    by_number = c_numeric.repartition(g, "cid").join(q_numeric, g)
+    rows = (by_text.select(*pair, F.lit(0.0).alias("audio_cos"), (F.col("wq") * F.col("wc")).alias("text_cos"))
+            .unionByName(by_number.select(*pair, _audio_cosine(x.unit).alias("audio_cos"), F.lit(0.0).alias("text_cos"))))
+    # entities depend on the ids; as keys they keep the aggregate a hash aggregate
+    sums = (rows.filter(F.col("qid") != F.col("cid")).groupBy(*pair)
+            .agg(F.sum("audio_cos").alias("audio_cos"), F.sum("text_cos").alias("text_cos")))
+    return sums.select(g, "qid", "cid", "q_entity", "c_entity", "audio_cos", "text_cos",
+                       (p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos")).alias("score"))
+
+
+#: Sums of products differ in their last digits with the order of their terms; bounds give way by this much.
+SLACK = 1e-9
+
+
+def shared_postings(x: BlendInputs, p: Params, *, few: bool) -> tuple[DataFrame, DataFrame]:
+    """Postings that can meet another document's, and the length of what each document has of them.
+
+    A query's weights count where another document of the group has the term (``for_query``), a candidate's where a
+    query other than itself has it (``for_candidate``). By Cauchy and Schwarz the text cosine of a pair is at most
+    ``u_query`` of the one times ``u_candidate`` of the other. Lengths: group, track_id, u_query, u_candidate.
+    """
+    g = p.group
+    asked = x.keys.withColumn("asked", F.lit(1))
+    mine = x.postings.join(F.broadcast(asked) if few and p.text_n_queries is not None else asked, [g, "track_id"], "left")
+    mine = mine.withColumn("asked", F.coalesce("asked", F.lit(0)))
+    terms = mine.groupBy(g, "term").agg(F.count(F.lit(1)).alias("_n"), F.sum("asked").alias("_asked"))
+    flagged = (mine.join(terms, [g, "term"])
+               .withColumn("for_query", (F.col("asked") == 1) & (F.col("_n") > 1)).withColumn("for_candidate", F.col("_asked") > F.col("asked"))
+               .filter("for_query or for_candidate").select(*x.postings.columns, "for_query", "for_candidate"))
+    flagged = materialize(flagged, spread=True)
+
+    def length(flag: str) -> Column:
+        return F.sqrt(F.sum(F.when(F.col(flag), F.col("w") * F.col("w")).otherwise(0.0)))
+    lengths = flagged.groupBy(g, "track_id").agg(length("for_query").alias("u_query"), length("for_candidate").alias("u_candidate"))
+    return flagged, lengths
+
+
+def blended_survivors(x: BlendInputs, p: Params, lengths: DataFrame, k: int, *, few: bool) -> DataFrame:
+    """The pairs whose blended score can be among the query's ``k`` best, by their numeric part and a bound on the text part.
+
+    The text part is never negative, so the k-th best numeric part is a score that k candidates reach (``floor``, null
+    with fewer candidates). A pair whose numeric part with the most that its text could add stays below it is dropped.
+    Columns: group, qid, q_entity, cid, c_entity, audio_cos, floor.
+    """
+    g = p.group
+    vectors = materialize(x.numeric.join(lengths, [g, "track_id"], "left").fillna(0.0, ["u_query", "u_candidate"]), spread=True)
+    q = materialize(vectors.drop("u_candidate").join(x.keys, [g, "track_id"], "left_semi"))
+    bounded = few and p.text_n_queries is not None
+    q = _as_query(F.broadcast(q) if bounded else q, p, **{c: f"q_{c}" for c in x.unit})
+    pairs = (_as_candidate(vectors.drop("u_query"), p).join(q, g).filter(F.col("qid") != F.col("cid"))
+             .select(g, "qid", "q_entity", "cid", "c_entity", _audio_cosine(x.unit).alias("audio_cos"),
+                     F.least(F.lit(1.0), F.col("u_query") * F.col("u_candidate")).alias("_most")))
+    nearest = knn_topk(pairs, k, score="audio_cos", ascending=False, group=g, group_sizes=group_counts(vectors, g), few_queries=bounded)
+    floor = materialize(nearest.groupBy(g, "qid").agg(F.min("audio_cos").alias("floor"), F.count(F.lit(1)).alias("_have"))
+                        .filter(F.col("_have") >= k).select(g, "qid", (p.alpha * F.col("floor") - SLACK).alias("floor")))
+    best = p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("_most")
+    kept = pairs.join(F.broadcast(floor) if bounded else floor, [g, "qid"], "left").filter(F.col("floor").isNull() | (best >= F.col("floor")))
+    return materialize(kept.drop("_most"), spread=True)
+
+
+def blended_topk(df: DataFrame, p: Params, k: int, *, tokens: str = "words", queries: DataFrame | None = None,
+                 few: bool | None = None) -> DataFrame:
+    """The ``k`` best candidates of each query by the score of ``blended_pairs``, without scoring every pair's text.
+
+    Exact: numeric parts and bounds on the text parts rule pairs out first (``blended_survivors``); only the others meet
+    postings, joined on the candidate and then on the query's terms, and only scores that reach the query's floor are
+    ranked. Pairs are partitioned by candidate; Spark broadcasts the queries' postings if their written size allows it.
+    Columns: group, qid, q_entity, cid, c_entity, score, rank.
+    """
+    if not 0.0 <= p.alpha <= 1.0:
+        raise ValueError("alpha must be between 0 and 1")
+    g = p.group
+    few = few_groups(p) if few is None else few
+    x = blend_inputs(df, p, tokens=tokens, queries=queries, few=few)
+    postings, lengths = shared_postings(x, p, few=few)
+    survivors = blended_survivors(x, p, lengths, k, few=few)
+    wanted = postings.select(g, "track_id", "term", "w", "for_query", "for_candidate")
+    q_text = materialize(wanted.filter("for_query").select(g, F.col("track_id").alias("qid"), "term", F.col("w").alias("wq")))
+    c_text = wanted.filter("for_candidate").select(g, F.col("track_id").alias("cid"), "term", F.col("w").alias("wc"))
+    # floor and entities depend on the ids; as keys they keep the aggregate a hash aggregate
+    sums = (survivors.join(c_text, [g, "cid"], "left").join(q_text, [g, "qid", "term"], "left").groupBy(*survivors.columns)
+            .agg(F.sum(F.coalesce(F.col("wq") * F.col("wc"), F.lit(0.0))).alias("text_cos")))
+    scored = sums.withColumn("score", p.alpha * F.col("audio_cos") + (1.0 - p.alpha) * F.col("text_cos"))
+    reach = scored.filter(F.col("floor").isNull() | (F.col("score") >= F.col("floor")))
+    return knn_topk(reach, k, score="score", ascending=False, group=g, bounded=False)
 
 
 def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = None, *,
@@ -197,8 +291,7 @@ def evaluate_audio_text(items: DataFrame, text: DataFrame, p: Params | None = No
     few = few_groups(p, groups)
     df = text_eval_items(items, text, p, groups)
     queries = materialize(text_queries(df, p, few=few))
-    scored = blended_pairs(df, p, tokens=tokens, queries=queries, few=few)
-    top = knn_topk(scored, p.k, score="score", ascending=False, group=g, bounded=False)
+    top = blended_topk(df, p, p.k, tokens=tokens, queries=queries, few=few)
     hits = first_hit_from_topk(top, group=g)
     m = hit_metrics(queries.select(g, F.col("track_id").alias("qid")), hits, group=g)
     sizes = df.select(g, "n_tracks_in_genre").distinct()

@@ -305,6 +305,43 @@ fi AS (
   FROM fraw)"""
 
 
+def sampled_importance_ctes(draws=30_000, min_items=50, min_entities=5) -> str:
+    """Draws by number; entities and items numbered by plain windows. Needs importance_ctes before it."""
+    def u(salt: str, part: int) -> str:
+        return f"CAST(('0x' || substr(md5(concat_ws(':', '42', '{salt}', genre, CAST(draw AS VARCHAR))), {8 * part + 1}, 8)) AS BIGINT)"
+    cells = " UNION ALL ".join(f"SELECT genre, same, '{c}' AS feature, CAST(abs(one.{c} - two.{c}) AS DOUBLE) AS d FROM sdraw" for c in F)
+    return f"""sent AS (
+  SELECT genre, artist_id_primary AS a, n_a, row_number() OVER (PARTITION BY genre ORDER BY artist_id_primary) - 1 AS e FROM fent),
+sgate AS (SELECT genre, count(*) AS k FROM fent GROUP BY genre HAVING sum(n_a) >= {min_items} AND count(*) >= {min_entities}),
+sitem AS (SELECT *, row_number() OVER (PARTITION BY genre, artist_id_primary ORDER BY id) - 1 AS i FROM fitems),
+snum AS (
+  SELECT genre, draw, k, {", ".join(f"{u(salt, part)} AS u{n}" for n, (salt, part) in enumerate([("pair", 0), ("pair", 1), ("pair", 2), ("item", 0), ("item", 1)]))}
+  FROM sgate CROSS JOIN (SELECT unnest(range({draws})) AS draw)),
+spick AS (
+  SELECT *, u0 < 2147483648 AS same, (u1 * k) >> 32 AS e1, (u2 * (k - 1)) >> 32 AS o FROM snum),
+sboth AS (
+  SELECT p.*, a.a AS a1, a.n_a AS n1, b.a AS a2, b.n_a AS n2
+  FROM (SELECT *, CASE WHEN same THEN e1 WHEN o >= e1 THEN o + 1 ELSE o END AS e2 FROM spick) p
+  JOIN sent a ON a.genre = p.genre AND a.e = p.e1 JOIN sent b ON b.genre = p.genre AND b.e = p.e2
+  WHERE NOT (same AND a.n_a < 2)),
+sidx AS (
+  SELECT *, (u3 * n1) >> 32 AS i1, CASE WHEN same THEN (u4 * (n2 - 1)) >> 32 ELSE (u4 * n2) >> 32 END AS j FROM sboth),
+sdraw AS (
+  SELECT x.genre, x.same, one, two
+  FROM (SELECT *, CASE WHEN same AND j >= i1 THEN j + 1 ELSE j END AS i2 FROM sidx) x
+  JOIN sitem one ON one.genre = x.genre AND one.artist_id_primary = x.a1 AND one.i = x.i1
+  JOIN sitem two ON two.genre = x.genre AND two.artist_id_primary = x.a2 AND two.i = x.i2),
+scell AS ({cells}),
+sstat AS (
+  SELECT genre, feature, avg(d) FILTER (NOT same) - avg(d) FILTER (same) AS importance_raw,
+         sqrt(var_samp(d) FILTER (same) / count(*) FILTER (same) + var_samp(d) FILTER (NOT same) / count(*) FILTER (NOT same)) AS std_error,
+         count(*) FILTER (same) AS n_same, count(*) FILTER (NOT same) AS n_different
+  FROM scell GROUP BY genre, feature HAVING count(*) FILTER (same) > 0 AND count(*) FILTER (NOT same) > 0),
+sraw AS (
+  SELECT *, CASE WHEN sum(abs(importance_raw)) OVER (PARTITION BY genre) = 0 THEN CAST(1 AS DOUBLE)
+                 ELSE sum(abs(importance_raw)) OVER (PARTITION BY genre) END AS total FROM sstat)"""
+
+
 def _r(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
@@ -454,6 +491,8 @@ def _oracle_sql() -> dict[str, str]:
         "FROM curated c JOIN enriched e ON c.id = e.track_id AND c.genre = e.genre")
     s["pair_join"] = _with(BASE, A) + _per_query("apairs", "dist", 2)
     s["text_cosine"] = _with(WITH_TEXT, T) + _per_query("tcos", "text_cos")
+    s["text_cosine_min"] = _with(WITH_TEXT, T) + (
+        "SELECT genre, qid, cid, round(text_cos, 6) AS text_cos FROM tcos WHERE text_cos >= 0.2")
 
     # aggregations
     s["group_distribution"] = _with(BASE) + (
@@ -476,6 +515,10 @@ def _oracle_sql() -> dict[str, str]:
     s["feature_importance"] = _with(BASE, I) + (
         "SELECT genre, feature, round(importance_raw, 4) AS importance_raw, round(importance_abs, 4) AS importance_abs, "
         "round(importance_norm, 6) AS importance_norm FROM fi")
+    s["pair_sample_importance"] = _with(BASE, I, sampled_importance_ctes()) + (
+        "SELECT r.genre, r.feature, round(r.importance_raw, 4) AS importance_raw, round(abs(r.importance_raw), 4) AS importance_abs, "
+        "round(r.importance_raw / r.total, 6) AS importance_norm, round(r.std_error, 4) AS std_error, r.n_same, r.n_different, "
+        "round(f.importance_raw, 4) AS expected_raw FROM sraw r JOIN fi f ON r.genre = f.genre AND r.feature = f.feature")
     s["importance_by_feature"] = _with(BASE, I) + (
         "SELECT feature, round(sum(importance_norm), 6) AS importance_norm_sum FROM fi GROUP BY feature")
     s["top_features"] = _with(BASE, I) + (
@@ -513,6 +556,7 @@ def _oracle_sql() -> dict[str, str]:
         f"WHERE {_not_null(['id', 'genre', 'artist_id_primary'] + F)}) WHERE rn <= 40")
     s["knn_topk"] = _with(BASE, A) + (
         'SELECT genre, qid, cid, round(dist, 6) AS dist, CAST(rk AS INTEGER) AS "rank" FROM aranked WHERE rk <= 10')
+    s["knn_cells"] = s["knn_topk"]
     s["first_hit_rank"] = _with(BASE, A) + (
         "SELECT q.genre, q.id AS qid, CAST(f.first_hit_rank AS INTEGER) AS first_hit_rank "
         "FROM aq q LEFT JOIN afh f ON q.genre = f.genre AND q.id = f.qid")

@@ -19,8 +19,8 @@ from grouprank.operators.basic import (clean_lookup_input, complete_rows, dedupe
                                        select_existing, text_available)
 from grouprank.operators.groups import (eligible_groups, group_counts, keep_groups, select_groups,
                                         select_groups_with_reason, top_groups)
-from grouprank.operators.knn import (first_hit_rank, knn_topk, pair_join, array_distance_column,
-                                     hit_metrics)
+from grouprank.operators.knn import (array_distance_column, cell_index, first_hit_rank, hit_metrics, knn_cells, knn_topk,
+                                     pair_join)
 from grouprank.operators.sampling import capped_sample, sample_per_group
 from grouprank.operators.text import hashed_term_counts, term_counts, term_weights, text_cosine, tfidf, tfidf_hashed
 from grouprank.operators.vectors import l2_normalize, zscore
@@ -30,8 +30,8 @@ from grouprank.plans import fixtures as fx
 from grouprank.plans.curate import (LOOKUP_COLUMNS, convert_text, curate_items, enrich_with_text, entity_groups,
                                     explode_groups, items_with_entities, lookup_input_stratified,
                                     lookup_input_top, resolve_lookups)
-from grouprank.plans.evaluate import (audio_pairs, audio_queries, blended_pairs, eval_items,
-                                      evaluate_audio, evaluate_audio_text, text_eval_items, text_queries)
+from grouprank.plans.evaluate import (audio_pairs, audio_queries, blended_pairs, blended_topk, eval_items,
+                                      evaluate_audio, evaluate_audio_text, few_groups, text_eval_items, text_queries)
 from grouprank.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,13 +245,21 @@ def q_pair_join(spark, d):
     return _round(_per_query(pairs, "dist"), overrides={"total": 2})
 
 
-def q_text_cosine(spark, d):
-    p = _p(d)
+def _text_weights(spark, d):
+    """TF-IDF weights of all documents, written, and those of the query sample."""
     items = _text_items(spark, d)
-    w = term_weights(items, ["track_id", "genre"], "lyrics")
-    q = materialize(text_queries(items, p))
-    qw = w.join(q.select("track_id", "genre"), ["track_id", "genre"], "left_semi")
-    return _round(_per_query(text_cosine(qw, w), "text_cos"))
+    w = materialize(term_weights(items, ["track_id", "genre"], "lyrics"), spread=True)
+    q = materialize(text_queries(items, _p(d)))
+    return w.join(q.select("track_id", "genre"), ["track_id", "genre"], "left_semi"), w
+
+
+def q_text_cosine(spark, d):
+    return _round(_per_query(text_cosine(*_text_weights(spark, d)), "text_cos"))
+
+
+def q_text_cosine_min(spark, d):
+    """The pairs of a query sample whose text cosine reaches a bound."""
+    return _round(text_cosine(*_text_weights(spark, d), min_cosine=_p(d).text_min_cosine))
 
 
 # ------------------------------------------------------------------ aggregations
@@ -299,6 +307,11 @@ def q_feature_importance(spark, d):
     return _round(_predictors(spark, d).drop("run_ts"), overrides=IMPORTANCE_PLACES)
 
 
+def q_pair_sample_importance(spark, d):
+    """The estimate from drawn pairs, its standard error, and its expectation."""
+    return _round(cmp.sampled_predictors(curated_table(spark, d), _p(d)), overrides={**IMPORTANCE_PLACES, "std_error": 4, "expected_raw": 4})
+
+
 def q_top_features(spark, d):
     return _round(cmp.top_features(_predictors(spark, d), "building"))
 
@@ -398,9 +411,7 @@ def q_audio_cosine(spark, d):
 def q_blended_rank(spark, d):
     p = _p(d)
     items = _text_items(spark, d)
-    s = blended_pairs(items, p, queries=materialize(text_queries(items, p)))
-    return _round(knn_topk(s, p.k, score="score", ascending=False, bounded=False, few_queries=True)
-                  .select("genre", "qid", "cid", "score", "rank"))
+    return _round(blended_topk(items, p, p.k).select("genre", "qid", "cid", "score", "rank"))
 
 
 # ------------------------------------------------------------------ windows, sorts, sampling
@@ -420,6 +431,14 @@ def q_knn_topk(spark, d):
                   .select("genre", "qid", "cid", "dist", "rank"))
 
 
+def q_knn_cells(spark, d):
+    """The neighbours of knn_topk from items stored by cells."""
+    p = _p(d)
+    items = eval_items(curated_table(spark, d), p)
+    index = cell_index(items, p.features, few_groups=few_groups(p))
+    return _round(knn_cells(materialize(audio_queries(items, p)), index, p.k, few_queries=True).select("genre", "qid", "cid", "dist", "rank"))
+
+
 def q_first_hit_rank(spark, d):
     p = _p(d)
     items = eval_items(curated_table(spark, d), p)

@@ -6,8 +6,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from grouprank.operators.knn import (distance_column, first_hit_from_topk, first_hit_rank, hit_metrics,
-                                     knn_topk, pair_join)
+from grouprank.operators.knn import (cell_index, cell_work, distance_column, first_hit_from_topk, first_hit_rank, hit_metrics,
+                                     knn_cells, knn_topk, pair_join)
 
 
 def brute_first_hit(items, queries, k):
@@ -61,3 +61,41 @@ def test_bounded_topk_equals_plain_window(spark, bound_sample):
         plain = sorted(tuple(r) for r in knn_topk(pairs, 5, ascending=asc, bounded=False).collect())
         bounded = sorted(tuple(r) for r in knn_topk(pairs, 5, ascending=asc, bound_sample=bound_sample).collect())
         assert bounded == plain
+
+
+@pytest.mark.parametrize("pivots", [1, 5, 64])
+def test_cells_give_the_plain_neighbours(spark, pivots):
+    """Ties, groups smaller than k, equal rows, and values far apart."""
+    rng = random.Random(pivots)
+    rows = [(g, f"{g}{i:04d}", f"e{i % 5}", float(rng.randrange(12)), rng.choice([0.0, 1e6]) + rng.random()) for g, n in (("big", 500), ("small", 12), ("tiny", 3))
+            for i in range(n)]
+    rows += [("same", f"s{i}", "e", 1.0, 2.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "genre string, id string, ent string, x double, y double")
+    q = df.filter(F.col("id").endswith("1") | F.col("id").endswith("7"))
+    pairs = pair_join(q, df, entity="ent", cols=["x", "y"]).withColumn("dist", distance_column(["x", "y"]))
+    plain = sorted(tuple(r) for r in knn_topk(pairs, 5, bounded=False).collect())
+    for few in (True, False):
+        index = cell_index(df, ["x", "y"], pivots=pivots, entity="ent", few_groups=few)
+        assert sorted(tuple(r) for r in knn_cells(q, index, 5, few_queries=few).collect()) == plain
+
+
+def test_cells_rule_out_most_pairs(spark):
+    """On the fixture, less than half of all pairs are in cells that a query has to meet."""
+    from grouprank.operators.basic import materialize
+    from grouprank.plans import queries as Q
+    from grouprank.plans.evaluate import audio_queries, eval_items
+    from tests.conftest import SF01
+    p = Q.PARAMS
+    items = eval_items(Q.curated_table(spark, SF01), p)
+    index = cell_index(items, p.features, few_groups=True)
+    work = cell_work(materialize(audio_queries(items, p)), index, p.k, few_queries=True).agg(F.sum("met").alias("met"), F.sum("pairs").alias("pairs")).first()
+    assert 0 < work.met < 0.5 * work.pairs
+
+
+def test_equal_distances_fill_no_task(spark):
+    """All candidates at one distance: one row per query and task goes on, and the least id is the hit."""
+    df = spark.range(3000).select(F.lit("g").alias("genre"), F.format_string("i%05d", "id").alias("id"), (F.col("id") % 2).cast("string").alias("ent"), F.lit(1.0).alias("x"))
+    q = df.filter(F.col("id").isin("i00000", "i00001", "i02000"))
+    pairs = pair_join(q, df, entity="ent", cols=["x"], few_queries=True).withColumn("dist", distance_column(["x"]))
+    hits = first_hit_rank(pairs, 5, few_queries=True)
+    assert {r.qid: r.first_hit_rank for r in hits.collect()} == {"i00000": 2, "i00001": 3, "i02000": 1}
