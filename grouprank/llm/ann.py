@@ -97,6 +97,10 @@ def visited(trees: list[Tree], held: list[np.ndarray], point: np.ndarray, wanted
     return found
 
 
+#: Products of unit vectors and exact cosines differ by less than this.
+UNEXACT = 1e-9
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """A column of equally long arrays as rows of doubles."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -194,13 +198,18 @@ def nearest(items: DataFrame, item_id: str = "vec_id", vector: str = "embedding"
         if not left.num_rows or not right.num_rows:
             return none
         x, q = matrix(left.column("vec")), matrix(right.column("query_vec"))
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        unit, rep = x / np.linalg.norm(x, axis=1, keepdims=True), left.column("rep").to_numpy()
         most, parts = min(k + 1, len(x)), []
         for at in range(0, len(q), 512):
             near = (q[at:at + 512] / np.linalg.norm(q[at:at + 512], axis=1, keepdims=True)) @ unit.T
-            top = np.argpartition(-near, most - 1, axis=1)[:, :most]
-            of = np.repeat(np.arange(len(near)), most) + at
-            parts.append((of, top.ravel(), cosines(q[of], x[top.ravel()])))
+            # these products are not exact: whatever may tie with the last one is ranked by exact scores and ids
+            last = np.partition(near, len(x) - most, axis=1)[:, len(x) - most]
+            of, to = np.nonzero(near >= last[:, None] - UNEXACT)
+            score = cosines(q[of + at], x[to])
+            order = np.lexsort((rep[to], -score, of))
+            of, to, score = of[order], to[order], score[order]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            parts.append((of[place < most] + at, to[place < most], score[place < most]))
         of, to, score = (np.concatenate(p) for p in zip(*parts, strict=True))
         return pa.table({"query": right.column("query").combine_chunks().take(pa.array(of)),
                          "rep": left.column("rep").combine_chunks().take(pa.array(to)), "score": pa.array(score)})

@@ -43,6 +43,17 @@ def test_small_tables_are_exact_with_copies_and_bad_rows(spark):
         assert abs(r["score"] - a @ b / np.linalg.norm(a) / np.linalg.norm(b)) < 1e-12
 
 
+def test_ties_go_to_the_smaller_id(spark):
+    """Scaled copies have a cosine of exactly one with each other, but are different vectors."""
+    draw = np.random.default_rng(4)
+    one = draw.standard_normal(8).astype(np.float32)
+    vectors = [(i, (one * np.float32(2.0 ** (i % 60 - 30))).tolist()) for i in range(60)]
+    vectors += [(i, draw.standard_normal(8).astype(np.float32).tolist()) for i in range(60, 400)]
+    found = got(nearest(table(spark, vectors)).collect())
+    assert found[0] == [(n + 1, i) for n, i in enumerate([1, 2, 3, 4, 5])]
+    assert found[50] == [(n + 1, i) for n, i in enumerate([0, 1, 2, 3, 4])]
+
+
 def test_few_rows(spark):
     assert nearest(table(spark, [])).collect() == []
     assert nearest(table(spark, [(0, [1.0, 0.0])])).collect() == []
