@@ -60,20 +60,30 @@ def safe_pieces(text: str, most: int = PIECE_CHARS) -> list[str]:
     return pieces
 
 
-def token_lengths(texts: list[str], path: str) -> np.ndarray:
-    """Tokens of each text as the tokenizers library counts them; ids never leave the library."""
-    tokenizer = json_tokenizer(path)
-    pieces, owner = [], []
+def by_library(text: str, special: str) -> bool:
+    """Whether only the tokenizers library is sure to encode a text: it has a special string, or characters past Latin."""
+    return special in text or (not text.isascii() and PLAIN.search(text) is not None)
+
+
+def token_lengths(texts: list[str], json_path: str, ranks_path: str | None, special: str) -> np.ndarray:
+    """Tokens of each text as the tokenizers library counts them for json_path; ids never leave the encoder.
+
+    With the rank file of the same vocabulary, texts that need no library (by_library) are encoded with that.
+    """
+    pieces, owner, total = [], [], np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
-        for piece in safe_pieces(text):
-            pieces.append(piece)
-            owner.append(i)
-    total = np.zeros(len(texts), dtype=np.int64)
+        parts = safe_pieces(text)
+        if ranks_path is None or by_library(text, special):
+            pieces += parts
+            owner += [i] * len(parts)
+        else:
+            encoder = rank_encoder(ranks_path)
+            total[i] = sum(len(encoder.encode_to_numpy(p)) for p in parts if p)
     start, size = 0, 0
     for end, piece in enumerate(pieces, 1):
         size += len(piece)
         if size >= BATCH_BYTES or end == len(pieces):
-            lengths = [len(e) for e in tokenizer.encode_batch_fast(pieces[start:end], add_special_tokens=False)]
+            lengths = [len(e) for e in json_tokenizer(json_path).encode_batch_fast(pieces[start:end], add_special_tokens=False)]
             np.add.at(total, owner[start:end], lengths)
             start, size = end, 0
     return total
@@ -86,7 +96,7 @@ def token_ids(text: str, json_path: str, ranks_path: str, special: str) -> np.nd
     without special strings; texts with one, or with characters past Latin, go to the tokenizers library itself.
     """
     parts = safe_pieces(text)
-    if special in text or (not text.isascii() and PLAIN.search(text)):
+    if by_library(text, special):
         encoded = json_tokenizer(json_path).encode_batch_fast(parts, add_special_tokens=False)
         ids = [np.array(e.ids, dtype=np.uint32) for e in encoded]
     else:
