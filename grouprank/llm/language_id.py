@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,9 @@ from grouprank.llm.common import carried_schema, narrow, text_slices, with_carri
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 BINS = 1 << 14  # of each order
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: What is no letter: word characters of regular expressions also hold other numerals (superscripts, circled and Roman ones).
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+NOT_LETTERS = re.compile(rf"[\W_{re.escape(NUMERALS)}]+")
 #: Of the least loss of a codeword from the next one: closer ones are flagged ambiguous.
 AMBIGUOUS_GAP = 0.02
 #: How sharply differences of loss become a score.
