@@ -107,7 +107,10 @@ def token_matrices(docs: DataFrame, width: int = 2048, end_id: int = 0, pad_id:
         n_held = 0
         for batch in text_slices(batches, "text", 4 << 20):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(token_ids(text or "", json_path, ranks_path, SPECIAL), np.uint32(end_id)).astype("<u2")
+                ids = np.append(token_ids(text or "", json_path, ranks_path, SPECIAL), np.uint32(end_id))
+                if ids.max() > np.iinfo("<u2").max:
+                    raise ValueError(f"id {ids.max()} doesn't fit the 16 bits of a row")
+                ids = ids.astype("<u2")
                 for k, (start, length) in enumerate(pieces_of(len(ids), width)):
                     held.append((doc_id, k, start, ids[start:start + length]))
                 n_held += len(ids)

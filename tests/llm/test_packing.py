@@ -128,6 +128,12 @@ def test_matrices_round_trip(spark, tmp_path):
     assert len(found[7][0]) == 2  # the repeated row
 
 
+def test_ids_past_16_bits_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    with pytest.raises(Exception, match="16 bits"):
+        token_matrices(docs, 64, end_id=70_000).collect()
+
+
 def test_empty(spark):
     assert pack_documents(empty_documents(spark)).collect() == []
     assert token_matrices(empty_documents(spark)).collect() == []
