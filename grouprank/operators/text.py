@@ -7,7 +7,7 @@ default; ``tfidf_hashed`` gives the hashed 4096-bucket variant with Spark ML.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grouprank.functions.columns import WHITESPACE
@@ -30,7 +30,8 @@ def tokens(text_col: str, mode: str = "words") -> F.Column:
         # drop trailing empties only, as String.split does
         keep_upto = F.aggregate(F.transform(parts, lambda t, i: F.when(t != "", i + 1).otherwise(0)),
                                 F.lit(0), lambda acc, v: F.greatest(acc, v))
-        return F.slice(parts, 1, keep_upto)
+        # an empty text is one empty token there
+        return F.when(F.col(text_col) == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, keep_upto))
     raise ValueError(f"token mode must be one of {TOKEN_MODES}")
 
 
@@ -40,14 +41,52 @@ def term_counts(df: DataFrame, doc_cols: list[str], text_col: str, mode: str = "
     return ex.groupBy(*doc_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def hashed_term_counts(df: DataFrame, doc_cols: list[str], text_col: str, num_features: int = 4096) -> DataFrame:
-    """(doc..., term, tf) where a term is a bucket of ``num_features``: the buckets and counts of Spark ML's HashingTF.
+# The constants of 32-bit Murmur3, and the seed that HashingTF takes.
+MURMUR_SEED = 42
+MURMUR_BLOCK = (0xCC9E2D51, 0x1B873593)
+MURMUR_END = (0x85EBCA6B, 0xC2B2AE35)
+_MASK = 0xFFFFFFFF
+
+
+def _times(col: Column, factor: int) -> Column:
+    """The low 32 bits of a product of 32-bit numbers, without a product past 64 bits."""
+    high = ((col * (factor >> 16)).bitwiseAND(0xFFFF)) * (1 << 16)
+    return (col * (factor & 0xFFFF) + high).bitwiseAND(_MASK)
+
+
+def _folded(col: Column, shift: int) -> Column:
+    return col.bitwiseXOR(F.shiftright(col, shift))
 
-    HashingTF takes murmur3 with seed 42 of the UTF-8 bytes, which is what ``hash`` gives for a string.
+
+def with_ml_bucket(df: DataFrame, term: str, num_features: int, name: str) -> DataFrame:
+    """Add ``name``: the bucket that Spark ML's HashingTF gives the text in ``term``.
+
+    HashingTF takes Murmur3 with the last one to three bytes as one block; the SQL function ``hash`` agrees with it on
+    whole blocks of four bytes only. So the blocks go through ``hash``, whose last mixing is undone, and the rest is
+    added here. A column for each step keeps the expression from growing.
     """
-    ex = df.select(*doc_cols, F.explode(tokens(text_col, "ml")).alias("_t"))
-    bucket = F.pmod(F.hash("_t"), F.lit(num_features)).cast("string")
-    return ex.groupBy(*doc_cols, bucket.alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    inverse = [pow(c, -1, 1 << 32) for c in MURMUR_END]
+    data, h = F.encode(F.col(term), "UTF-8"), F.col("_h")
+    out = df.withColumn("_n", F.octet_length(F.col(term)).cast("long")).withColumn("_r", F.col("_n") % 4)
+    whole = F.substr(data, F.lit(1), (F.col("_n") - F.col("_r")).cast("int"))
+    out = out.withColumn("_h", F.hash(whole).cast("long").bitwiseAND(_MASK))
+    rest = F.hex(F.substr(data, (F.col("_n") - F.col("_r") + 1).cast("int"), F.col("_r").cast("int")))
+    byte = [F.when(F.col("_r") > k, F.conv(F.substring(rest, 2 * k + 1, 2), 16, 10).cast("long") * (1 << 8 * k)).otherwise(0) for k in range(3)]
+    out = out.withColumn("_k", _times(byte[0] + byte[1] + byte[2], MURMUR_BLOCK[0]))
+    out = out.withColumn("_k", _times((F.col("_k") * (1 << 15)).bitwiseAND(_MASK).bitwiseOR(F.shiftright("_k", 17)), MURMUR_BLOCK[1]))
+    out = out.withColumn("_h", _folded(h, 16)).withColumn("_h", _times(h, inverse[1]))
+    out = out.withColumn("_h", _folded(h, 13).bitwiseXOR(F.shiftright(h, 26))).withColumn("_h", _times(h, inverse[0]))
+    out = out.withColumn("_h", _folded(h, 16).bitwiseXOR(F.col("_n") - F.col("_r")).bitwiseXOR(F.col("_k")).bitwiseXOR(F.col("_n")))
+    out = out.withColumn("_h", _folded(h, 16)).withColumn("_h", _times(h, MURMUR_END[0]))
+    out = out.withColumn("_h", _folded(h, 13)).withColumn("_h", _times(h, MURMUR_END[1])).withColumn("_h", _folded(h, 16))
+    signed = h - F.when(h >= 1 << 31, 1 << 32).otherwise(0)
+    return out.withColumn(name, F.pmod(signed, F.lit(num_features)).cast("int")).drop("_n", "_r", "_h", "_k")
+
+
+def hashed_term_counts(df: DataFrame, doc_cols: list[str], text_col: str, num_features: int = 4096) -> DataFrame:
+    """(doc..., term, tf) where a term is a bucket of ``num_features``: the buckets and counts of Spark ML's HashingTF."""
+    counts = with_ml_bucket(term_counts(df, doc_cols, text_col, "ml"), "term", num_features, "_bucket")
+    return counts.groupBy(*doc_cols, F.col("_bucket").cast("string").alias("term")).agg(F.sum("tf").alias("tf"))
 
 
 def idf_table(tf: DataFrame, docs: DataFrame) -> DataFrame:

@@ -199,7 +199,43 @@ ea AS (
 
 # ---------------------------------------------------------------- text blend evaluation
 
-def text_ctes(min_rows=30, top=10, n_q=100, k=10, alpha=0.8) -> str:
+def hashed_ctes(src: str, buckets: int = 4096) -> str:
+    """mtf (track_id, genre, term, tf): tokens by single white space characters, terms by buckets of 32-bit Murmur3 with seed 42.
+
+    Bytes are read as hexadecimal text: blocks of four as little-endian numbers, the last one to three as one block.
+    """
+    ws, M = r"'[ \t\n\x0B\f\r]'", "4294967295"
+
+    def mixed(k: str) -> str:
+        return (f"list_transform(list_transform(list_transform({k}, lambda k: (k * 3432918353) & {M}), "
+                f"lambda k: ((k << 15) | (k >> 17)) & {M}), lambda k: (k * 461845907) & {M})")
+
+    def little(first: str, n: int) -> str:
+        return "CAST('0x' || " + " || ".join(f"substr(x, {first} + {2 * b}, 2)" for b in reversed(range(n))) + " AS UBIGINT)"
+    rest = " ".join(f"WHEN {r} THEN {little('2 * n - ' + str(2 * r - 1), r)}" for r in (1, 2, 3))
+    return f"""mparts AS (SELECT track_id, genre, lyrics, string_split_regex(lower(lyrics), {ws}) AS parts FROM {src}),
+mtok AS (
+  SELECT track_id, genre, unnest(CASE WHEN lyrics = '' THEN [''] ELSE list_slice(parts, 1, list_max(list_transform(range(1, len(parts) + 1),
+    lambda i: CASE WHEN parts[i] <> '' THEN i ELSE 0 END))) END) AS token FROM mparts),
+mhex AS (SELECT token, hex(encode(token)) AS x, octet_length(encode(token)) AS n FROM (SELECT DISTINCT token FROM mtok)),
+mblocks AS (
+  SELECT token, n, list_transform(range(0, n // 4), lambda i: {little('8 * i + 1', 4)}) AS body,
+         [CASE n % 4 {rest} ELSE CAST(0 AS UBIGINT) END] AS tail FROM mhex),
+mbody AS (
+  SELECT token, CAST(n AS UBIGINT) AS n, {mixed('tail')}[1] AS tail,
+         list_reduce(list_concat([CAST(42 AS UBIGINT)], {mixed('body')}),
+                     lambda h, k: ((((xor(h, k) << 13) | (xor(h, k) >> 19)) & {M}) * 5 + 3864292196) & {M}) AS h FROM mblocks),
+m0 AS (SELECT token, xor(xor(h, tail), n) AS h FROM mbody),
+m1 AS (SELECT token, (xor(h, h >> 16) * 2246822507) & {M} AS h FROM m0),
+m2 AS (SELECT token, (xor(h, h >> 13) * 3266489909) & {M} AS h FROM m1),
+mbucket AS (SELECT token, CAST(xor(h, h >> 16) % {buckets} AS VARCHAR) AS term FROM m2),
+mtf AS (
+  SELECT t.track_id, t.genre, b.term, count(*) AS tf FROM mtok t JOIN mbucket b ON t.token = b.token
+  GROUP BY t.track_id, t.genre, b.term)"""
+
+
+def text_ctes(min_rows=30, top=10, n_q=100, k=10, alpha=0.8, hashed=False) -> str:
+    counted = hashed_ctes("ti") + ",\nttf AS (SELECT * FROM mtf)" if hashed else None
     stats = ", ".join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) = 0 THEN CAST(1 AS DOUBLE) "
                       f"ELSE stddev_pop({c}) END AS sd_{c}" for c in F)
     zcols = ", ".join(f"(ti.{c} - s.mu_{c}) / s.sd_{c} AS z_{c}" for c in F)
@@ -207,6 +243,9 @@ def text_ctes(min_rows=30, top=10, n_q=100, k=10, alpha=0.8) -> str:
     ucols = ", ".join(f"z_{c} / (CASE WHEN nrm = 0 THEN CAST(1 AS DOUBLE) ELSE nrm END) AS u_z_{c}" for c in F)
     acos = " + ".join(f"q.u_z_{c} * c.u_z_{c}" for c in F)
     ws = r"'[ \t\n\x0B\f\r]+'"
+    plain = f"""ttok AS (
+  SELECT track_id, genre, unnest(string_split_regex(lower(lyrics), {ws})) AS term FROM ti),
+ttf AS (SELECT track_id, genre, term, count(*) AS tf FROM ttok WHERE term <> '' GROUP BY track_id, genre, term)"""
     return f"""ti0 AS (
   SELECT c.id AS track_id, c.genre, c.artist_id_primary, {_cols('c.')}, e.lyrics, e.lyrics_found
   FROM curated c JOIN enriched e ON c.id = e.track_id AND c.genre = e.genre
@@ -225,9 +264,7 @@ tpairs_a AS (
          c.artist_id_primary AS c_entity, {acos} AS audio_cos
   FROM ut q JOIN ut c ON q.genre = c.genre AND q.track_id <> c.track_id
   WHERE (q.track_id, q.genre) IN (SELECT track_id, genre FROM tq)),
-ttok AS (
-  SELECT track_id, genre, unnest(string_split_regex(lower(lyrics), {ws})) AS term FROM ti),
-ttf AS (SELECT track_id, genre, term, count(*) AS tf FROM ttok WHERE term <> '' GROUP BY track_id, genre, term),
+{counted or plain},
 tdf AS (SELECT term, count(*) AS df FROM ttf GROUP BY term),
 tidf AS (
   SELECT term, df, ln((CAST((SELECT count(*) FROM ti) AS DOUBLE) + 1) / (CAST(df AS DOUBLE) + 1)) AS idf FROM tdf),
@@ -545,6 +582,13 @@ def _oracle_sql() -> dict[str, str]:
         "SELECT track_id, genre, term, count(*) AS tf FROM ("
         f"SELECT track_id, genre, unnest(string_split_regex(lower(lyrics), {ws})) AS term FROM enriched "
         "WHERE lyrics_found = true AND lyrics IS NOT NULL) WHERE term <> '' GROUP BY track_id, genre, term")
+    H = text_ctes(hashed=True)
+    s["hashed_term_counts"] = _with(WITH_TEXT, H) + (
+        "SELECT track_id, genre, count(*) AS buckets, CAST(sum(tf) AS BIGINT) AS tokens FROM mtf GROUP BY track_id, genre")
+    s["tfidf_hashed"] = _with(WITH_TEXT, H) + (
+        "SELECT track_id, genre, CAST(count(*) FILTER (weight <> 0) AS INTEGER) AS nonzero_terms, round(sum(weight), 6) AS total_weight "
+        "FROM tfidf GROUP BY track_id, genre")
+    s["eval_audio_text_hashed"] = _with(WITH_TEXT, H) + s["eval_audio_text"][s["eval_audio_text"].rindex("SELECT genre, n_tracks_in_genre"):]
     s["audio_cosine"] = _with(WITH_TEXT, T) + _per_query("tscored", "audio_cos")
     s["blended_rank"] = _with(WITH_TEXT, T) + (
         'SELECT genre, qid, cid, round(score, 6) AS score, CAST(rk AS INTEGER) AS "rank" FROM tranked WHERE rk <= 10')

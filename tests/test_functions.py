@@ -51,3 +51,16 @@ def test_clean_list_value(spark):
                                "l array<string>, s string")
     rows = df.select(clean_list_value(df, "l").alias("l"), clean_list_value(df, "s").alias("s")).collect()
     assert [tuple(r) for r in rows] == [("a b", "n"), ("", ""), ("", ""), ("x", "y")]
+
+
+def test_hashed_buckets_are_those_of_spark_ml(spark):
+    """Texts of every length modulo four, past ASCII, empty, and another number of buckets."""
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+    from grouprank.operators.text import with_ml_bucket
+    words = ["", "a", "ab", "abc", "abcd", "abcde", "é", "naïve", "日本", "😀x", "words" * 30, "z" * 63, "ÿ" * 5] + [f"w{n * n}" for n in range(200)]
+    df = spark.createDataFrame([(w, [w]) for w in words], "w string, t array<string>")
+    for buckets in (4096, 1000):
+        ml = HashingTF(inputCol="t", outputCol="v", numFeatures=buckets).transform(df)
+        want = {r.w: int(r.b) - 1 for r in ml.select("w", F.array_position(vector_to_array("v"), 1.0).alias("b")).collect()}
+        assert {r.w: r.b for r in with_ml_bucket(df, "w", buckets, "b").collect()} == want
