@@ -103,12 +103,17 @@ def evaluate_audio(items: DataFrame, p: Params | None = None, *, scale: str = "n
 
 # --------------------------------------------------------------------------- text blend
 
+def text_candidates(items: DataFrame, text: DataFrame, p: Params) -> DataFrame:
+    """Complete items with text, of all groups. Key column: track_id."""
+    df = (items.select(F.col(p.item).alias("track_id"), p.group, p.entity, *p.features)
+               .join(text.select("track_id", p.group, "lyrics", "lyrics_found"), ["track_id", p.group]))
+    return complete_rows(text_available(df), p.features)
+
+
 def text_eval_items(items: DataFrame, text: DataFrame, p: Params, groups: DataFrame | None = None) -> DataFrame:
     """Items with text of the chosen groups, plus n_tracks_in_genre. Key column: track_id."""
     g, few = p.group, few_groups(p, groups)
-    df = (items.select(F.col(p.item).alias("track_id"), g, p.entity, *p.features)
-               .join(text.select("track_id", g, "lyrics", "lyrics_found"), ["track_id", g]))
-    df = complete_rows(text_available(df), p.features)
+    df = text_candidates(items, text, p)
     df = keep_groups(df, chosen_groups(df, p, p.text_min_rows, groups), g, few_groups=few)
     sizes = group_counts(df, g, "n_tracks_in_genre").filter(F.col("n_tracks_in_genre") >= p.text_min_rows)
     return materialize(df.join(F.broadcast(sizes) if few else sizes, g), spread=True)

@@ -559,14 +559,19 @@ def _oracle_sql() -> dict[str, str]:
     s["importance_by_feature"] = _with(BASE, I) + (
         "SELECT feature, round(sum(importance_norm), 6) AS importance_norm_sum FROM fi GROUP BY feature")
     s["top_features"] = _with(BASE, I) + (
-        "SELECT genre, feature, round(importance_norm, 6) AS importance_norm FROM fi WHERE genre = 'building' "
-        "ORDER BY importance_norm DESC, feature LIMIT 20")
+        "SELECT genre, feature, round(importance_norm, 6) AS importance_norm, place FROM (SELECT *, CAST(row_number() OVER ("
+        "ORDER BY importance_norm DESC, feature) AS INTEGER) AS place FROM fi WHERE genre = 'building') WHERE place <= 20")
     s["eval_audio"] = _with(BASE, A) + _eval_select("ea")
     s["eval_audio_text"] = _with(WITH_TEXT, T) + (
         "SELECT genre, n_tracks_in_genre, n_queries, k, round(alpha_audio_weight, 6) AS alpha_audio_weight, "
         "round(recall_at_k, 6) AS recall_at_k, round(mrr_at_k, 6) AS mrr_at_k FROM et")
-    s["eval_report"] = s["eval_audio_text"]
-    s["eval_report_audio"] = s["eval_audio"]
+    s["eval_report"] = _with(WITH_TEXT, T) + (
+        "SELECT genre, n_tracks_in_genre, n_queries, k, round(alpha_audio_weight, 6) AS alpha_audio_weight, "
+        "round(recall_at_k, 6) AS recall_at_k, round(mrr_at_k, 6) AS mrr_at_k, "
+        "CAST(row_number() OVER (ORDER BY et.recall_at_k DESC, genre) AS INTEGER) AS place FROM et")
+    s["eval_report_audio"] = _with(BASE, A) + (
+        "SELECT genre, n_queries, k, round(recall_at_k, 6) AS recall_at_k, round(mrr_at_k, 6) AS mrr_at_k, "
+        "CAST(row_number() OVER (ORDER BY ea.recall_at_k DESC, genre) AS INTEGER) AS place FROM ea")
     s["run_timestamp"] = _with(BASE, A) + "SELECT genre, '2024-01-02 03:04:05' AS run_ts FROM ea"
     s["predictor_groups"] = _with(BASE, I) + "SELECT DISTINCT genre FROM fi"
     s["eval_audio_zscore"] = _with(BASE, audio_ctes(zscore=True)) + _eval_select("ea")
@@ -611,8 +616,8 @@ def _oracle_sql() -> dict[str, str]:
         "SELECT * FROM lookup_rows ORDER BY md5(concat_ws(':', '42', 'capped', track_id)), "
         "track_id, track_name, artist_name_primary, genre LIMIT 5000")
     s["delta_report"] = _with(WITH_TEXT, A, T) + (
-        "SELECT genre, baseline_available, delta_recall, delta_mrr, alpha_audio_weight FROM ("
-        + _delta_select("LEFT JOIN") + ")")
+        "SELECT genre, baseline_available, delta_recall, delta_mrr, alpha_audio_weight, CAST(row_number() OVER ("
+        "ORDER BY baseline_available, delta_recall DESC NULLS LAST, genre) AS INTEGER) AS place FROM (" + _delta_select("LEFT JOIN") + ")")
     s["select_groups_top"] = _with(BASE) + _chosen("curated", 500, 10)
     s["preview_rows"] = _with(BASE) + (
         "SELECT * FROM (SELECT 'tracks' AS table_name, id, name, name AS label FROM fx_tracks ORDER BY id LIMIT 5) UNION ALL "
@@ -658,6 +663,7 @@ vg AS (SELECT genre FROM gc WHERE genre NOT IN (SELECT genre FROM tg)
     s["delta_flagged"] = _with(WITH_TEXT, A, T) + _delta_select("LEFT JOIN")
     s["delta_unflagged"] = _with(WITH_TEXT, A, T) + _delta_select("JOIN")
     s["pipeline_delta"] = s["delta_flagged"]
+    s["pipeline_incremental"] = s["delta_flagged"]
     looked_up = f"lookup_rows AS ({_LOOKED_UP})"
     records = """text_records AS (
   SELECT track_id, lower(trim(genre)) AS genre, lyrics, lyrics_found FROM resolved)"""

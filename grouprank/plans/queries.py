@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,12 @@ def _round(df: DataFrame, places: int = 6, overrides: dict[str, int] | None = No
                        for f in df.schema.fields])
 
 
+def _placed(report: DataFrame) -> DataFrame:
+    """A report's rows with their place in its own order (a report has a row per group or feature)."""
+    return report.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
 # Raw importances are small differences of two large means (about 1e5 apart for the
 # order-total feature), so summation order moves them by ~1e-9; 4 places keep the
 # comparison stable. Normalised importances keep 6 places.
@@ -124,7 +130,7 @@ def q_csv_roundtrip(spark, d):
     path = io.scratch_path(spark, "csv")
     src = fx.table(spark, d, "documents")
     io.unload_csv(src, path)
-    return io.read_csv(spark, path, schema=src.schema)
+    return io.read_csv(spark, path, schema=src.schema, multi_line=True)
 
 
 def q_csv_inferred(spark, d):
@@ -150,7 +156,7 @@ def q_positional_csv(spark, d):
     rows = fx.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("track_id"), F.col("text").alias("track_name"),
                                                   F.col("source").alias("artist_name_primary"), F.col("lang").alias("genre"))
     io.unload_csv(rows, path, header=True, escape="\\")
-    return io.read_positional_csv(spark, path, LOOKUP_COLUMNS, header=True)
+    return io.read_positional_csv(spark, path, LOOKUP_COLUMNS, header=True, multi_line=True)
 
 
 def q_partitioned_sink(spark, d):
@@ -313,7 +319,7 @@ def q_pair_sample_importance(spark, d):
 
 
 def q_top_features(spark, d):
-    return _round(cmp.top_features(_predictors(spark, d), "building"))
+    return _round(_placed(cmp.top_features(_predictors(spark, d), "building")))
 
 
 def q_eval_audio(spark, d):
@@ -376,7 +382,7 @@ def q_eval_audio_variety(spark, d):
 
 
 def q_eval_report_audio(spark, d):
-    return _round(cmp.eval_report(_audio_eval(spark, d)).drop("run_ts"))
+    return _round(_placed(cmp.eval_report(_audio_eval(spark, d))).drop("run_ts"))
 
 
 def q_predictor_groups(spark, d):
@@ -468,13 +474,13 @@ def q_capped_sample(spark, d):
 
 
 def q_eval_report(spark, d):
-    return _round(cmp.eval_report(_text_eval(spark, d)).drop("run_ts"))
+    return _round(_placed(cmp.eval_report(_text_eval(spark, d))).drop("run_ts"))
 
 
 def q_delta_report(spark, d):
     cur = curated_table(spark, d)
     delta = cmp.compare_runs(_audio_eval(spark, d, cur), _text_eval(spark, d, cur))
-    return _round(cmp.delta_report(delta))
+    return _round(_placed(cmp.delta_report(delta)))
 
 
 def q_select_groups_top(spark, d):
@@ -588,14 +594,24 @@ def q_pipeline_lookups(spark, d):
     return cmp.text_quality_by_group(out["enriched"])
 
 
+def q_pipeline_incremental(spark, d):
+    """The delta after a second run, for which the items of one entity's groups had changed."""
+    from grouprank.plans.incremental import run_incremental
+    tracks, artists, texts = fx.fx_tracks(spark, d), fx.fx_artists(spark, d), text_records(spark, d)
+    other = tracks.withColumn("tempo", F.when(F.col("id_artists") == "['11']", F.col("tempo") * 2).otherwise(F.col("tempo")))
+    base = io.scratch_path(spark, "incremental")
+    run_incremental(spark, other, artists, base, texts, _p(d))
+    return _round(run_incremental(spark, tracks, artists, base, texts, _p(d))["delta"].drop("run_ts"))
+
+
 def q_eval_vectors(spark, d):
     """Numeric evaluation on 64-dim embedding arrays (second variant of the KNN core)."""
     p = _p(d).with_(n_queries=PARAMS.vector_n_queries, min_rows=PARAMS.vector_min_rows)
     items = complete_rows(fx.fx_vec_items(spark, d), ["id", "genre", "artist_id_primary", "embedding"])
     groups = select_groups(items, min_rows=p.min_rows, top=p.top_groups)
     items = keep_groups(items, groups, few_groups=True)
-    items = keep_groups(items, group_counts(items).filter(F.col("n") >= p.n_queries + 50), few_groups=True)
-    q = sample_per_group(items, "genre", p.n_queries, id_col="id", seed=p.seed, salt="query", few_groups=True)
+    items = materialize(keep_groups(items, group_counts(items).filter(F.col("n") >= p.n_queries + 50), few_groups=True), spread=True)
+    q = materialize(sample_per_group(items, "genre", p.n_queries, id_col="id", seed=p.seed, salt="query", few_groups=True))
     pairs = pair_join(q, items, cols=["embedding"], few_queries=True).withColumn("dist", array_distance_column("embedding"))
     hits = first_hit_rank(pairs, p.k, few_queries=True)
     m = hit_metrics(q.select("genre", F.col("id").alias("qid")), hits)

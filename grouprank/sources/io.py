@@ -30,13 +30,13 @@ CSV_FAITHFUL = {"quote": '"', "nullValue": CSV_NULL, "emptyValue": "", "encoding
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             header: bool = True, null_value: str = CSV_NULL) -> DataFrame:
-    """Comma separated, '"' quoted, '"' escaped (RFC 4180 style); quoted fields may hold line breaks.
+             header: bool = True, null_value: str = CSV_NULL, multi_line: bool = False) -> DataFrame:
+    """Comma separated, '"' quoted, '"' escaped (RFC 4180 style).
 
-    Without ``schema`` the column types are inferred. A file is read by one task, as line breaks inside quotes allow
-    no split: write many files (``unload_csv`` writes one a task).
+    Without ``schema`` the column types are inferred. A large file is read by many tasks. ``multi_line`` allows line
+    breaks inside quoted fields; a file is then read by one task, so write many (``unload_csv`` writes one a task).
     """
-    r = spark.read.options(**CSV_FAITHFUL).options(header=header, escape='"', multiLine=True, nullValue=null_value)
+    r = spark.read.options(**CSV_FAITHFUL).options(header=header, escape='"', multiLine=multi_line, nullValue=null_value)
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -45,15 +45,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_positional_csv(spark: SparkSession, path: str, names: list[str], *,
-                        header: bool = False, escape: str = "\\") -> DataFrame:
-    """Headerless CSV read by position into string columns ``names``.
+                        header: bool = False, escape: str = "\\", multi_line: bool = False) -> DataFrame:
+    """Headerless CSV read by position into string columns ``names``. ``multi_line``: as for ``read_csv``.
 
     Rows with fewer fields get NULLs (and fall to the valid-input filter). With
     ``header=True`` the first line is skipped, and any row equal to the column
     names is dropped too.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (spark.read.options(**CSV_FAITHFUL).options(header=header, escape=escape, multiLine=True, mode="PERMISSIVE")
+    df = (spark.read.options(**CSV_FAITHFUL).options(header=header, escape=escape, multiLine=multi_line, mode="PERMISSIVE")
                .schema(schema).csv(path))
     if header:
         from functools import reduce

@@ -24,10 +24,25 @@ def test_csv_keeps_fields_as_they_are(spark):
     df = spark.createDataFrame(AWKWARD, "id string, text string")
     path = io.scratch_path(spark, "t-awkward")
     io.unload_csv(df, path)
-    assert sorted((tuple(r) for r in io.read_csv(spark, path, schema=df.schema).collect())) == AWKWARD
+    assert sorted((tuple(r) for r in io.read_csv(spark, path, schema=df.schema, multi_line=True).collect())) == AWKWARD
     path = io.scratch_path(spark, "t-awkward")
     io.unload_csv(df, path, escape="\\")
-    assert sorted((tuple(r) for r in io.read_positional_csv(spark, path, df.columns, header=True).collect())) == AWKWARD
+    assert sorted((tuple(r) for r in io.read_positional_csv(spark, path, df.columns, header=True, multi_line=True).collect())) == AWKWARD
+
+
+def test_a_large_file_is_read_by_many_tasks(spark):
+    df = spark.range(40_000).select(F.col("id").cast("string").alias("a"), F.concat(F.lit('say "x", '), F.col("id")).alias("b"))
+    path, again = io.scratch_path(spark, "t-large"), io.scratch_path(spark, "t-large")
+    io.unload_csv(df.coalesce(1), path)
+    io.unload_csv(df.coalesce(1), again, escape="\\")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        for read in (lambda **kw: io.read_csv(spark, path, schema=df.schema, **kw), lambda **kw: io.read_positional_csv(spark, again, df.columns, header=True, **kw)):
+            assert read().rdd.getNumPartitions() > 5 and read(multi_line=True).rdd.getNumPartitions() == 1
+            assert sorted(map(tuple, read().collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_csv_infers_types(spark):

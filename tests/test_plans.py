@@ -18,7 +18,8 @@ from grouprank.operators.sampling import capped_sample, sample_per_group
 from grouprank.operators.vectors import zscore
 from grouprank.plans import queries as Q
 from grouprank.plans.curate import curate_items
-from grouprank.plans.evaluate import audio_pairs, audio_queries, blended_pairs, eval_items, text_eval_items, text_queries
+from grouprank.plans.evaluate import (audio_pairs, audio_queries, blend_inputs, blended_pairs, blended_survivors, blended_topk, eval_items,
+                                      shared_postings, text_eval_items, text_queries)
 from grouprank.plans import fixtures as fx
 from tests.conftest import SF001, small_params
 
@@ -68,6 +69,52 @@ def test_blended_scores_without_pair_shuffle(spark, low_broadcast):
     assert not [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(.*(qid|cid).*qid", line)]
 
 
+def rows_into_window(df):
+    """Rows that the filter under the first partial WindowGroupLimit lets through, in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, found = [plan], []
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "FilterExec" and "floor" in node.condition().toString():
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_blended_ranking_meets_few_pairs(spark):
+    """At sf0.1, less than a twentieth of all pairs meet postings, and less still reach the window."""
+    p, d = Q.PARAMS, SF001.replace("0.001", "0.1")
+    items = Q._text_items(spark, d)
+    queries = materialize(text_queries(items, p))
+    inputs = blend_inputs(items, p, queries=queries, few=True)
+    _, lengths = shared_postings(inputs, p, few=True)
+    n = items.join(queries.select("genre", F.col("track_id").alias("qid")), "genre").filter("track_id != qid").count()
+    survivors = blended_survivors(inputs, p, lengths, p.k, few=True).count()
+    top = blended_topk(items, p, p.k, queries=queries)
+    ranked = rows_into_window(top)
+    assert len(ranked) == 1 and 10 * queries.count() <= ranked[0] < survivors < 0.05 * n
+
+
+@pytest.mark.parametrize("alpha", [0.0, 0.3, 1.0])
+def test_blended_bounds_hold_for_any_weight(spark, alpha):
+    p = small_params().with_(alpha=alpha, text_min_rows=10)
+    cur = Q.curated_table(spark, SF001)
+    items = text_eval_items(cur, Q.enrich_with_text(cur, Q.text_records(spark, SF001)), p)
+    queries = materialize(text_queries(items, p))
+    whole = knn_topk(blended_pairs(items, p, queries=queries), p.k, score="score", ascending=False, bounded=False)
+    for few in (True, False):
+        top = blended_topk(items, p, p.k, queries=queries, few=few)
+        assert {(r.qid, r.genre, r["rank"]): round(r.score, 9) for r in top.collect()} == {(r.qid, r.genre, r["rank"]): round(r.score, 9) for r in whole.collect()}
+
+
 def test_sampling_never_shuffles_rows_on_the_group(spark, low_broadcast):
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("genre"),
                                       F.col("id").cast("string").alias("id"), F.repeat(F.lit("x"), 50).alias("payload"))
