@@ -92,6 +92,29 @@ def pick_text(col) -> Column:
                       F.nullif(first["syncedLyrics"], F.lit("")))
 
 
+def pick_text_variant(df: DataFrame, col: str) -> DataFrame:
+    """Add ``lyrics`` (as ``pick_text``, but texts only) and ``reason``, which tells responses without one apart.
+
+    Reasons: ``ok``; ``no_response`` (NULL); ``not_json``; ``no_array``; ``empty`` (no element, or no text in it);
+    ``not_text`` (a value of another type where the text should be).
+    """
+    v = F.try_parse_json(F.col(col))
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get("_v", path, "variant"))
+
+    def text(path: str) -> Column:
+        return F.when(kind(path) == "STRING", F.nullif(F.try_variant_get("_v", path, "string"), F.lit("")))
+    fields = ("$[0].plainLyrics", "$[0].syncedLyrics")
+    wrong = reduce(lambda a, b: a | b, [F.coalesce(~kind(f).isin("STRING", "VOID"), F.lit(False)) for f in fields])
+    out = df.withColumn("_v", v).withColumn("lyrics", F.coalesce(*[text(f) for f in fields]))
+    reason = (F.when(F.col(col).isNull(), "no_response").when(F.col("_v").isNull(), "not_json")
+              .when(~F.schema_of_variant("_v").startswith("ARRAY"), "no_array").when(F.col("lyrics").isNotNull(), "ok")
+              .when(wrong, "not_text").otherwise("empty"))
+    out = out.withColumn("reason", reason)
+    return out.withColumn("lyrics", F.when(F.col("reason") == "ok", F.col("lyrics"))).drop("_v")
+
+
 def all_not_null(cols: list[str]) -> Column:
     """Conjunctive IS NOT NULL (unlike ``dropna`` it keeps NaN)."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

@@ -116,6 +116,23 @@ def importance_by_feature(predictors: DataFrame, genre: str | None = None) -> Da
               .orderBy(F.col("importance_norm_sum").desc(), "feature"))
 
 
+def importance_rollup(predictors: DataFrame) -> DataFrame:
+    """One report for every (genre, feature), every feature over all genres, and all together; ``level`` is the grouping id."""
+    return predictors.groupingSets([["genre", "feature"], ["feature"], []], "genre", "feature").agg(
+        F.grouping_id("genre", "feature").cast("int").alias("level"), F.count(F.lit(1)).alias("scores"),
+        F.sum("importance_norm").alias("importance_norm_sum"), F.max(F.abs("importance_norm")).alias("strongest"))
+
+
+def distinct_sketches(curated: DataFrame, *by: str, lg_k: int = 14) -> DataFrame:
+    """(by..., sketch): a mergeable sketch of the distinct items of each key; its error is about 1.04 / sqrt(2^lg_k)."""
+    return curated.groupBy(*by).agg(F.hll_sketch_agg("id", F.lit(lg_k)).alias("sketch"))
+
+
+def rolled_up(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct items of coarser keys from stored sketches, without reading items again."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def distinct_groups(df: DataFrame) -> DataFrame:
     return df.select("genre").distinct().orderBy("genre")
 

@@ -526,6 +526,7 @@ def _oracle_sql() -> dict[str, str]:
     s["join_composite"] = _with(WITH_TEXT) + (
         "SELECT c.id AS track_id, c.genre, c.artist_id_primary, round(c.tempo, 6) AS tempo, e.lyrics_found "
         "FROM curated c JOIN enriched e ON c.id = e.track_id AND c.genre = e.genre")
+    s["join_composite_bucketed"] = s["join_composite"]
     s["pair_join"] = _with(BASE, A) + _per_query("apairs", "dist", 2)
     s["text_cosine"] = _with(WITH_TEXT, T) + _per_query("tcos", "text_cos")
     s["text_cosine_min"] = _with(WITH_TEXT, T) + (
@@ -549,6 +550,14 @@ def _oracle_sql() -> dict[str, str]:
         "row_number() OVER (PARTITION BY id ORDER BY genre) AS rn FROM curated) WHERE rn = 1")
     s["distinct_items_per_group"] = _with(BASE) + (
         "SELECT genre, count(DISTINCT id) AS distinct_tracks FROM curated GROUP BY genre")
+    s["distinct_items_sketched"] = _with(BASE) + (
+        "SELECT genre, count(DISTINCT id) AS distinct_tracks, true AS estimate_near FROM curated GROUP BY genre")
+    s["stage_counts"] = _with(WITH_TEXT) + (
+        "SELECT 'curated' AS stage, count(*) AS n_rows FROM curated UNION ALL SELECT 'enriched', count(*) FROM enriched")
+    s["importance_rollup"] = _with(BASE, I) + (
+        "SELECT genre, feature, CAST(GROUPING_ID(genre, feature) AS INTEGER) AS level, count(*) AS scores, "
+        "round(sum(importance_norm), 6) AS importance_norm_sum, round(max(abs(importance_norm)), 6) AS strongest "
+        "FROM fi GROUP BY GROUPING SETS ((genre, feature), (feature), ())")
     s["feature_importance"] = _with(BASE, I) + (
         "SELECT genre, feature, round(importance_raw, 4) AS importance_raw, round(importance_abs, 4) AS importance_abs, "
         "round(importance_norm, 6) AS importance_norm FROM fi")
@@ -644,6 +653,18 @@ vg AS (SELECT genre FROM gc WHERE genre NOT IN (SELECT genre FROM tg)
     s["explode_groups"] = _with(FX_ARTISTS, ENT, ENT_G) + "SELECT artist_id_primary, genre FROM ent_g"
     s["coalesce_existing"] = _with(BASE, LOOKUP_ROWS) + "SELECT * FROM lookup_rows"
     s["pick_text"] = _with(FX_RESPONSES) + f"SELECT track_id, {PICK} AS lyrics, ({PICK}) IS NOT NULL AS lyrics_found FROM fx_responses"
+    field = "json_type(response_json, '$[0].{0}Lyrics') = 'VARCHAR' AND json_extract_string(response_json, '$[0].{0}Lyrics') <> ''"
+    other = "coalesce(json_type(response_json, '$[0].{0}Lyrics') NOT IN ('VARCHAR', 'NULL'), false)"
+    s["pick_text_variant"] = _with(FX_RESPONSES) + f"""
+SELECT track_id, CASE WHEN reason = 'ok' THEN text END AS lyrics, reason FROM (
+  SELECT *, CASE WHEN response_json IS NULL THEN 'no_response' WHEN NOT json_valid(response_json) THEN 'not_json'
+                 WHEN json_type(response_json) <> 'ARRAY' THEN 'no_array' WHEN text IS NOT NULL THEN 'ok'
+                 WHEN {other.format('plain')} OR {other.format('synced')} THEN 'not_text' ELSE 'empty' END AS reason
+  FROM (SELECT *, CASE WHEN NOT json_valid(response_json) THEN NULL
+                       WHEN {field.format('plain')} THEN json_extract_string(response_json, '$[0].plainLyrics')
+                       WHEN {field.format('synced')} THEN json_extract_string(response_json, '$[0].syncedLyrics') END AS text
+        FROM (SELECT track_id, CASE WHEN CAST(track_id AS BIGINT) % 11 = 5 THEN '[{{"plainLyrics":' || track_id || '}}]' ELSE response_json END AS response_json
+              FROM fx_responses)))"""
     s["clean_list_value"] = _with(FX_ARTISTS, ENT_RAW) + (
         "SELECT id, coalesce(trim(array_to_string(list_transform(list_filter(artist_genres, "
         "lambda x: x IS NOT NULL), lambda x: trim(x)), ' ')), '') AS genres_clean, "

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grouprank.functions.columns import (clean_list_value, coalesce_existing, normalize_label, parse_list_string,
-                                         pick_text, primary_entity_id, release_year)
+                                         pick_text, pick_text_variant, primary_entity_id, release_year)
 from grouprank.operators.basic import (clean_lookup_input, complete_rows, dedupe_by_key, materialize,
                                        select_existing, text_available)
 from grouprank.operators.groups import (eligible_groups, group_counts, keep_groups, select_groups,
                                         select_groups_with_reason, top_groups)
 from grouprank.operators.knn import (array_distance_column, cell_index, first_hit_rank, hit_metrics, knn_cells, knn_topk,
                                      pair_join)
-from grouprank.operators.sampling import capped_sample, sample_per_group
+from grouprank.operators.sampling import capped_sample, range_count, sample_per_group
 from grouprank.operators.text import hashed_term_counts, term_counts, term_weights, text_cosine, tfidf, tfidf_hashed
 from grouprank.operators.vectors import l2_normalize, zscore
 from grouprank.params import CURATED_COLUMNS, FEATURES, Params
@@ -238,6 +238,18 @@ def q_join_composite(spark, d):
     return _round(c.join(e, ["track_id", "genre"], "inner"))
 
 
+def q_join_composite_bucketed(spark, d):
+    """The composite join of two stage tables that are bucketed by its keys: no shuffle under the join."""
+    keys = ["track_id", "genre"]
+    items = curated_table(spark, d)
+    buckets = 8 * range_count(items.count())
+    c = io.write_bucketed(items.select(F.col("id").alias("track_id"), "genre", "artist_id_primary", "tempo"), "grouprank_items_bucketed",
+                          io.scratch_path(spark, "bucketed"), keys, buckets)
+    texts = enrich_with_text(items, text_records(spark, d)).select("track_id", "genre", "lyrics_found")
+    e = io.write_bucketed(texts, "grouprank_texts_bucketed", io.scratch_path(spark, "bucketed"), keys, buckets)
+    return _round(c.join(e.hint("merge"), keys, "inner"))
+
+
 def _per_query(pairs: DataFrame, value: str) -> DataFrame:
     """All pairs of each query, as a count, a sum and the extremes."""
     return pairs.groupBy("genre", "qid").agg(F.count(F.lit(1)).alias("pairs"), F.sum(value).alias("total"),
@@ -279,6 +291,24 @@ def q_table_row_counts(spark, d):
                                 curated=curated(spark, d))
 
 
+def q_distinct_items_sketched(spark, d):
+    """Distinct items of each group: exact, and whether the estimate from sketches stored by group and year is within four errors."""
+    items = curated_table(spark, d)
+    stored = materialize(cmp.distinct_sketches(items, "genre", "release_year"))
+    both = cmp.distinct_items_per_group(items).join(cmp.rolled_up(stored, "genre"), "genre")
+    near = F.abs(F.col("estimate") - F.col("distinct_tracks")) <= 4 * 1.04 / 2 ** 7 * F.col("distinct_tracks") + 1
+    return both.select("genre", "distinct_tracks", near.alias("estimate_near"))
+
+
+def q_stage_counts(spark, d):
+    """Rows of the written stages, counted while they were written."""
+    from grouprank.plans.pipeline import run_pipeline
+    counts: dict[str, int] = {}
+    run_pipeline(spark, fx.fx_tracks(spark, d), fx.fx_artists(spark, d), io.scratch_path(spark, "pipeline"), _p(d), text_records=text_records(spark, d),
+                 evaluate=False, counts=counts)
+    return spark.createDataFrame(sorted(counts.items()), "stage string, n_rows long")
+
+
 def q_text_quality_total(spark, d):
     recs = convert_text(resolve_lookups(lookup_rows(spark, d), fx.fx_responses(spark, d)))
     return cmp.text_quality_total(recs)
@@ -309,6 +339,10 @@ def q_importance_by_feature(spark, d):
     return _round(cmp.importance_by_feature(_predictors(spark, d)))
 
 
+def q_importance_rollup(spark, d):
+    return _round(cmp.importance_rollup(_predictors(spark, d)))
+
+
 def q_feature_importance(spark, d):
     return _round(_predictors(spark, d).drop("run_ts"), overrides=IMPORTANCE_PLACES)
 
@@ -540,6 +574,13 @@ def q_pick_text(spark, d):
     return r.select("track_id", t.alias("lyrics"), t.isNotNull().alias("lyrics_found"))
 
 
+def q_pick_text_variant(spark, d):
+    """Texts of responses, some with a number in place of the text, and why there is none."""
+    number = F.concat(F.lit('[{"plainLyrics":'), F.col("track_id"), F.lit("}]"))
+    r = fx.fx_responses(spark, d).withColumn("response_json", F.when(F.col("track_id").cast("long") % 11 == 5, number).otherwise(F.col("response_json")))
+    return pick_text_variant(r, "response_json").select("track_id", "lyrics", "reason")
+
+
 def q_clean_list_value(spark, d):
     a = fx.fx_artists(spark, d).withColumn("genre_list", parse_list_string("genres"))
     return a.select("id", clean_list_value(a, "genre_list").alias("genres_clean"),

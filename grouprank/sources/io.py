@@ -92,6 +92,12 @@ def create_table_as(spark: SparkSession, name: str, df: DataFrame, path: str,
     return spark.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table bucketed and sorted by ``keys``, one file a bucket: tables with as many buckets join on the keys without a shuffle."""
+    df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def unload_csv(df: DataFrame, path: str, *, header: bool = True, escape: str = '"') -> None:
     """Comma separated, uncompressed, with header; NULL is written as CSV_NULL, all else as it is."""
     # on writing, emptyValue is what stands in the file: quotes around nothing

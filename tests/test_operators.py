@@ -75,3 +75,25 @@ def test_zscore_and_l2_edge_cases(spark):
     assert [(r.z_a, r.z_b) for r in z if r.genre == "h"] == [(-1.0, -1.0), (1.0, 1.0)]
     u = l2_normalize(df, ["b"], prefix="u_").select("u_b").collect()
     assert sorted(r.u_b for r in u) == [0.0, 0.0, 1.0, 1.0]                              # zero stays zero
+
+
+def test_variant_reasons(spark):
+    """Responses of every shape; texts are taken from strings only."""
+    from grouprank.functions.columns import pick_text_variant
+    cases = {None: (None, "no_response"), "not json": (None, "not_json"), "": (None, "not_json"), "{}": (None, "no_array"), '"x"': (None, "no_array"),
+             "[]": (None, "empty"), "[{}]": (None, "empty"), "[null]": (None, "empty"), '[{"plainLyrics":""}]': (None, "empty"),
+             '[{"plainLyrics":null,"syncedLyrics":"b"}]': ("b", "ok"), '[{"plainLyrics":5}]': (None, "not_text"), '[{"plainLyrics":["a"]}]': (None, "not_text"),
+             '[{"plainLyrics":5,"syncedLyrics":"b"}]': ("b", "ok"), '[{"plainLyrics":"a","syncedLyrics":"b"}]': ("a", "ok")}
+    df = spark.createDataFrame([(k,) for k in cases], "r string")
+    assert {r.r: (r.lyrics, r.reason) for r in pick_text_variant(df, "r").collect()} == cases
+
+
+def test_sketches_merge_without_a_rescan(spark):
+    from grouprank.plans import compare as cmp
+    rows = spark.range(60_000).selectExpr("cast(id % 3 as string) as genre", "cast(id % 40 as int) as release_year", "cast(id % 20000 as string) as id")
+    stored = cmp.distinct_sketches(rows, "genre", "release_year")
+    whole = cmp.rolled_up(stored).first().estimate
+    assert abs(whole - 20_000) < 4 * 1.04 / 2 ** 7 * 20_000
+    by_genre = {r.genre: r.estimate for r in cmp.rolled_up(stored, "genre").collect()}
+    exact = {r.genre: r.distinct_tracks for r in cmp.distinct_items_per_group(rows).collect()}
+    assert by_genre.keys() == exact.keys() and all(abs(by_genre[g] - n) < 4 * 1.04 / 2 ** 7 * n for g, n in exact.items())

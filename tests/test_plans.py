@@ -167,3 +167,18 @@ def test_scan_prunes_columns(spark):
 
 def test_distance_is_a_plain_expression():
     assert "sqrt" in str(euclidean(["q_a"], ["c_a"])).lower()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    plan = final_plan(Q.q_join_composite_bucketed(spark, SF001))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_counts_need_no_scan_of_their_own(spark):
+    """The counts of a run are those of its tables."""
+    from grouprank.plans.pipeline import run_pipeline
+    from grouprank.sources import io
+    counts = {}
+    out = run_pipeline(spark, fx.fx_tracks(spark, SF001), fx.fx_artists(spark, SF001), io.scratch_path(spark, "t-counts"), small_params(),
+                       text_records=Q.text_records(spark, SF001), evaluate=False, counts=counts)
+    assert counts == {name: df.count() for name, df in out.items()} and set(counts) == {"curated", "enriched"}
