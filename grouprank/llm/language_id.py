@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,9 +16,11 @@ from grouprank.llm.common import carried_schema, narrow, text_slices, with_carri
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 BINS = 1 << 14  # of each order
-#: What is no letter: word characters of regular expressions also hold other numerals (superscripts, circled and Roman ones).
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-NOT_LETTERS = re.compile(rf"[\W_{re.escape(NUMERALS)}]+")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters that are neither letters nor digits: superscripts, circled and Roman numerals and the like. (A set of
+#: characters up to U+FFFF is one lookup; with one beyond, it would be searched one by one.)
+NUMERALS = re.compile("[" + "".join(c for c in map(chr, range(0x10000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
+ASTRAL = re.compile("[\U00010000-\U0010FFFF]")
 #: Of the least loss of a codeword from the next one: closer ones are flagged ambiguous.
 AMBIGUOUS_GAP = 0.02
 #: How sharply differences of loss become a score.
@@ -28,6 +29,9 @@ SHARPNESS = 12.0
 
 def ngram_bins(text: str) -> np.ndarray:
     """Bins of all n-grams of a text's lower-case words, one space between words; empty if there is no letter."""
+    if not text.isascii():
+        text = NUMERALS.sub(" ", text)
+        text = ASTRAL.sub(lambda m: m[0] if m[0].isalpha() else " ", text)
     words = NOT_LETTERS.sub(" ", text).strip()
     if not words:
         return np.zeros(0, np.int64)

@@ -38,7 +38,7 @@ def test_awkward_rows(spark):
 
 
 def test_numerals_are_no_letters(spark):
-    texts = ["²³", "① ②", "Ⅷ ½ ٣", "12_3", "x²", "été", "ﬁ", "ʰ"]
+    texts = ["²³", "① ②", "🄀 𐄇", "𝒜", "😀", "Ⅷ ½ ٣", "12_3", "x²", "été", "ﬁ", "ʰ"]
     docs = spark.createDataFrame([(n, t, "en" if n % 2 else "fr") for n, t in enumerate(["some words", "des mots", *texts])], "doc_id long, text string, lang string")
     found = {r["doc_id"]: r["lang_pred"] for r in identify(docs, train(docs)).collect()}
     assert [found[n + 2] == "und" for n in range(len(texts))] == [not any(c.isalpha() for c in t) for t in texts]
