@@ -182,3 +182,14 @@ def test_counts_need_no_scan_of_their_own(spark):
     out = run_pipeline(spark, fx.fx_tracks(spark, SF001), fx.fx_artists(spark, SF001), io.scratch_path(spark, "t-counts"), small_params(),
                        text_records=Q.text_records(spark, SF001), evaluate=False, counts=counts)
     assert counts == {name: df.count() for name, df in out.items()} and set(counts) == {"curated", "enriched"}
+
+
+def test_blended_scores_shuffle_texts_not_terms(spark, low_broadcast):
+    """Terms meet the queries where their document lies: no exchange is made by term."""
+    p = small_params()
+    cur = Q.curated_table(spark, SF001)
+    items = text_eval_items(cur, Q.enrich_with_text(cur, Q.text_records(spark, SF001)), p)
+    queries = materialize(text_queries(items, p))
+    for df in (blended_pairs(items, p, queries=queries), blended_topk(items, p, p.k, queries=queries)):
+        plan = final_plan(df)
+        assert not [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(.*term", line)]

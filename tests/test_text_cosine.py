@@ -88,3 +88,13 @@ def test_least_must_be_positive(spark):
     q, c = frames(spark, weights(1, 5, 5, 3))
     with pytest.raises(ValueError):
         text.text_cosine(q, c, min_cosine=0.0)
+
+
+def test_terms_are_counted_without_rows_of_terms_in_a_shuffle(spark):
+    """Repeated, null and empty documents; the only exchange carries whole texts."""
+    rows = [("g", "a", "x y x"), ("g", "a", "y z"), ("g", None, "n n"), (None, "a", "x"), ("g", "b", ""), ("g", "c", None), ("h", "a", " X  \u00c4 ")]
+    df = spark.createDataFrame(rows, "genre string, track_id string, lyrics string")
+    got = text.term_counts(df, ["genre", "track_id"], "lyrics")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("g", "a", "x", 2), ("g", "a", "y", 2), ("g", "a", "z", 1), ("g", None, "n", 2), (None, "a", "x", 1), ("h", "a", "x", 1), ("h", "a", "\u00e4", 1)], key=str)
+    assert not [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x and "term" in x]
