@@ -98,3 +98,15 @@ def test_terms_are_counted_without_rows_of_terms_in_a_shuffle(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([
         ("g", "a", "x", 2), ("g", "a", "y", 2), ("g", "a", "z", 1), ("g", None, "n", 2), (None, "a", "x", 1), ("h", "a", "x", 1), ("h", "a", "\u00e4", 1)], key=str)
     assert not [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x and "term" in x]
+
+
+@pytest.mark.parametrize("least", [None, 0.2])
+def test_few_queries_need_no_shuffle_of_pairs(spark, least):
+    rows = weights(5, 150, 40, 12)
+    q, c = frames(spark, rows)
+    got = text.text_cosine(materialize(q), c, min_cosine=least, few_queries=True)
+    want = {k: v for k, v in plain(rows, {r[1] for r in rows if r[1].endswith("7")}).items() if least is None or v >= least}
+    found = {(r.genre, r.qid, r.cid): r.text_cos for r in got.collect()}
+    assert found.keys() == want.keys() and all(abs(found[k] - v) < 1e-9 for k, v in want.items())
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert exchanges and not [x for x in exchanges if "term" in x or "qid" in x]
