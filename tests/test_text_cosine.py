@@ -110,3 +110,26 @@ def test_few_queries_need_no_shuffle_of_pairs(spark, least):
     assert found.keys() == want.keys() and all(abs(found[k] - v) < 1e-9 for k, v in want.items())
     exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
     assert exchanges and not [x for x in exchanges if "term" in x or "qid" in x]
+
+
+def test_lengths_are_the_same_for_frequent_and_rare_terms(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    from grouprank.params import Params
+    from grouprank.plans import evaluate
+    p = Params(features=["tempo"], text_n_queries=2)
+    texts = [f"every a{i % 2} b{i % 5} b{i % 5} own{i}" for i in range(20)]
+    df = materialize(spark.createDataFrame([("g", str(i), f"e{i % 4}", float(i), t) for i, t in enumerate(texts)],
+                                           "genre string, track_id string, artist_id_primary string, tempo double, lyrics string"))
+    asked = materialize(df.filter("track_id IN ('3', '4')"))
+    count = Counter(w for t in texts for w in set(t.split()))
+    want = [math.sqrt(sum((n * math.log(21 / (count[w] + 1))) ** 2 for w, n in Counter(t.split()).items())) for t in texts]
+    found = []
+    for share in (1, 20, 10_000):  # no term is frequent, some are, all are
+        monkeypatch.setattr(evaluate, "FREQUENT_SHARE", share)
+        rows = evaluate.blend_inputs(df, p, queries=asked, few=True).lengths.collect()
+        rows = sorted(rows, key=lambda r: int(r["track_id"]))
+        assert [round(r["length"], 9) for r in rows] == [round(x, 9) for x in want]
+        found.append([(round(r["u_query"], 9), round(r["u_candidate"], 9)) for r in rows])
+    assert found[0] == found[1] == found[2]
