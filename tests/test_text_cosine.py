@@ -133,3 +133,26 @@ def test_lengths_are_the_same_for_frequent_and_rare_terms(spark, monkeypatch):
         assert [round(r["length"], 9) for r in rows] == [round(x, 9) for x in want]
         found.append([(round(r["u_query"], 9), round(r["u_candidate"], 9)) for r in rows])
     assert found[0] == found[1] == found[2]
+
+
+def test_documents_of_one_row_are_counted_where_they_lie(spark):
+    from grouprank.operators.text import doc_terms, term_rows
+    from grouprank.params import Params
+    from grouprank.plans import evaluate
+    rows = [("g" if i % 2 else "h", str(i // 2), "e", float(i), f"every a{i % 3} a{i % 3} own{i}" if i % 5 else None) for i in range(20)]
+    df = materialize(spark.createDataFrame(rows, "genre string, track_id string, artist_id_primary string, tempo double, lyrics string"))
+    doc = ["genre", "track_id"]
+    single = doc_terms(df, doc, "lyrics", single=True)
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, single.collect())) == sorted(map(tuple, doc_terms(df, doc, "lyrics").collect()))
+
+    p = Params(features=["tempo"], text_n_queries=2)
+    asked = materialize(df.filter("track_id IN ('3', '4')"))
+    twice = materialize(df.unionByName(df.filter("track_id = '6'").withColumn("lyrics", F.lit("every second row"))))
+    for few in (True, False):
+        plain, grouped = (evaluate.blend_inputs(x, p, queries=asked, few=few) for x in (df, twice))
+        terms = {(r.genre, r.track_id, r.term): r.tf for r in term_rows(grouped.docs, *doc).collect()}
+        assert terms["g", "6", "every"] == 2 and terms["g", "6", "second"] == 1
+        by_group = {(r.genre, r.term): (r.n, r.n_asked) for r in plain.asked.collect()}
+        # rows 1, 7, 13 and 19 of g hold a1, rows 2, 8 and 14 of h hold a2; the queries are rows 6 to 9
+        assert by_group["g", "a1"] == (4, 1) and by_group["h", "a2"] == (3, 1) and ("g", "own1") not in by_group
