@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grouprank.functions.columns import array_euclidean, euclidean
 from grouprank.operators.basic import materialize
@@ -162,22 +163,59 @@ def cell_index(items: DataFrame, cols: list[str], *, pivots: int = 64, group: st
                entity: str = "artist_id_primary", seed=42, few_groups: bool = False) -> CellIndex:
     """Items stored by the nearest of ``pivots`` items of their group, drawn in sample-key order.
 
-    ``few_groups`` says that parameters bound the groups, so that their pivots are broadcast.
-    The nearest pivot is an aggregate over an item's own rows, which one task makes, so it
-    is complete before the shuffle. Values must not be NULL.
+    ``few_groups`` says that parameters bound the groups: their pivots go to the tasks, which find the nearest for blocks of
+    items, so no row per item and pivot is made. Otherwise the nearest pivot is an aggregate over an item's own rows,
+    which one task makes, so it is complete before the shuffle. Equal rows are one item. Values must not be NULL.
     """
     chosen = sample_per_group(items.select(group, id_col, *cols), group, pivots, id_col=id_col, seed=seed, salt="pivot", few_groups=few_groups)
     # cells are numbered by a hash of the pivot's id, as numbers keep the aggregates hash aggregates
     pivot = materialize(chosen.select(group, F.xxhash64(F.col(id_col)).alias("cell"), *[F.col(c).alias(f"p_{c}") for c in cols]))
-    pivot_side = F.broadcast(pivot) if few_groups else pivot
-    away = euclidean([f"p_{c}" for c in cols], cols)
-    nearest = (items.select(group, id_col, entity, *cols).join(pivot_side, group).withColumn("_d", away)
-               .groupBy(group, id_col, entity, *cols).agg(F.min("_d").alias("r"), F.min_by("cell", "_d").alias("cell")))
-    stored = materialize(nearest.select(group, "cell", "r", id_col, entity, *cols), spread=True)
+    own = items.select(group, id_col, entity, *cols)
+    if few_groups:
+        near = _nearest_pivots(own, pivot, group, cols).select(group, "cell", "r", id_col, entity, *cols)
+        stored = materialize(near.dropDuplicates(), spread=True, dealt=True)
+    else:
+        away = euclidean([f"p_{c}" for c in cols], cols)
+        nearest = (own.join(pivot, group).withColumn("_d", away)
+                   .groupBy(group, id_col, entity, *cols).agg(F.min("_d").alias("r"), F.min_by("cell", "_d").alias("cell")))
+        stored = materialize(nearest.select(group, "cell", "r", id_col, entity, *cols), spread=True)
     sizes = stored.groupBy(group, "cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"))
     return CellIndex(stored, materialize(sizes.join(pivot, [group, "cell"])), list(cols), group, id_col, entity, few_groups)
 
 
+def _nearest_pivots(items: DataFrame, pivot: DataFrame, group: str, cols: list[str]) -> DataFrame:
+    """``items`` of groups that have pivots, with ``cell`` and ``r``: their nearest pivot and its distance.
+
+    Parameters bound the pivots, which are collected. A distance is summed in the order of the columns, as ``euclidean`` does.
+    """
+    found: dict = {}
+    for row in pivot.collect():
+        found.setdefault(row[group], []).append((row["cell"], [row[f"p_{c}"] for c in cols]))
+
+    def nearest(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            codes = table[group].combine_chunks().dictionary_encode()
+            for k, name in enumerate(codes.dictionary.to_pylist()):
+                if name not in found:
+                    continue
+                part = table.filter(pc.equal(codes.indices, k)).combine_chunks()
+                cells = np.array([c for c, _ in found[name]], dtype=np.int64)
+                at = np.array([p for _, p in found[name]], dtype=np.float64)
+                total = np.zeros((part.num_rows, len(cells)))
+                for j, c in enumerate(cols):
+                    away = at[None, :, j] - part[c].to_numpy().astype(np.float64)[:, None]
+                    total += away * away
+                r = np.sqrt(total)
+                best = np.where(np.isnan(r), np.inf, r).argmin(axis=1)
+                part = part.append_column("cell", pa.array(cells[best])).append_column("r", pa.array(r[np.arange(len(best)), best]))
+                yield from part.to_batches()
+    return items.mapInArrow(nearest, T.StructType([*items.schema.fields, T.StructField("cell", T.LongType()), T.StructField("r", T.DoubleType())]))
+
+
 #: Distances may differ from the triangle inequality in their last digits: bounds are widened by this share.
 WIDER = 1e-9
 

@@ -99,3 +99,19 @@ def test_equal_distances_fill_no_task(spark):
     pairs = pair_join(q, df, entity="ent", cols=["x"], few_queries=True).withColumn("dist", distance_column(["x"]))
     hits = first_hit_rank(pairs, 5, few_queries=True)
     assert {r.qid: r.first_hit_rank for r in hits.collect()} == {"i00000": 2, "i00001": 3, "i02000": 1}
+
+
+def test_cells_of_few_groups_make_no_row_per_pivot(spark):
+    """The nearest pivot as the aggregate finds it; equal rows are one item, NaN comes last, unknown groups go."""
+    from grouprank.operators.knn import _nearest_pivots
+    rng = random.Random(5)
+    rows = [(f"g{i % 3}", f"i{i}", f"e{i % 7}", rng.choice([0.0, 1e6]) + rng.random(), float(rng.randrange(12))) for i in range(400)]
+    rows += rows[:50] + [(None, "n", "e", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "genre string, id string, ent string, x double, y double")
+    few, many = (cell_index(df, ["x", "y"], pivots=9, entity="ent", few_groups=f) for f in (True, False))
+    assert sorted(map(tuple, few.items.collect())) == sorted(map(tuple, many.items.collect())) and few.items.count() == 400
+    assert sorted(map(tuple, few.cells.collect())) == sorted(map(tuple, many.cells.collect()))
+
+    pivot = spark.createDataFrame([("g0", 7, 0.0, 0.0), ("g0", 8, float("nan"), 0.0)], "genre string, cell long, p_x double, p_y double")
+    got = _nearest_pivots(df.drop("ent").filter("id IN ('i0', 'i1')").dropDuplicates(), pivot, "genre", ["x", "y"])
+    assert [(r.id, r.cell) for r in got.collect()] == [("i0", 7)] and "Join" not in got._jdf.queryExecution().executedPlan().toString()
