@@ -97,3 +97,14 @@ def test_sketches_merge_without_a_rescan(spark):
     by_genre = {r.genre: r.estimate for r in cmp.rolled_up(stored, "genre").collect()}
     exact = {r.genre: r.distinct_tracks for r in cmp.distinct_items_per_group(rows).collect()}
     assert by_genre.keys() == exact.keys() and all(abs(by_genre[g] - n) < 4 * 1.04 / 2 ** 7 * n for g, n in exact.items())
+
+
+def test_hashed_weights_tokenise_once(spark):
+    """Texts are read for the frequencies only: the weights come from what was written."""
+    from grouprank.operators.text import tfidf_hashed
+    df = spark.createDataFrame([("1", "a b b"), ("2", "b c"), ("3", "")], "track_id string, lyrics string")
+    whole, lean = tfidf_hashed(df, "lyrics", 64), tfidf_hashed(df, "lyrics", 64, keep=["track_id"])
+    assert whole.columns == ["track_id", "lyrics", "lyr_vec"] and lean.columns == ["track_id", "lyr_vec"]
+    assert {r.track_id: r.lyr_vec for r in whole.collect()} == {r.track_id: r.lyr_vec for r in lean.collect()}
+    plan = lean._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "LocalTableScan" not in plan and "lyrics" not in plan
