@@ -93,3 +93,11 @@ def test_catalog(spark):
     io.write_by_group(spark.range(3).withColumn("genre", F.lit("g")), path, "genre", cluster=False)
     io.register_table(spark, "t_db.t_tab", path, "genre", "id bigint, genre string")
     assert [r.tableName for r in io.list_tables(spark, "t_db").collect()] == ["t_tab"]
+
+
+def test_intermediate_tables_are_compressed_with_zstd(spark):
+    from grouprank.operators.basic import materialize
+    texts = spark.createDataFrame([(i, f"some words of text {i}") for i in range(50)], "id long, lyrics string")
+    for kept in (materialize(texts), materialize(texts, spread=True)):
+        assert kept.inputFiles() and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, texts.collect()))

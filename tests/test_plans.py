@@ -193,3 +193,21 @@ def test_blended_scores_shuffle_texts_not_terms(spark, low_broadcast):
     for df in (blended_pairs(items, p, queries=queries), blended_topk(items, p, p.k, queries=queries)):
         plan = final_plan(df)
         assert not [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(.*term", line)]
+
+
+def test_lines_are_dealt_by_order_over_tasks_that_grow(spark, tmp_path, monkeypatch):
+    from grouprank.plans import fixtures as fx
+    orders = [(k if k < 39 else None, k % 5, "1996-01-02", float(k)) for k in range(40)]
+    lines = [(k % 37 if k % 11 else None, float(k % 7), 0.01 * (k % 3), 0.02 * (k % 4) if k % 9 else None, 1.5 * k) for k in range(400)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(fx, "LINES_PER_TASK", 20)
+    tracks = fx.fx_tracks(spark, str(tmp_path))
+    plan = tracks._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "20), REPARTITION_BY_NUM" in plan.replace("hashpartitioning(", "") and len(orders) == tracks.count()
+    for r in tracks.collect():
+        mine = [x for x in lines if r["id"] is not None and x[0] == int(r["id"])]
+        for k, low, high in ((1, "danceability", "energy"), (2, "loudness", "speechiness"), (3, "acousticness", "instrumentalness"), (4, "liveness", "valence")):
+            some = [x[k] for x in mine if x[k] is not None]
+            assert (r[low], r[high]) == ((min(some), max(some)) if some else (None, None))
