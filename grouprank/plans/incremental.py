@@ -46,6 +46,7 @@ class Stages:
     def __init__(self, spark: SparkSession, base: str, group: str):
         self.spark, self.base, self.group = spark, base.rstrip("/"), group
         self.tables: dict[str, DataFrame] = {}
+        self.prints: dict[str, DataFrame] = {}
 
     def _known(self, name: str) -> DataFrame | None:
         path = f"{self.base}/fingerprints/{name}"
@@ -69,7 +70,8 @@ class Stages:
         now.write.mode("overwrite").parquet(prints)
         # the written schema keeps the group a string, whatever the partition type inference says
         table = self.spark.read.schema(made.schema).parquet(path).select(*made.columns)
-        present = self.spark.read.schema(now.schema).parquet(prints).select(self.group)
+        self.prints[name] = self.spark.read.schema(now.schema).parquet(prints).filter(F.col(self.group).isNotNull())
+        present = self.prints[name].select(self.group)
         self.tables[name] = table.join(present, self.group, "left_semi").select(*made.columns)
         return self.tables[name]
 
@@ -93,7 +95,7 @@ def run_incremental(spark: SparkSession, tracks: DataFrame, artists: DataFrame,
         stages = Stages(spark, base_path, g)
         curated = stages.own("curated", curate_items(tracks, artists))
         enriched = stages.own("enriched", enrich_with_text(curated, text_records))
-        prints = materialize(fingerprints(curated, g))
+        prints = stages.prints["curated"]
 
         whole = complete_rows(curated, [p.item, g, p.entity, *p.features])
         chosen = materialize(prints.join(chosen_groups(whole, p, p.min_rows, None), g, "left_semi"))
@@ -101,7 +103,7 @@ def run_incremental(spark: SparkSession, tracks: DataFrame, artists: DataFrame,
         audio = stages.update("audio", chosen, lambda groups: evaluate_audio(curated, p, groups=groups))
 
         text_groups = chosen_groups(text_candidates(curated, enriched, p), p, p.text_min_rows, None)
-        both = prints.union(fingerprints(enriched, g)).join(text_groups, g, "left_semi")
+        both = prints.union(stages.prints["enriched"]).join(text_groups, g, "left_semi")
         # few rows: every group has the sums of all
         all_of = both.agg(F.sum("n_rows").alias("n_rows"), F.sum("hash_sum").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"))
         each = both.select(g).distinct().withColumn("_one", F.lit(1)).join(all_of.withColumn("_one", F.lit(1)), "_one").drop("_one")

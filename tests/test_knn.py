@@ -115,3 +115,18 @@ def test_cells_of_few_groups_make_no_row_per_pivot(spark):
     pivot = spark.createDataFrame([("g0", 7, 0.0, 0.0), ("g0", 8, float("nan"), 0.0)], "genre string, cell long, p_x double, p_y double")
     got = _nearest_pivots(df.drop("ent").filter("id IN ('i0', 'i1')").dropDuplicates(), pivot, "genre", ["x", "y"])
     assert [(r.id, r.cell) for r in got.collect()] == [("i0", 7)] and "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hits_of_pairs_met_again_join_no_pair_to_its_query(spark):
+    """Ranks from pairs that are made anew with the best hits are those of the pairs joined to them."""
+    rng = random.Random(8)
+    rows = [(f"g{i % 2}", f"i{i % 190}", f"e{rng.randrange(30)}", float(rng.randrange(6)), float(rng.randrange(6))) for i in range(200)]
+    df = spark.createDataFrame(rows, "genre string, id string, ent string, x double, y double")
+    q = df.filter("cast(substring(id, 2, 3) as int) < 40")
+
+    def meet(best):
+        known = q.join(best.withColumnRenamed("qid", "id"), ["genre", "id"])
+        return pair_join(known, df, entity="ent", cols=["x", "y"], few_queries=True, carried=["_best", "_hit"]).withColumn("dist", distance_column(["x", "y"]))
+    pairs = pair_join(q, df, entity="ent", cols=["x", "y"], few_queries=True).withColumn("dist", distance_column(["x", "y"]))
+    joined, met = (first_hit_rank(pairs, 10, few_queries=True, meet=m) for m in (None, meet))
+    assert sorted(map(tuple, met.collect()), key=str) == sorted(map(tuple, joined.collect()), key=str) and met.count() > 20
