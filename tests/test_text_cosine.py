@@ -156,3 +156,14 @@ def test_documents_of_one_row_are_counted_where_they_lie(spark):
         by_group = {(r.genre, r.term): (r.n, r.n_asked) for r in plain.asked.collect()}
         # rows 1, 7, 13 and 19 of g hold a1, rows 2, 8 and 14 of h hold a2; the queries are rows 6 to 9
         assert by_group["g", "a1"] == (4, 1) and by_group["h", "a2"] == (3, 1) and ("g", "own1") not in by_group
+
+
+def test_only_rows_of_the_queries_terms_are_dealt(spark):
+    """Rows that share no term with a query aren't shuffled, and pairs without any further term keep their sum."""
+    rows = [("g0", f"d{n:04d}", f"own{n}", 0.6) for n in range(300)] + [("g0", f"d{n:04d}", "both", 0.8) for n in range(10)]
+    q, c = frames(spark, rows)
+    names = q.select("genre", F.col("track_id").alias("qid"), "term", F.col("w").alias("wq")), c.select("genre", F.col("track_id").alias("cid"), "term", F.col("w").alias("wc"))
+    query = names[0].filter("qid = 'd0007'")
+    assert text._by_candidate(names[1], query, "genre").count() == 10 + 1
+    found = text.text_cosine(q.filter("track_id = 'd0007'"), c, min_cosine=0.5, few_queries=True).collect()
+    assert sorted((r.qid, r.cid, round(r.text_cos, 9)) for r in found) == [("d0007", f"d{n:04d}", 0.64) for n in range(10) if n != 7]
